@@ -35,11 +35,12 @@ def fit_minmax(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("symbo
 
 
 def fit_minmax_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """A1 in long form: (keys, column, min, max), the stored scaler state."""
+    """A1 in long form: (keys, feature, min_value, max_value), the stored
+    scaler state."""
     wide = fit_minmax(df, cols, keys)
     keys = _keys(keys)
     parts = ", ".join(f"'{c}', `{c}_min`, `{c}_max`" for c in cols)
-    return wide.select(*keys, F.expr(f"stack({len(cols)}, {parts}) as (column, min, max)"))
+    return wide.select(*keys, F.expr(f"stack({len(cols)}, {parts}) as (feature, min_value, max_value)"))
 
 
 def apply_minmax(df: DataFrame, scaler: DataFrame, cols: Sequence[str],

@@ -1,82 +1,4 @@
-"""Registered queries: name -> (Spark builder, DuckDB oracle SQL or None).
+"""All registered queries (imports register them)."""
 
-Each Spark builder takes (spark, sf_dir) and reads the driver's tables whole.
-Doubles are rounded to 6 places on both sides so results compare exactly.
-"""
-
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from .. import tables
-from ..operators.bars import ticks_to_bars
-from ..operators.lstm import FIXED_TEST_WEIGHTS
-from . import forecast, oracle
-
-REGISTRY: dict = {}
-
-
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (oracle comparison rule)."""
-    scale = float(10 ** digits)
-    return df.select(*[(F.round(F.col(f.name) * F.lit(scale)) / F.lit(scale)).alias(f.name)
-                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
-
-
-def expand_r6(sql: str) -> str:
-    """Rewrite ``R6(expr)`` to the SQL twin of ``rounded``: scale, round half
-    away from zero, unscale (identical doubles in both engines)."""
-    out, i = [], 0
-    while True:
-        j = sql.find("R6(", i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        out.append(sql[i:j])
-        depth, k = 1, j + 3
-        while depth:
-            depth += {"(": 1, ")": -1}.get(sql[k], 0)
-            k += 1
-        inner = expand_r6(sql[j + 3:k - 1])
-        out.append(f"(ROUND(({inner}) * 1000000.0) / 1000000.0)")
-        i = k
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        REGISTRY[name] = (fn, expand_r6(sql) if sql else None)
-        return fn
-    return deco
-
-
-# ======================================================================
-# Flagship: forecasting from trades
-# ======================================================================
-
-@register("forecast_pairs", oracle.sql_forecast_pairs(FIXED_TEST_WEIGHTS) + """
-SELECT symbol, ts, R6(actual) AS actual, R6(predicted) AS predicted FROM pairs""")
-def q_forecast_pairs(spark, sf_dir):
-    return rounded(forecast.forecast_pairs(tables.ticks(spark, sf_dir), "1 hour", 4))
-
-
-@register("forecast_error", oracle.sql_forecast_pairs(FIXED_TEST_WEIGHTS) + """
-SELECT symbol, count(*) AS pairs, R6(avg(abs(actual - predicted))) AS mae,
-       R6(sqrt(avg((actual - predicted) * (actual - predicted)))) AS rmse,
-       R6(avg((actual - predicted) * (actual - predicted) / 2.0)) AS loss
-FROM pairs GROUP BY symbol""")
-def q_forecast_error(spark, sf_dir):
-    return rounded(forecast.forecast_error(tables.ticks(spark, sf_dir), "1 hour", 4))
-
-
-# ======================================================================
-# R1 resampling
-# ======================================================================
-
-@register("bars_hourly", "SELECT symbol, ts, R6(open) AS open, R6(high) AS high, "
-          "R6(low) AS low, R6(close) AS close, volume, trade_count, R6(vwap) AS vwap FROM ("
-          + oracle.sql_bars_from_ticks("1 hour") + ")")
-def q_bars_hourly(spark, sf_dir):
-    return rounded(ticks_to_bars(tables.ticks(spark, sf_dir), "1 hour"))
+from . import q_forecast, q_bars  # noqa: F401
+from .registry import REGISTRY, rounded  # noqa: F401
