@@ -158,7 +158,9 @@ def backward(theta, X: np.ndarray, Y: np.ndarray):
 
     Backpropagation through time per window (state reset at window start):
     the error of each step plus the error carried back through the recurrent
-    weight and the cell. Returns (grad theta, summed loss, number of steps).
+    weight and the cell. A NaN target marks a step without loss (sequence-to-
+    one training uses only the last step). Returns (grad theta, summed loss,
+    number of scored steps).
     """
     Wn, b, Fn = X.shape
     W, U, B = _split(theta, Fn)
@@ -170,10 +172,14 @@ def backward(theta, X: np.ndarray, Y: np.ndarray):
     d_c_next = np.zeros(Wn)
     f_next = np.zeros(Wn)
     loss = 0.0
+    counted = 0
     for t in reversed(range(b)):
         a, i, f, o, c, h, c_prev, h_prev = cache[t]
-        err = h - Y[:, t]
+        y = Y[:, t]
+        known = ~np.isnan(y)                       # NaN target: no loss at this step
+        err = np.where(known, h - np.where(known, y, 0.0), 0.0)
         loss += float(np.sum(err * err) / 2.0)
+        counted += int(known.sum())
         d_out = err + d_h_next
         tc = np.tanh(c)
         d_c = d_out * o * (1.0 - tc * tc) + d_c_next * f_next
@@ -188,7 +194,7 @@ def backward(theta, X: np.ndarray, Y: np.ndarray):
         d_c_next = d_c
         f_next = f
     grad = np.concatenate([gW, gU[:, None], gB[:, None]], axis=1).reshape(-1)
-    return grad, loss, Wn * b
+    return grad, loss, counted
 
 
 def sgd_step(theta, grad, lr: float):
@@ -253,8 +259,10 @@ def score_bulk(df: DataFrame, cols: Sequence[str], b: int, theta, keys: Sequence
         th = fixed if theta_col is None else np.asarray(pdf[theta_col].iloc[0], dtype=np.float64)
         vals = pdf[[f"_x{j}" for j in range(Fn)]].to_numpy(np.float64)
         n = len(pdf)
-        if n < back + (1 if exclude_current else 0) or n < b:
-            return pd.DataFrame({c: [] for c in out_schema.names})
+        if n < b + (1 if exclude_current else 0):
+            empty = pdf.iloc[0:0][[*keys, "ts"]].copy()
+            empty["h"] = np.array([], dtype=np.float64)
+            return empty
         win = np.lib.stride_tricks.sliding_window_view(vals, b, axis=0).transpose(0, 2, 1)   # (n-b+1, b, F)
         h = forward(th, win)
         if exclude_current:
@@ -286,8 +294,8 @@ def gradient_frame(windows: DataFrame, theta, n_features: int) -> DataFrame:
         for pdf in it:
             if len(pdf) == 0:
                 continue
-            X = np.stack([np.stack(x) for x in pdf["xs"]])
-            Y = np.stack([np.asarray(y) for y in pdf["ys"]])
+            X = np.stack([np.stack(x) for x in pdf["xs"]]).astype(np.float64)
+            Y = np.stack([np.asarray(y, dtype=np.float64) for y in pdf["ys"]])
             gg, l, s = backward(th, X, Y)
             g += gg
             loss += l
@@ -380,6 +388,11 @@ def train_per_symbol(rows: DataFrame, cols: Sequence[str], target: str, b: int,
         res.update({"version": [int(version)], "theta": [th.tolist()], "loss": [loss], "windows": [int(X.shape[0])]})
         return pd.DataFrame(res)
 
+    # Groups are few, small in bytes and heavy in compute: an explicit
+    # partition count keeps AQE from packing them into one task, and the
+    # grouping below reuses this partitioning (no second exchange).
+    n_parts = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    data = data.repartition(max(n_parts, 1), *group_keys)
     return data.groupBy(*group_keys).applyInPandas(run, out_schema)
 
 

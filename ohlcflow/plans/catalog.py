@@ -1,4 +1,4 @@
 """All registered queries (imports register them)."""
 
-from . import q_forecast, q_bars, q_text  # noqa: F401
+from . import q_forecast, q_bars, q_text, q_ml, q_model  # noqa: F401
 from .registry import REGISTRY, rounded  # noqa: F401
