@@ -30,29 +30,35 @@ def ticks_to_bars(ticks: DataFrame, width: str = "1 hour", keys: Sequence[str] =
     """
     keys = list(keys)
     order = F.struct("ts", "seq")
+    # Grouping by the window struct (not its start) keeps the event-time
+    # watermark on the key, so the same code closes windows on a stream.
     return (ticks
-            .groupBy(*keys, bar_start("ts", width).alias("ts"))
+            .groupBy(*keys, F.window("ts", width).alias("_w"))
             .agg(F.min_by("price", order).alias("open"),
                  F.max("price").alias("high"),
                  F.min("price").alias("low"),
                  F.max_by("price", order).alias("close"),
                  F.sum("size").alias("volume"),
                  F.count(F.lit(1)).alias("trade_count"),
-                 F.try_divide(F.sum(F.col("price") * F.col("size")), F.sum("size")).alias("vwap")))
+                 F.try_divide(F.sum(F.col("price") * F.col("size")), F.sum("size")).alias("vwap"))
+            .select(*keys, F.col("_w.start").alias("ts"), "open", "high", "low", "close", "volume",
+                    "trade_count", "vwap"))
 
 
 def resample_bars(bars: DataFrame, width: str, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """R1 on bars: coarser bars from finer ones. vwap is volume-weighted."""
     keys = list(keys)
     return (bars
-            .groupBy(*keys, bar_start("ts", width).alias("ts"))
+            .groupBy(*keys, F.window("ts", width).alias("_w"))
             .agg(F.min_by("open", "ts").alias("open"),
                  F.max("high").alias("high"),
                  F.min("low").alias("low"),
                  F.max_by("close", "ts").alias("close"),
                  F.sum("volume").alias("volume"),
                  F.sum("trade_count").alias("trade_count"),
-                 F.try_divide(F.sum(F.col("vwap") * F.col("volume")), F.sum("volume")).alias("vwap")))
+                 F.try_divide(F.sum(F.col("vwap") * F.col("volume")), F.sum("volume")).alias("vwap"))
+            .select(*keys, F.col("_w.start").alias("ts"), "open", "high", "low", "close", "volume",
+                    "trade_count", "vwap"))
 
 
 def bars_between(bars: DataFrame, symbol: str, start, end, width: str | None = None) -> DataFrame:
