@@ -18,6 +18,7 @@ table ``PARAMS`` (symbol, version, gate, w, u, b) for storage.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 import numpy as np
@@ -202,14 +203,75 @@ def sgd_step(theta, grad, lr: float):
     return np.asarray(theta, dtype=np.float64) - lr * np.asarray(grad, dtype=np.float64)
 
 
+def _sig1(z: float) -> float:
+    z = z + SIGMOID_EPS
+    return 0.0 if z < -700.0 else 1.0 / (1.0 + math.exp(-z))
+
+
+def backward_one(theta, Xw: np.ndarray, yw) -> tuple:
+    """``backward`` for a single window, as used by sequential training.
+
+    The weights are fixed within a window, so the input projections of all
+    steps are one matrix product and the input-weight gradient another; only
+    the recurrence runs step by step, on plain floats.
+    """
+    b, Fn = Xw.shape
+    W, U, B = _split(theta, Fn)
+    P = (Xw @ W.T + B).tolist()
+    ua, ui, uf, uo = U.tolist()
+    h = c = 0.0
+    cache = []
+    for t in range(b):
+        p = P[t]
+        a = math.tanh(p[0] + ua * h)
+        i = _sig1(p[1] + ui * h)
+        f = _sig1(p[2] + uf * h)
+        o = _sig1(p[3] + uo * h)
+        c_prev, h_prev = c, h
+        c = a * i + f * c
+        tc = math.tanh(c)
+        h = tc * o
+        cache.append((a, i, f, o, c_prev, h_prev, tc, h))
+    D = np.zeros((b, 4))
+    gU = [0.0, 0.0, 0.0, 0.0]
+    dh_next = dc_next = f_next = 0.0
+    loss, counted = 0.0, 0
+    for t in range(b - 1, -1, -1):
+        a, i, f, o, c_prev, h_prev, tc, h = cache[t]
+        y = yw[t]
+        if y != y:                                   # NaN: no target at this step
+            err = 0.0
+        else:
+            err = h - y
+            loss += err * err / 2.0
+            counted += 1
+        d_out = err + dh_next
+        dc = d_out * o * (1.0 - tc * tc) + dc_next * f_next
+        da = dc * i * (1.0 - a * a)
+        di = dc * a * i * (1.0 - i)
+        df = dc * c_prev * f * (1.0 - f)
+        do = d_out * tc * o * (1.0 - o)
+        D[t] = (da, di, df, do)
+        gU[0] += da * h_prev
+        gU[1] += di * h_prev
+        gU[2] += df * h_prev
+        gU[3] += do * h_prev
+        dh_next = ua * da + ui * di + uf * df + uo * do
+        dc_next, f_next = dc, f
+    gW = D.T @ Xw
+    grad = np.concatenate([gW, np.asarray(gU)[:, None], D.sum(axis=0)[:, None]], axis=1).reshape(-1)
+    return grad, loss, counted
+
+
 def train_sequential(theta, X: np.ndarray, Y: np.ndarray, epochs: int, lr: float):
     """M5 kernel: one update after each window, windows in time order."""
     theta = np.asarray(theta, dtype=np.float64).copy()
     total, steps = 0.0, 0
+    Yl = Y.tolist()
     for _ in range(epochs):
         total, steps = 0.0, 0
         for k in range(X.shape[0]):
-            g, l, s = backward(theta, X[k:k + 1], Y[k:k + 1])
+            g, l, s = backward_one(theta, X[k], Yl[k])
             theta -= lr * g
             total += l
             steps += s
@@ -278,6 +340,28 @@ def score_bulk(df: DataFrame, cols: Sequence[str], b: int, theta, keys: Sequence
     return frame.groupBy(*keys, "_chunk").applyInPandas(run, out_schema)
 
 
+# Window length above which numpy scoring beats the interpreted fold.
+FOLD_MAX_STEPS = 16
+
+
+def score_windows(df: DataFrame, cols: Sequence[str], b: int, params, keys: Sequence[str] = ("symbol",),
+                  exclude_current: bool = True, method: str = "auto", bucket: str = "day",
+                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """(keys, ts, h) for every row with a full window, by the Catalyst fold
+    (M1) for short windows and numpy bulk scoring (M2) for long ones.
+
+    ``params`` is a gate dict or a theta vector (fixed model).
+    """
+    from .features import trailing_windows
+    theta = theta_from_gates(params) if isinstance(params, dict) else np.asarray(params, dtype=np.float64)
+    if method == "auto":
+        method = "fold" if b <= FOLD_MAX_STEPS else "bulk"
+    if method == "bulk":
+        return score_bulk(df, cols, b, theta, keys, exclude_current, bucket, chunk_rows)
+    w = trailing_windows(df, cols, b, keys, exclude_current, bucket=bucket, chunk_rows=chunk_rows)
+    return w.select(*keys, "ts", lstm_fold("xs", gates_from_theta(theta, len(cols)), len(cols)).alias("h"))
+
+
 # ---------------------------------------------------------------- M3 / M4 / M6
 
 def gradient_frame(windows: DataFrame, theta, n_features: int) -> DataFrame:

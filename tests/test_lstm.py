@@ -121,3 +121,15 @@ def test_gradient_frame_sums_partitions(spark):
     g, loss, steps = L.sum_gradients(L.gradient_frame(df, THETA, 2), THETA.size)
     g2, loss2, steps2 = L.backward(THETA, X, Y)
     assert np.allclose(g, g2) and loss == pytest.approx(loss2) and steps == steps2 == 48
+
+
+def test_single_window_backward_equals_vectorised():
+    rng = np.random.default_rng(11)
+    X = rng.random((3, 9, 4))
+    Y = rng.random((3, 9))
+    Y[0, 4] = np.nan
+    th = rng.random(4 * 6)
+    for k in range(3):
+        g1, l1, s1 = L.backward(th, X[k:k + 1], Y[k:k + 1])
+        g2, l2, s2 = L.backward_one(th, X[k], Y[k].tolist())
+        assert np.allclose(g1, g2, atol=1e-13) and l1 == pytest.approx(l2) and s1 == s2
