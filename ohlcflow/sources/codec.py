@@ -103,3 +103,27 @@ def decode_frames(frames: DataFrame, value_col: str = "value", allowed: Sequence
     for c, t in BAR_TYPES.items():
         out.append(F.col("m")[FRAME_KEYS[c]].try_cast(t).alias(c))
     return msgs.select(*out)
+
+
+def publish_kafka(df: DataFrame, servers: str, topic: str, cols: Sequence[str] | None = None,
+                  checkpoint: str | None = None):
+    """K2 sink: rows as JSON values on a topic, batch or streaming.
+
+    Needs Spark's Kafka connector on the class path; the value codec is
+    ``encode_json`` and is tested without a broker.
+    """
+    out = encode_json(df, cols)
+    if df.isStreaming:
+        w = (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+             .option("topic", topic))
+        if checkpoint:
+            w = w.option("checkpointLocation", checkpoint)
+        return w.start()
+    out.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+    return None
+
+
+def prediction_event(current, predicted) -> Column:
+    """K2 payload of the forecaster: {"currentPrice", "predictedPrice"}."""
+    return F.to_json(F.struct(F.col(current).cast("double").alias("currentPrice"),
+                              F.col(predicted).cast("double").alias("predictedPrice")))

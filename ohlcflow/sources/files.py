@@ -71,3 +71,16 @@ def write_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:
     """K7: prediction report (symbol, ts, current, target, predicted)."""
     w = report.write.mode("overwrite")
     (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
+
+
+def read_labelled_csv(spark: SparkSession, path: str, label_col: str = "author", text_col: str = "text",
+                      id_col: str | None = None) -> DataFrame:
+    """Labelled documents from a headered CSV whose texts span lines.
+
+    Output (doc_id, label, text); without an id column a stable id is derived
+    from the text (md5), never from row order.
+    """
+    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    doc_id = (F.col(id_col).cast("bigint") if id_col else
+              F.conv(F.substring(F.md5(F.col(text_col)), 1, 15), 16, 10).cast("bigint"))
+    return df.select(doc_id.alias("doc_id"), F.col(label_col).alias("label"), F.col(text_col).alias("text"))

@@ -131,3 +131,22 @@ def test_random_split_stable(spark):
     a = {r.doc_id: r.split for r in B.random_split(df.repartition(7), "doc_id").collect()}
     b = {r.doc_id: r.split for r in B.random_split(df.coalesce(1), "doc_id").collect()}
     assert a == b and 0.7 < sum(v == "train" for v in a.values()) / 500 < 0.9
+
+
+def test_projection_helpers_and_events(spark, bars5):
+    p = B.project(bars5, {"Date": "ts", "Close": "close"})
+    assert p.columns == ["Date", "Close"]
+    assert B.drop_columns(bars5, "ts").columns == [c for c in bars5.columns if c != "ts"]
+    assert B.column_at(bars5, 2).columns == ["open"]
+    assert ("close", "double") in B.schema_listing(bars5)
+    assert not B.is_empty(bars5) and B.is_empty(bars5.limit(0))
+    ev = bars5.limit(1).select(codec.prediction_event("close", "open").alias("v")).first().v
+    assert json.loads(ev) == {"currentPrice": 150.81, "predictedPrice": 150.84}
+
+
+def test_labelled_csv(spark, tmp_path):
+    p = tmp_path / "docs.csv"
+    p.write_text('author,text\nHAMILTON,"first line\nsecond line"\nMADISON,"other, text"\n')
+    from ohlcflow.sources.files import read_labelled_csv
+    d = read_labelled_csv(spark, str(p)).orderBy("label").collect()
+    assert [r.label for r in d] == ["HAMILTON", "MADISON"] and d[0].text == "first line\nsecond line"
