@@ -165,8 +165,12 @@ def q_random_split(spark, sf_dir):
                count(*) OVER (PARTITION BY symbol) AS n FROM ({D})))
   WHERE rn > n - nt - 60""")
 def q_tail(spark, sf_dir):
+    """D1 split, U2 re-concatenation with a split tag, L3 test + 60 context rows."""
     sp = B.chronological_split(daily(spark, sf_dir))
-    return rounded(B.tail_with_context(sp, 60).select("symbol", "ts", "split", "close"))
+    train = sp.where(F.col("split") == "train").drop("split")
+    test = sp.where(F.col("split") == "test").drop("split")
+    tagged = B.concat_tagged(train, test)
+    return rounded(B.tail_with_context(tagged, 60).select("symbol", "ts", "split", "close"))
 
 
 # ---------------------------------------------------------------- A1 / F*
