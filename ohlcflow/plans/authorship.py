@@ -63,8 +63,14 @@ def vectorize(docs: DataFrame, stop_words: bool = True, ngram_max: int = 1,
 
 
 def naive_bayes(v: Vectorized, alpha: float = 1.0) -> DataFrame:
-    """Fit on train presence (tf-idf > 0), predict the test split."""
-    present = v.weights.where(F.col("weight") > 0)
+    """Fit on train presence, predict the test split.
+
+    Presence is "tf-idf weight > 0", which holds exactly for the vocabulary
+    terms of a document (tf >= 1, idf >= 1), so it is taken from the term
+    table joined with the vocabulary; the normalising window is not needed.
+    """
+    vocab_terms = v.vocab.select("term")
+    present = v.tf.join(F.broadcast(vocab_terms) if v.bounded else vocab_terms, "term", "inner")
     model = TX.BernoulliNB.fit(
         present.where(F.col("split") == "train").select("doc_id", "label", "term"),
         v.docs.where(F.col("split") == "train").select("doc_id", "label"),
