@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import BAR_COLUMNS
-from .series import index_series
+from .series import ensure_index, index_series
 
 
 # ---------------------------------------------------------------- R1 resample
@@ -158,10 +158,19 @@ def latest_bar(bars: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
 
 
 def rolling_retention(bars: DataFrame, capacity: int, keys: Sequence[str] = ("symbol",),
-                      bucket: str = "day") -> DataFrame:
-    """L2: keep the newest ``capacity`` bars of each symbol."""
-    idx = index_series(bars, keys, ["ts"], bucket)
-    return idx.where(F.col("_g") >= F.col("_n") - F.lit(capacity)).drop("_g", "_n")
+                      bucket: str = "day", keep_index: bool = False) -> DataFrame:
+    """L2: keep the newest ``capacity`` bars of each symbol.
+
+    With ``keep_index`` the numbering is re-based to the kept rows
+    (``_g - (n - kept)``, ``_n = kept``) for the next ordered operator.
+    """
+    idx = ensure_index(bars, keys, bucket)
+    dropped = F.greatest(F.col("_n") - F.lit(capacity), F.lit(0))
+    out = idx.where(F.col("_g") >= dropped)
+    if not keep_index:
+        return out.drop("_g", "_n")
+    return (out.withColumn("_g", F.col("_g") - dropped)
+            .withColumn("_n", F.least(F.col("_n"), F.lit(capacity)).cast("bigint")))
 
 
 def tail_with_context(tagged: DataFrame, context: int, keys: Sequence[str] = ("symbol",),
@@ -183,16 +192,19 @@ def head(df: DataFrame, n: int, order: Sequence[str] = ("ts", "symbol")) -> Data
 # ------------------------------------------------------------- D splits
 
 def chronological_split(bars: DataFrame, test_fraction: float = 0.2,
-                        keys: Sequence[str] = ("symbol",), bucket: str = "day") -> DataFrame:
+                        keys: Sequence[str] = ("symbol",), bucket: str = "day",
+                        keep_index: bool = False) -> DataFrame:
     """Tag the newest ``ceil(test_fraction * n)`` rows of each key as test.
 
-    Same counts as an unshuffled 80/20 hold-out; the rest is train.
+    Same counts as an unshuffled 80/20 hold-out; the rest is train. An input
+    that is already numbered (``_g``/``_n``) is not numbered again;
+    ``keep_index`` keeps the numbering for the next ordered operator.
     """
-    idx = index_series(bars, keys, ["ts"], bucket)
+    idx = ensure_index(bars, keys, bucket)
     n_test = F.ceil(F.col("_n") * F.lit(test_fraction))
-    return (idx.withColumn("split", F.when(F.col("_g") >= F.col("_n") - n_test, F.lit("test"))
-                           .otherwise(F.lit("train")))
-            .drop("_g", "_n"))
+    out = idx.withColumn("split", F.when(F.col("_g") >= F.col("_n") - n_test, F.lit("test"))
+                         .otherwise(F.lit("train")))
+    return out if keep_index else out.drop("_g", "_n")
 
 
 def hash_bucket(id_col: str, seed: int = 1234):

@@ -67,14 +67,21 @@ def invert_minmax(df: DataFrame, col: str, lo: str, hi: str, out: str | None = N
 
 def lead_target(bars: DataFrame, col: str = "close", out: str = "target",
                 keys: Sequence[str] = ("symbol",), fill_mean: bool = True,
-                bucket: str = "day", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                bucket: str = "day", chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                keep_index: bool = False) -> DataFrame:
     """Next row's ``col`` as target; the last row of each key gets the
-    mean of the known targets (A2) when ``fill_mean``."""
+    mean of the known targets (A2) when ``fill_mean``.
+
+    ``keep_index`` keeps ``_g``/``_n`` (rows are neither added nor removed),
+    so a following ordered operator reuses the numbering.
+    """
     keys = _keys(keys)
     idx = ensure_index(bars, keys, bucket)
     frame, w = chunked(idx, keys, fwd=1, chunk_rows=chunk_rows)
     frame = frame.withColumn(out, F.lead(col, 1).over(w))
-    res = own_rows(frame).drop("_g", "_n")
+    res = own_rows(frame)
+    if not keep_index:
+        res = res.drop("_g", "_n")
     if not fill_mean:
         return res
     # A2: mean of known targets per key, a partial aggregate joined back.

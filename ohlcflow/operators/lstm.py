@@ -406,6 +406,8 @@ def train_distributed(windows: DataFrame, n_features: int, epochs: int = 4, lr:
     windows are checkpointed once so every epoch rereads them instead of
     recomputing the window plan. Returns (theta, loss per epoch).
     """
+    from ..session import shared_dir
+    shared_dir(windows.sparkSession)
     th = init_theta(n_features, seed) if theta is None else np.asarray(theta, dtype=np.float64)
     cached = windows.select("xs", "ys").checkpoint(eager=True)
     history = []

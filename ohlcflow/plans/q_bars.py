@@ -358,8 +358,9 @@ def q_predict_next(spark, sf_dir):
 def validation_report(spark, sf_dir, b: int = 4):
     """M9 / K7: scaler fitted on the train split, windows inside the test
     split, each test bar beside its next close and its prediction."""
-    lt = X.lead_target(hourly(spark, sf_dir))
-    sp = B.chronological_split(lt)
+    # one row numbering serves the lead, the split and the windows
+    lt = X.lead_target(hourly(spark, sf_dir), keep_index=True)
+    sp = B.chronological_split(lt, keep_index=True)
     fit = X.fit_minmax(sp.where(F.col("split") == "train"), ["close", "volume", "target"])
     scaled = X.apply_minmax(sp, fit, ["close", "volume"], suffix="_s")
     win = X.trailing_windows(scaled, ["close_s", "volume_s"], b,

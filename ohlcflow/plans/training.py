@@ -24,7 +24,7 @@ MAIN_WINDOW, MAIN_EPOCHS, MAIN_LR, ROLLING_CAPACITY = 72, 4, 1.0, 288
 def training_rows(bars: DataFrame, capacity: int = ROLLING_CAPACITY, features=BAR_FEATURES) -> DataFrame:
     """Newest ``capacity`` bars per symbol with next-close targets (W1, A2),
     min-max scaled per symbol over that rolling set (A1, F3)."""
-    kept = B.rolling_retention(bars, capacity)
+    kept = B.rolling_retention(bars, capacity, keep_index=True)
     lt = X.lead_target(kept, "close", "target")
     fit = X.fit_minmax(lt, [*features, "target"])
     return X.apply_minmax(lt, fit, [*features, "target"], suffix="_s")
@@ -56,7 +56,7 @@ def warm_start(spark: SparkSession, bars: DataFrame, model_path: str | None = No
 
 def pooled_windows(bars: DataFrame, b: int, features=("close", "volume")) -> DataFrame:
     """Windows (xs, ys) of every symbol, scaled per symbol, for M6."""
-    lt = X.lead_target(bars, "close", "target")
+    lt = X.lead_target(bars, "close", "target", keep_index=True)
     fit = X.fit_minmax(lt, [*features, "target"])
     sc = X.apply_minmax(lt, fit, [*features, "target"], suffix="_s")
     return X.sequence_windows(sc, [f"{c}_s" for c in features], b, target="target_s")

@@ -76,3 +76,15 @@ def test_retention_and_split_match_global(skewed):
     w = Window.partitionBy("symbol").orderBy(F.desc("ts"))
     exp = skewed.withColumn("rn", F.row_number().over(w)).where("rn <= 10").drop("rn")
     assert sorted(B.rolling_retention(skewed, 10).collect()) == sorted(exp.collect())
+
+
+def test_kept_index_matches_fresh_index(skewed):
+    kept = B.rolling_retention(skewed, 40, keep_index=True)
+    fresh = index_series(B.rolling_retention(skewed, 40), ["symbol"], ["ts"], "hour")
+    a = sorted((r.symbol, r.ts, r._g, r._n) for r in kept.select("symbol", "ts", "_g", "_n").collect())
+    b = sorted((r.symbol, r.ts, r._g, r._n) for r in fresh.select("symbol", "ts", "_g", "_n").collect())
+    assert a == b
+    lt = X.lead_target(skewed, keep_index=True, chunk_rows=7)
+    sp = B.chronological_split(lt, keep_index=True)
+    ref = B.chronological_split(skewed).select("symbol", "ts", "split")
+    assert sorted(sp.select("symbol", "ts", "split").collect()) == sorted(ref.collect())
