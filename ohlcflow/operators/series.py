@@ -48,15 +48,11 @@ def index_series(df: DataFrame, keys: Sequence[str] = ("symbol",),
     bkt = F.date_trunc(bucket, F.col(order[0]))
     d = df.withColumn("_bkt", bkt)
     w_local = Window.partitionBy(*keys, "_bkt").orderBy(*order)
-    whole = w_local.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # Local number and bucket size in one window pass (same partition and
-    # order spec, so one sort).
-    d = (d.withColumn("_rib", F.row_number().over(w_local) - 1)
-         .withColumn("_cnt", F.count(F.lit(1)).over(whole)))
-    # One row per (key, bucket), taken from the numbered rows themselves: the
-    # offsets branch then shares the input's scan and exchange instead of
-    # re-deriving the input with pruned columns.
-    counts = d.where(F.col("_rib") == 0).select(*keys, "_bkt", "_cnt")
+    d = d.withColumn("_rib", F.row_number().over(w_local) - 1)
+    # One row per (key, bucket). Catalyst prunes this branch down to the
+    # grouping columns (a narrow re-read of the input with a hash aggregate),
+    # which is cheaper than sharing the numbered rows.
+    counts = d.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     w_key = Window.partitionBy(*keys).orderBy("_bkt")
     offsets = counts.select(
         *keys, "_bkt",
@@ -67,7 +63,7 @@ def index_series(df: DataFrame, keys: Sequence[str] = ("symbol",),
     # The offsets table is small but grows with keys x buckets, so no
     # broadcast hint: AQE broadcasts it when its measured size is below the
     # threshold and keeps the shuffle join beyond it.
-    out = d.drop("_cnt").join(offsets, [*keys, "_bkt"], "inner")
+    out = d.join(offsets, [*keys, "_bkt"], "inner")
     return out.withColumn("_g", F.col("_off") + F.col("_rib")).drop("_off", "_rib", "_bkt")
 
 
