@@ -424,20 +424,23 @@ def train_distributed(windows: DataFrame, n_features: int, epochs: int = 4, lr:
 def train_per_symbol(rows: DataFrame, cols: Sequence[str], target: str, b: int, epochs: int = 2,
                      lr: float = 0.01, keys: Sequence[str] = ("symbol",), seed: int = 0,
                      init: DataFrame | None = None, version: int = 1,
-                     grid: Sequence[dict] | None = None) -> DataFrame:
+                     grid: Sequence[dict] | None = None, capacity: int = 288) -> DataFrame:
     """M5 (and M10 with ``grid``): exact sequential SGD per symbol.
 
     The reference updates after every window in time order, which is
     inherently sequential inside one series; it is parallel over symbols (and
-    grid points). Callers bound each series first (``rolling_retention``:
-    the reference trains on a fixed-size rolling dataset), so one group is
-    capacity rows, not a symbol's whole history; for unbounded history use
+    grid points). Each group is bounded: only the newest ``capacity`` rows of
+    a symbol are trained on (the reference trains on a fixed-size rolling
+    dataset), enforced here by row index (a plain filter when the input
+    already carries ``_g``/``_n``). For unbounded history use
     ``train_distributed``.
 
     ``init`` is an optional (keys, theta) frame to warm-start from (M7).
     Output: (keys, [grid_id,] version, theta, loss, windows).
     """
+    from .bars import rolling_retention
     keys = list(keys)
+    rows = rolling_retention(rows, capacity, keys)
     Fn = len(cols)
     sel = [*keys, "ts", *[F.col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(cols)],
            F.col(target).cast("double").alias("_y")]

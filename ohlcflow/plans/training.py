@@ -25,7 +25,7 @@ def training_rows(bars: DataFrame, capacity: int = ROLLING_CAPACITY, features=BA
     """Newest ``capacity`` bars per symbol with next-close targets (W1, A2),
     min-max scaled per symbol over that rolling set (A1, F3)."""
     kept = B.rolling_retention(bars, capacity, keep_index=True)
-    lt = X.lead_target(kept, "close", "target")
+    lt = X.lead_target(kept, "close", "target", keep_index=True)
     fit = X.fit_minmax(lt, [*features, "target"])
     return X.apply_minmax(lt, fit, [*features, "target"], suffix="_s")
 
@@ -36,7 +36,7 @@ def train_symbols(bars: DataFrame, b: int = MAIN_WINDOW, epochs: int = MAIN_EPOC
     """Per-symbol sequential training on the rolling dataset."""
     rows = training_rows(bars, capacity)
     return L.train_per_symbol(rows, [f"{c}_s" for c in BAR_FEATURES], "target_s", b, epochs, lr,
-                              seed=seed, init=init, version=version, grid=grid)
+                              seed=seed, init=init, version=version, grid=grid, capacity=capacity)
 
 
 def warm_start(spark: SparkSession, bars: DataFrame, model_path: str | None = None, b: int = MAIN_WINDOW,
