@@ -133,3 +133,26 @@ def q_stream_retrain(spark, sf_dir):
     p = L.load_params(spark, models)
     newest = p.groupBy("symbol").agg(F.max("version").alias("version"))
     return p.join(newest, ["symbol", "version"])
+
+
+@register("stream_refresh_scores")
+def q_stream_refresh(spark, sf_dir):
+    """ST5 with model refresh: per micro-batch the newest stored parameters
+    (trained by M5 on the rolling data) score the batch's bars from their
+    previous 24 stored bars."""
+    from ..operators import bars as B
+    from ..operators import features as X
+    bars = hourly(spark, sf_dir)
+    models, scaler_path = scratch_path(spark, "models"), scratch_path(spark, "scaler")
+    nf = len(TR.BAR_FEATURES)
+    L.save_params(L.thetas_to_params(TR.train_symbols(bars, b=24, epochs=1, lr=0.5), nf), models)
+    lt = X.lead_target(B.rolling_retention(bars, TR.ROLLING_CAPACITY), "close", "target")
+    X.fit_minmax(lt, [*TR.BAR_FEATURES, "target"]).write.parquet(scaler_path)
+    bus = _published(spark, sf_dir)
+    stream = S.decode_stream(S.message_stream(spark, bus, max_files_per_trigger=10))
+    store, out = scratch_path(spark, "rolling"), scratch_path(spark, "refresh-scores")
+    writer = ST.refreshing_score_writer(spark, store, models, scaler_path, out, 24, TR.BAR_FEATURES,
+                                        capacity=TR.ROLLING_CAPACITY)
+    q, _ = S.start(stream, "refresh", spark, foreach_batch=writer)
+    S.run_to_completion(q)
+    return rounded(_ntz(spark.read.parquet(out).select("symbol", "ts", "actual", "predicted", "version")))

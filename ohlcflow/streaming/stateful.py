@@ -140,3 +140,47 @@ def retrain_writer(spark: SparkSession, store_path: str, model_path: str, train_
         params = train_fn(store, init, int(batch_id) + 1)
         save_params(params, model_path)
     return run
+
+
+def refreshing_score_writer(spark: SparkSession, store_path: str, model_path: str, scaler_path: str,
+                            out_path: str, b: int, features: Sequence[str], capacity: int = 288):
+    """ST5 with a model refreshed between micro-batches (``foreachBatch``).
+
+    Per batch: append the bars to the rolling store (idempotent by
+    ``batch_id``), load the newest parameters (K5) and scaler of each symbol,
+    build for every bar of the batch the window of the ``b`` stored bars
+    before it (W2 over the symbol's newest ``capacity`` bars, not its whole
+    history), score with the per-symbol parameters (M1, J2) and write
+    (symbol, ts, actual, predicted, version) under ``batch_id``. The state
+    between batches is the store itself, so a restarted query continues
+    from it. ``capacity`` must cover the bars of one symbol in one batch plus
+    ``b``.
+    """
+    from ..functions.scalar import minmax_inverse, minmax_scale
+    from ..operators.bars import rolling_retention
+    from ..operators.features import trailing_windows
+    from ..operators.lstm import lstm_fold, load_params, theta_column
+
+    feats = list(features)
+
+    def run(batch: DataFrame, batch_id: int):
+        if batch.isEmpty():
+            return
+        batch.write.mode("overwrite").parquet(f"{store_path}/batch_id={int(batch_id)}")
+        touched = batch.select("symbol").distinct()
+        hist = rolling_retention(spark.read.parquet(store_path).join(touched, "symbol", "left_semi"), capacity)
+        theta = theta_column(load_params(spark, model_path))
+        scaler = spark.read.parquet(scaler_path)
+        s = hist.join(broadcast_if_small(scaler), "symbol")
+        for c in feats:
+            s = s.withColumn(f"{c}_s", minmax_scale(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")))
+        win = trailing_windows(s, [f"{c}_s" for c in feats], b, exclude_current=True,
+                               keep=["close", "target_min", "target_max"])
+        win = win.join(batch.select("symbol", "ts"), ["symbol", "ts"], "left_semi")
+        scored = win.join(broadcast_if_small(theta), "symbol")
+        h = lstm_fold(F.col("xs"), F.col("theta"), len(feats))
+        out = scored.select("symbol", "ts", F.col("close").alias("actual"),
+                            minmax_inverse(h, F.col("target_min"), F.col("target_max")).alias("predicted"),
+                            "version")
+        out.write.mode("overwrite").parquet(f"{out_path}/batch_id={int(batch_id)}")
+    return run

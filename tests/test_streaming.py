@@ -114,3 +114,34 @@ def test_progress_listener(spark):
         time.sleep(0.2)
     log.detach(spark)
     assert str(q.id) in log.progress
+
+
+def test_refreshing_scorer_two_batches_equal_batch(spark):
+    """foreachBatch scoring with the stored model: two batches give the same
+    predictions as one batch pass over the whole series."""
+    import numpy as np
+    from ohlcflow.operators import features as X
+    from ohlcflow.functions.scalar import minmax_inverse
+    bars = _bars(spark, 12).withColumn("ts", F.col("ts").cast("timestamp"))
+    feats = ["close", "volume"]
+    scaler = X.fit_minmax(bars, feats).withColumn("target_min", F.col("close_min")) \
+        .withColumn("target_max", F.col("close_max"))
+    th = L.init_theta(2, seed=4)
+    models, scaler_path = scratch_path(spark, "m"), scratch_path(spark, "s")
+    L.save_params(L.params_frame(spark, {"A": th, "B": th}, 2, version=1), models)
+    scaler.write.parquet(scaler_path)
+    store, out = scratch_path(spark, "st"), scratch_path(spark, "out")
+    w = ST.refreshing_score_writer(spark, store, models, scaler_path, out, 3, feats, capacity=50)
+    cut = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    w(bars.where(F.col("ts") < cut), 0)
+    w(bars.where(F.col("ts") >= cut), 1)
+    got = {(r.symbol, r.ts): r.predicted for r in spark.read.parquet(out).collect()}
+    sc = X.apply_minmax(bars, scaler, feats, suffix="_s")
+    win = X.trailing_windows(sc, ["close_s", "volume_s"], 3, exclude_current=True,
+                             keep=["target_min", "target_max"])
+    exp = {(r.symbol, r.ts): r.p for r in win.select(
+        "symbol", "ts", minmax_inverse(L.lstm_fold("xs", L.gates_from_theta(th, 2), 2), F.col("target_min"),
+                                       F.col("target_max")).alias("p")).collect()}
+    assert len(exp) == 2 * (12 - 3)
+    assert got.keys() == exp.keys()
+    assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
