@@ -150,3 +150,15 @@ def test_labelled_csv(spark, tmp_path):
     from ohlcflow.sources.files import read_labelled_csv
     d = read_labelled_csv(spark, str(p)).orderBy("label").collect()
     assert [r.label for r in d] == ["HAMILTON", "MADISON"] and d[0].text == "first line\nsecond line"
+
+
+def test_parquet_store_prunes_partitions(spark, bars5, tmp_path):
+    path = str(tmp_path / "store")
+    files.write_bars_parquet(bars5, path, mode="overwrite")
+    stored = spark.read.parquet(path)
+    q = B.bars_between(stored, "AAPL", "2021-11-16 00:00:00", "2021-11-17 00:00:00")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(symbol" in plan and "(symbol" in plan
+    assert "PushedFilters: [IsNotNull(ts)" in plan
+    exp = bars5.where((F.col("ts") >= dt.datetime(2021, 11, 16)) & (F.col("ts") < dt.datetime(2021, 11, 17)))
+    assert q.count() == exp.count() > 0
