@@ -9,7 +9,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import BAR_COLUMNS
 from .series import ensure_index, index_series
 
 
@@ -222,5 +221,3 @@ def random_split(df: DataFrame, id_col: str, train_percent: int = 80, seed: int
 def n_test_rows(n: int, test_fraction: float = 0.2) -> int:
     return int(math.ceil(test_fraction * n))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["BAR_COLUMNS"]

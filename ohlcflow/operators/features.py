@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import minmax_inverse, minmax_scale
-from .series import DEFAULT_CHUNK_ROWS, chunked, ensure_index, index_series, own_rows
+from .series import DEFAULT_CHUNK_ROWS, chunked, ensure_index, own_rows
 
 
 def _keys(keys) -> list:
@@ -211,5 +211,3 @@ def pair_actual_predicted(scored: DataFrame, actual: str = "close", predicted: s
     return (lagged.where(F.col("_prev").isNotNull())
             .select(*keys, "ts", F.col(actual).alias("actual"), F.col("_prev").alias("predicted")))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["Window"]

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import SIGMOID_EPS, dot, minmax_inverse, sigmoid
 from ..schema import GATES, PARAMS
-from .series import DEFAULT_CHUNK_ROWS, chunked, ensure_index, index_series, own_rows
+from .series import DEFAULT_CHUNK_ROWS, chunked, ensure_index
 
 # The worked-example weights (two inputs) of the reference's
 # test mode, gate -> (input weights, recurrent weight, bias).

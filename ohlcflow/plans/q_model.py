@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import functions as F
-
 from .. import tables
 from ..operators import lstm as L
-from ..operators.bars import ticks_to_bars
 from . import training as TR
 from .oracle import sql_forecast_pairs
 from .q_bars import daily, hourly
@@ -51,7 +48,6 @@ def q_warm(spark, sf_dir):
 def q_gradients(spark, sf_dir):
     """M3 + A8: summed BPTT gradient of the fixed weights over every window
     of 4 hourly bars, one row per partition summed to one row."""
-    from .q_bars import X
     bars = hourly(spark, sf_dir)
     w = TR.pooled_windows(bars, 4)
     th = L.theta_from_gates(L.FIXED_TEST_WEIGHTS)

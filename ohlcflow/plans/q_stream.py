@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import tables
 from ..operators import lstm as L
 from ..schema import BAR_COLUMNS
 from ..session import scratch_path
