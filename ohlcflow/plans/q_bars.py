@@ -10,7 +10,8 @@ from ..functions.scalar import minmax_inverse, sigmoid, dot
 from ..operators import bars as B
 from ..operators import features as X
 from ..operators.lstm import FIXED_TEST_WEIGHTS, lstm_fold
-from ..sources import codec
+from ..session import scratch_path
+from ..sources import codec, files
 from . import forecast
 from .oracle import sql_bars_from_ticks, sql_lstm_step, sql_resample
 from .registry import register, rounded
@@ -400,3 +401,30 @@ SELECT symbol, count(*) AS pairs, R6(avg(abs(target - predicted))) AS mae,
        R6(avg((target - predicted) * (target - predicted) / 2.0)) AS loss FROM report GROUP BY symbol""")
 def q_validation_error(spark, sf_dir):
     return rounded(forecast.error_metrics(validation_report(spark, sf_dir), "target", "predicted"))
+
+
+# ---------------------------------------------------------------- S1-S3, K1 file round trips
+
+@register("bars_csv_roundtrip", f"SELECT {BAR_R6} FROM ({H})")
+def q_csv_roundtrip(spark, sf_dir):
+    """K1 writes hourly bars as headered CSV per symbol, S1 reads them back."""
+    path = scratch_path(spark, "bars-csv")
+    files.write_bars_csv(hourly(spark, sf_dir), path, by_symbol=True)
+    return rounded(ntz(files.read_bars_csv(spark, path)))
+
+
+@register("bars_json_roundtrip", f"SELECT {BAR_R6} FROM ({H})")
+def q_json_roundtrip(spark, sf_dir):
+    """Bars as JSON lines with quoted numbers, read back by S3."""
+    path = scratch_path(spark, "bars-json")
+    files.write_bars_json(hourly(spark, sf_dir), path)
+    return rounded(ntz(files.read_bars_json(spark, path)))
+
+
+@register("daily_csv_roundtrip", f"""SELECT symbol, CAST(ts AS DATE) AS date, R6(open) AS open, R6(high) AS high,
+  R6(low) AS low, R6(close) AS close, volume FROM ({D})""")
+def q_daily_csv(spark, sf_dir):
+    """Daily bars written as M/d/yyyy dates and grouped volumes, read by S2."""
+    path = scratch_path(spark, "daily-csv")
+    files.write_daily_csv(daily(spark, sf_dir), path)
+    return rounded(files.read_daily_csv(spark, path))

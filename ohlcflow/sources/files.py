@@ -14,7 +14,16 @@ from ..schema import BAR_COLUMNS, CSV_BAR, DAILY_CSV, WIRE_BAR
 from .codec import BAR_TYPES, CSV_TO_BAR
 
 
+def _with_symbol_partition(schema):
+    """Reader schema plus the ``symbol`` partition column (folders
+    ``symbol=...`` written by the partitioned writers)."""
+    from pyspark.sql import types as T
+    return T.StructType([*schema.fields, T.StructField("symbol", T.StringType())])
+
+
 def _to_engine(df: DataFrame, symbol) -> DataFrame:
+    if symbol is None and "symbol" in df.columns:
+        symbol = F.col("symbol")
     sym = F.lit(symbol) if isinstance(symbol, str) or symbol is None else symbol
     out = [sym.cast("string").alias("symbol"), parse_bar_time(F.col("Date").cast("string")).alias("ts")]
     for src, dst in CSV_TO_BAR.items():
@@ -25,16 +34,20 @@ def _to_engine(df: DataFrame, symbol) -> DataFrame:
 
 
 def read_bars_csv(spark: SparkSession, path: str, symbol: str | None = None, infer: bool = False) -> DataFrame:
-    """Headered bar CSV (``Date,Open,High,Low,Close,Volume,Trade_count,vwap``)."""
+    """Headered bar CSV (``Date,Open,High,Low,Close,Volume,Trade_count,vwap``).
+
+    Without ``symbol`` the symbol comes from ``symbol=...`` partition folders.
+    """
     r = spark.read.option("header", True)
-    r = r.option("inferSchema", True) if infer else r.schema(CSV_BAR)
+    r = r.option("inferSchema", True) if infer else r.schema(CSV_BAR if symbol else _with_symbol_partition(CSV_BAR))
     return _to_engine(r.csv(path), symbol)
 
 
 def read_daily_csv(spark: SparkSession, path: str, symbol: str | None = None) -> DataFrame:
     """Daily prices, ``M/d/yyyy`` dates and grouped volumes ("1,657,300")."""
-    df = spark.read.option("header", True).schema(DAILY_CSV).csv(path)
-    sym = F.lit(symbol).cast("string")
+    schema = DAILY_CSV if symbol else _with_symbol_partition(DAILY_CSV)
+    df = spark.read.option("header", True).schema(schema).csv(path)
+    sym = (F.lit(symbol) if symbol else F.col("symbol")).cast("string")
     return df.select(sym.alias("symbol"),
                      F.to_date("Date", "M/d/yyyy").alias("date"),
                      F.col("Open").alias("open"), F.col("High").alias("high"),
@@ -47,16 +60,37 @@ def read_bars_json(spark: SparkSession, path: str, symbol: str | None = None, ar
 
     Fields are read as strings and cast (numbers may be quoted).
     """
-    df = spark.read.schema(WIRE_BAR).option("multiLine", array).json(path)
+    schema = WIRE_BAR if symbol else _with_symbol_partition(WIRE_BAR)
+    df = spark.read.schema(schema).option("multiLine", array).json(path)
     return _to_engine(df, symbol)
 
 
-def write_bars_csv(bars: DataFrame, path: str) -> None:
-    """K1: headered CSV in the stored-bar layout, overwrite."""
+def write_bars_csv(bars: DataFrame, path: str, by_symbol: bool = False) -> None:
+    """K1: headered CSV in the stored-bar layout, overwrite; ``by_symbol``
+    writes one ``symbol=...`` folder per symbol."""
+    names = {v: k for k, v in CSV_TO_BAR.items()}
+    out = bars.withColumn("ts", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ssXXX"))
+    cols = [F.col(c).alias(names[c]) for c in ["ts", *BAR_TYPES]] + (["symbol"] if by_symbol else [])
+    w = out.select(*cols).write.mode("overwrite").option("header", True)
+    (w.partitionBy("symbol") if by_symbol else w).csv(path)
+
+
+def write_bars_json(bars: DataFrame, path: str) -> None:
+    """Bars as JSON lines with every field quoted (the replay file format),
+    one ``symbol=...`` folder per symbol."""
     names = {v: k for k, v in CSV_TO_BAR.items()}
-    out = bars.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ssXXX"))
-    out.select(*[F.col(c).alias(names[c]) for c in ["ts", *BAR_TYPES]]) \
-        .write.mode("overwrite").option("header", True).csv(path)
+    out = bars.withColumn("ts", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ssXXX"))
+    cols = [F.col(c).cast("string").alias(names[c]) for c in ["ts", *BAR_TYPES]]
+    out.select(*cols, "symbol").write.mode("overwrite").partitionBy("symbol").json(path)
+
+
+def write_daily_csv(bars: DataFrame, path: str) -> None:
+    """Daily bars in the daily price layout: ``M/d/yyyy`` dates and grouped
+    volumes, one ``symbol=...`` folder per symbol."""
+    out = bars.select(F.date_format("ts", "M/d/yyyy").alias("Date"), F.col("open").alias("Open"),
+                      F.col("high").alias("High"), F.col("low").alias("Low"), F.col("close").alias("Close"),
+                      F.format_number(F.col("volume"), 0).alias("Volume"), "symbol")
+    out.write.mode("overwrite").option("header", True).partitionBy("symbol").csv(path)
 
 
 def write_bars_parquet(bars: DataFrame, path: str, mode: str = "append") -> None:
