@@ -133,3 +133,38 @@ def test_single_window_backward_equals_vectorised():
         g1, l1, s1 = L.backward(th, X[k:k + 1], Y[k:k + 1])
         g2, l2, s2 = L.backward_one(th, X[k], Y[k].tolist())
         assert np.allclose(g1, g2, atol=1e-13) and l1 == pytest.approx(l2) and s1 == s2
+
+
+def test_train_per_symbol_equals_numpy(spark):
+    import datetime as dt
+    rng = np.random.default_rng(3)
+    rows = []
+    series = {}
+    for s in ("A", "B"):
+        v = rng.random((30, 2))
+        y = rng.random(30)
+        series[s] = (v, y)
+        for t in range(30):
+            rows.append((s, dt.datetime(2024, 1, 1) + dt.timedelta(hours=t), float(v[t, 0]), float(v[t, 1]),
+                         float(y[t])))
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, x0 double, x1 double, y double")
+    out = {r.symbol: r for r in L.train_per_symbol(df.repartition(3), ["x0", "x1"], "y", b=5, epochs=2,
+                                                   lr=0.3, seed=9, capacity=100).collect()}
+    for s, (v, y) in series.items():
+        X, Y = L.windows_of(v, y, 5)
+        th, loss = L.train_sequential(L.init_theta(2, 9), X, Y, 2, 0.3)
+        assert np.allclose(out[s].theta, th, atol=1e-12)
+        assert out[s].windows == 25 and out[s].loss == pytest.approx(loss)
+
+
+def test_train_distributed_one_epoch_equals_full_batch_step(spark):
+    rng = np.random.default_rng(8)
+    X = rng.random((20, 4, 2))
+    Y = rng.random((20, 4))
+    df = spark.createDataFrame([(X[i].tolist(), Y[i].tolist()) for i in range(20)],
+                               "xs array<array<double>>, ys array<double>").repartition(4)
+    th0 = L.init_theta(2, 1)
+    th, hist = L.train_distributed(df, 2, epochs=1, lr=0.2, theta=th0)
+    g, loss, steps = L.backward(th0, X, Y)
+    assert np.allclose(th, th0 - 0.2 * g / steps, atol=1e-12)
+    assert hist[0] == pytest.approx(loss / steps)
