@@ -22,17 +22,26 @@ from ..operators.bars import ticks_to_bars
 from ..operators.features import trailing_windows
 from ..operators.lstm import FIXED_TEST_WEIGHTS, lstm_fold
 from ..operators.series import DEFAULT_CHUNK_ROWS, index_series
+from ..session import materialize
 
 FEATURES = ("close", "volume")
 
 
-def scaled_bars(bars: DataFrame, features=FEATURES, target: str = "close", bucket: str = "day") -> DataFrame:
+def scaled_bars(bars: DataFrame, features=FEATURES, target: str = "close", bucket: str = "day",
+                materialize_bars: bool = True) -> DataFrame:
     """Index bars and attach per-symbol scaler columns.
 
     The target of bar t is the close of bar t+1, so the target scaler is the
     min/max of ``target`` over every bar but the first (the mean fill of the
     last target lies inside that range and cannot move it).
+
+    The bars feed three branches (numbering, bucket counts, scaler); each
+    prunes other columns, so without ``materialize_bars`` Spark would
+    aggregate the raw trades once per branch. Bars are much smaller than
+    trades, so they are written once to the shared folder instead.
     """
+    if materialize_bars:
+        bars = materialize(bars)
     idx = index_series(bars, ["symbol"], ["ts"], bucket)
     aggs = []
     for c in features:

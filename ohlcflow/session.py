@@ -111,3 +111,15 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def materialize(df, eager: bool = True):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used where one derived table feeds several branches of a plan whose
+    column pruning would otherwise make Spark recompute it per branch (e.g.
+    bars aggregated from raw trades). Unlike a cache, the written copy cuts
+    the lineage and survives the loss of executors.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
