@@ -84,8 +84,11 @@ def lead_target(bars: DataFrame, col: str = "close", out: str = "target",
         res = res.drop("_g", "_n")
     if not fill_mean:
         return res
-    # A2: mean of known targets per key, a partial aggregate joined back.
-    means = res.groupBy(*keys).agg(F.avg(out).alias("_mean_target"))
+    # A2: mean of the known targets per key. The known targets are exactly
+    # the values at positions >= 1, so the mean is a partial aggregate over the
+    # numbered rows, not over the window output (which would run the window
+    # pass a second time).
+    means = idx.where(F.col("_g") >= 1).groupBy(*keys).agg(F.avg(col).alias("_mean_target"))
     return (res.join(means, keys, "inner")
             .withColumn(out, F.coalesce(F.col(out), F.col("_mean_target")))
             .drop("_mean_target"))
