@@ -6,33 +6,20 @@ whole text.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .stopwords import ENGLISH
+
 # Fixed value: a token is a run of two or more letters, digits or underscores
 # (after lower-casing), the default word pattern of the reference vectoriser.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
-STOP_WORDS_RESOURCE = "org/apache/spark/ml/feature/stopwords/english.txt"
-
-
-@lru_cache(maxsize=None)
 def english_stop_words() -> tuple:
     """Spark's built-in English stop-word list (the one ``StopWordsRemover``
-    loads), read from the MLlib jar so it is available without a JVM (the
+    loads), kept as a constant so that it needs neither a JVM nor a jar (the
     oracle SQL embeds the same list)."""
-    import pyspark
-    jars = sorted(glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found")
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read(STOP_WORDS_RESOURCE).decode("utf-8")
-    return tuple(w.strip() for w in text.splitlines() if w.strip())
+    return ENGLISH
 
 
 def tokenize(text) -> Column:

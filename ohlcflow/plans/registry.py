@@ -41,10 +41,18 @@ def expand_r6(sql: str) -> str:
         i = k
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql=None):
+    """Register a builder with its oracle: SQL text, or a function giving it."""
     def deco(fn):
-        REGISTRY[name] = (fn, expand_r6(sql) if sql else None)
+        REGISTRY[name] = (fn, sql)
         return fn
     return deco
 
 
+def oracle_of(name: str) -> str | None:
+    """The DuckDB text of a query, built when it is asked for: a bad oracle
+    fails alone and never the import of the registry."""
+    sql = REGISTRY[name][1]
+    return expand_r6(sql() if callable(sql) else sql) if sql else None
+
+
