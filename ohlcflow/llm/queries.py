@@ -116,12 +116,12 @@ QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_language_id, op3_chat_
                                    op10_html_text)}
 
 ORACLES = {
-    "op4_topk_search": """WITH f AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    "op4_topk_search": """WITH f AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-  AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 d AS (SELECT vec_id, min(v) AS v FROM f GROUP BY vec_id),
 s AS (SELECT q.vec_id AS query_id, c.vec_id,
-  CAST(coalesce(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])), 0) AS BIGINT) AS score
+  CAST(coalesce(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])), 0) AS BIGINT) AS score
   FROM d q JOIN d c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
   vec_id, score FROM s)
