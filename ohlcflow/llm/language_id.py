@@ -127,17 +127,17 @@ def training_windows(docs: DataFrame, may_learn: Column, id_col: str = "doc_id",
                      lang_col: str = "lang", per_lang: int = PER_LANG) -> DataFrame:
     """lang, id, place, window: the bounded labelled sample as byte windows.
 
-    Only ids and hashes are ranked (a task hands on ``per_lang`` rows a
-    language at most); texts of the chosen rows alone are cut, in the tasks."""
+    Only hashes are ranked (a task hands on ``per_lang`` rows a language at
+    most); the last hash chosen of each language then picks the texts in a
+    scan, so no text is shuffled. Rows that share an id are chosen together."""
     labelled = docs.where(may_learn & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()
                           & F.col(id_col).isNotNull())
-    ids = labelled.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"),
-                          F.xxhash64(F.col(id_col).cast("string")).alias("_h"))
-    w = Window.partitionBy("_lang").orderBy("_h", "_id")
-    chosen = (ids.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_lang)
-              .select("_id").distinct())
-    rows = labelled.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"),
-                           F.col(text_col).alias("_text")).join(chosen, "_id", "left_semi")
+    rows = labelled.select(F.col(id_col).cast("string").alias("_id"), F.col(lang_col).alias("_lang"),
+                           F.xxhash64(F.col(id_col).cast("string")).alias("_h"), F.col(text_col).alias("_text"))
+    w = Window.partitionBy("_lang").orderBy("_h")
+    reach = (rows.select("_lang", "_h").withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_lang)
+             .groupBy("_lang").agg(F.max("_h").alias("_top")))       # one row per language
+    rows = rows.join(F.broadcast(reach), "_lang").where("_h <= _top")
 
     def cut(batches):
         for b in batches:
