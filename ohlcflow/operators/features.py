@@ -180,18 +180,11 @@ def align_xy(features: DataFrame, targets: DataFrame, keys: Sequence[str] = ("sy
     return features.join(targets, list(keys), "inner")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting the side (checked size bound)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def attach_params(bars: DataFrame, params: DataFrame, keys: Sequence[str] = ("symbol",),
-                  max_broadcast_rows: int = 100_000) -> DataFrame:
+def attach_params(bars: DataFrame, params: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Latest parameters per key beside each bar.
 
     ``params`` may hold several versions; the newest per key is selected by a
-    partial aggregate, then broadcast only if its row count is within bound.
+    partial aggregate. Spark broadcasts the side if its measured size allows.
     """
     keys = _keys(keys)
     if "version" in params.columns:
@@ -199,7 +192,7 @@ def attach_params(bars: DataFrame, params: DataFrame, keys: Sequence[str] = ("sy
         params = (params.groupBy(*keys)
                   .agg(F.max_by(F.struct(*rest), "version").alias("_p"), F.max("version").alias("version"))
                   .select(*keys, "version", "_p.*"))
-    return bars.join(broadcast_if_small(params, max_broadcast_rows), keys, "inner")
+    return bars.join(params, keys, "inner")
 
 
 def pair_actual_predicted(scored: DataFrame, actual: str = "close", predicted: str = "predicted",

@@ -86,6 +86,8 @@ def theta_column(params: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFr
     order = F.array_position(F.array(*[F.lit(g) for g in GATES]), F.col("gate"))
     return (p.groupBy(*keys, "version")
             .agg(F.array_sort(F.collect_list(F.struct(order.alias("k"), flat.alias("v")))).alias("_g"))
+            .withColumn("_g", F.when(F.size("_g") == len(GATES), F.col("_g")).otherwise(
+                F.raise_error(F.lit("a key and version must have one row per gate"))))
             .select(*keys, "version", F.flatten(F.transform("_g", lambda s: s["v"])).alias("theta")))
 
 
@@ -340,28 +342,6 @@ def score_bulk(df: DataFrame, cols: Sequence[str], b: int, theta, keys: Sequence
     return frame.groupBy(*keys, "_chunk").applyInPandas(run, out_schema)
 
 
-# Window length above which numpy scoring beats the interpreted fold.
-FOLD_MAX_STEPS = 16
-
-
-def score_windows(df: DataFrame, cols: Sequence[str], b: int, params, keys: Sequence[str] = ("symbol",),
-                  exclude_current: bool = True, method: str = "auto", bucket: str = "day",
-                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """(keys, ts, h) for every row with a full window, by the Catalyst fold
-    (M1) for short windows and numpy bulk scoring (M2) for long ones.
-
-    ``params`` is a gate dict or a theta vector (fixed model).
-    """
-    from .features import trailing_windows
-    theta = theta_from_gates(params) if isinstance(params, dict) else np.asarray(params, dtype=np.float64)
-    if method == "auto":
-        method = "fold" if b <= FOLD_MAX_STEPS else "bulk"
-    if method == "bulk":
-        return score_bulk(df, cols, b, theta, keys, exclude_current, bucket, chunk_rows)
-    w = trailing_windows(df, cols, b, keys, exclude_current, bucket=bucket, chunk_rows=chunk_rows)
-    return w.select(*keys, "ts", lstm_fold("xs", gates_from_theta(theta, len(cols)), len(cols)).alias("h"))
-
-
 # ---------------------------------------------------------------- M3 / M4 / M6
 
 def gradient_frame(windows: DataFrame, theta, n_features: int) -> DataFrame:
@@ -499,8 +479,10 @@ def thetas_to_params(trained: DataFrame, n_features: int, keys: Sequence[str] =
 
 
 def save_params(params: DataFrame, path: str) -> None:
-    """K5: append a parameter version (Parquet, partitioned by version)."""
-    params.write.mode("append").partitionBy("version").parquet(path)
+    """K5: store parameter versions (Parquet, partitioned by version). Saving a
+    version again, as a replayed batch does, replaces its folder alone."""
+    (params.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("version").parquet(path))
 
 
 def load_params(spark: SparkSession, path: str) -> DataFrame:

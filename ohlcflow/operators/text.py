@@ -103,7 +103,9 @@ class BernoulliNB:
             alpha: float = 1.0, bounded: bool = False) -> "BernoulliNB":
         """``train_presence``: distinct (doc_id, label, term) of training
         documents; ``train_docs``: (doc_id, label) of every training document
-        (including documents without vocabulary terms)."""
+        (including documents without vocabulary terms). Documents without a
+        label teach nothing."""
+        train_docs, train_presence = (d.where(F.col("label").isNotNull()) for d in (train_docs, train_presence))
         class_counts = {r["label"]: int(r["n"]) for r in
                         train_docs.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
         classes = sorted(class_counts)                       # a bounded category set

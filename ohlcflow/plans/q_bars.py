@@ -65,8 +65,12 @@ def q_frames(spark, sf_dir):
 
 @register("bars_between", f"""SELECT {BAR_R6} FROM ({sql_resample('1 day', f"SELECT * FROM ({H}) WHERE symbol = 'click' AND ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'")})""")
 def q_between(spark, sf_dir):
-    return rounded(B.bars_between(hourly(spark, sf_dir), "click", "2024-01-08 00:00:00",
-                                  "2024-01-15 00:00:00", "1 day"))
+    # The bounds are aligned with the bar width, so they hold for trades, too,
+    # and reach the scan (PushedFilters) there.
+    start, end = "2024-01-08 00:00:00", "2024-01-15 00:00:00"
+    ticks = tables.ticks(spark, sf_dir).where((F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+                                              & (F.col("ts") < F.lit(end).cast("timestamp_ntz")))
+    return rounded(B.bars_between(B.ticks_to_bars(ticks, "1 hour"), "click", start, end, "1 day"))
 
 
 @register("ticks_typed", f"SELECT symbol, ts, seq, R6(price) AS price, size FROM ({tables.SQL_TICKS})")

@@ -150,8 +150,7 @@ def q_stream_refresh(spark, sf_dir):
     bus = _published(spark, sf_dir)
     stream = S.decode_stream(S.message_stream(spark, bus, max_files_per_trigger=10))
     store, out = scratch_path(spark, "rolling"), scratch_path(spark, "refresh-scores")
-    writer = ST.refreshing_score_writer(spark, store, models, scaler_path, out, 24, TR.BAR_FEATURES,
-                                        capacity=TR.ROLLING_CAPACITY)
+    writer = ST.refreshing_score_writer(spark, store, models, scaler_path, out, 24, TR.BAR_FEATURES)
     q, _ = S.start(stream, "refresh", spark, foreach_batch=writer)
     S.run_to_completion(q)
     return rounded(_ntz(spark.read.parquet(out).select("symbol", "ts", "actual", "predicted", "version")))

@@ -79,15 +79,18 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (tests, a laptop)
-    a private folder is created and registered, so that ``checkpoint()`` and
-    written intermediate tables work the same way everywhere.
+    Read from the session. Where nothing is configured, a local master (tests,
+    a laptop) gets a private folder, so that ``checkpoint()`` and written
+    intermediate tables work the same way everywhere; on a cluster that would
+    be a disk no executor sees, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             d = tempfile.mkdtemp(prefix="ohlcflow-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -101,16 +104,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/ohlcflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (pandas / os helpers in tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its own (Hadoop) file system; errors of the
+    store itself are raised, not read as absence."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
 def materialize(df, eager: bool = True):

@@ -2,9 +2,13 @@
 
 State per symbol is small and bounded: the last ``b`` scaled bars and the
 time of the newest processed bar (ST5), or the previous prediction (ST4).
-Rows of one micro-batch are processed in bar-time order; a bar not newer
-than the symbol's last processed bar is late and dropped (upstream ST3
-deduplication and a watermark bound how late bars can arrive).
+
+With a ``delay``, bars are taken in event time: each is held in the state until
+the watermark (newest bar time seen minus ``delay``) has passed it, by a later
+batch or by the event-time timeout, so bars that arrive out of order within the
+delay are processed in their order; older ones are late. The newest bars of a
+stream come out once a bar more than ``delay`` newer has been seen. Without a
+``delay`` the source must deliver bars in time order across micro-batches.
 """
 
 from __future__ import annotations
@@ -16,11 +20,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.scalar import minmax_scale
 from ..operators import lstm as L
-from ..operators.features import broadcast_if_small
+from ..session import path_exists
 
 
 def _micros(ts: pd.Series) -> np.ndarray:
@@ -30,8 +35,51 @@ def _micros(ts: pd.Series) -> np.ndarray:
     return s.astype("datetime64[us]").astype("int64").to_numpy()
 
 
+PAIR_SCHEMA = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("ts", T.TimestampType()),
+                            T.StructField("actual", T.DoubleType()), T.StructField("predicted", T.DoubleType())])
+_ROWS = T.ArrayType(T.ArrayType(T.DoubleType()))
+
+
+def _take(pdfs: Iterator[pd.DataFrame], cols: Sequence[str], held, last_us, watermark_us):
+    """(rows to process now, rows to hold back), both in bar-time order: rows
+    are [bar time in microseconds, values]; of equal times the first counts,
+    times up to the last processed one are late."""
+    parts = [np.asarray(held or [], dtype=np.float64).reshape(-1, len(cols) + 1)]
+    for pdf in pdfs:
+        if len(pdf):
+            parts.append(np.column_stack([_micros(pdf["ts"]).astype(np.float64),
+                                          pdf[list(cols)].to_numpy(np.float64)]))
+    rows = np.vstack(parts)
+    _, first = np.unique(rows[:, 0], return_index=True)
+    rows = rows[first]
+    if last_us is not None:
+        rows = rows[rows[:, 0] > last_us]
+    n = len(rows) if watermark_us is None else int(np.searchsorted(rows[:, 0], watermark_us, side="right"))
+    return rows[:n], rows[n:]
+
+
+def _pairs(key, rows: np.ndarray, actual, predicted) -> pd.DataFrame:
+    return pd.DataFrame({"symbol": np.full(len(rows), key[0], dtype=object),
+                         "ts": pd.to_datetime(rows[:, 0].astype(np.int64), unit="us"),
+                         "actual": np.asarray(actual, np.float64), "predicted": np.asarray(predicted, np.float64)})
+
+
+def _keyed(s: DataFrame, step, state_schema: T.StructType, delay: str | None) -> DataFrame:
+    if delay is not None:
+        s = s.withWatermark("ts", delay)
+    timeout = GroupStateTimeout.NoTimeout if delay is None else GroupStateTimeout.EventTimeTimeout
+    return s.groupBy("symbol").applyInPandasWithState(step, PAIR_SCHEMA, state_schema, "append", timeout)
+
+
+def _keep(state, values: tuple, later: np.ndarray) -> None:
+    """Store the state; wake the key when the watermark passes its next bar."""
+    state.update(values)
+    if len(later):
+        state.setTimeoutTimestamp(int(later[0, 0]) // 1000 + 1)
+
+
 def score_stream(bars: DataFrame, scaler: DataFrame, theta, b: int = 4,
-                 features: Sequence[str] = ("close", "volume")) -> DataFrame:
+                 features: Sequence[str] = ("close", "volume"), delay: str | None = None) -> DataFrame:
     """ST5 (+ ST4 pairing): for each incoming bar, the prediction made from
     the ``b`` bars before it, beside the bar's close.
 
@@ -42,80 +90,55 @@ def score_stream(bars: DataFrame, scaler: DataFrame, theta, b: int = 4,
     """
     th = np.asarray(theta, dtype=np.float64)
     feats = list(features)
-    s = bars.join(broadcast_if_small(scaler), "symbol", "inner")
+    s = bars.join(scaler, "symbol", "inner")
     xs = [minmax_scale(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")).alias(f"_x{j}") for j, c in enumerate(feats)]
     s = s.select("symbol", F.col("ts").cast("timestamp").alias("ts"), F.col("close").cast("double").alias("close"),
                  *xs, "target_min", "target_max")
-    out_schema = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("ts", T.TimestampType()),
-                               T.StructField("actual", T.DoubleType()), T.StructField("predicted", T.DoubleType())])
-    state_schema = T.StructType([T.StructField("hist", T.ArrayType(T.ArrayType(T.DoubleType()))),
+    state_schema = T.StructType([T.StructField("hist", _ROWS), T.StructField("held", _ROWS),
                                  T.StructField("last_us", T.LongType())])
     nf = len(feats)
+    cols = [*[f"_x{j}" for j in range(nf)], "close", "target_min", "target_max"]
 
     def step(key, pdfs: Iterator[pd.DataFrame], state):
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        if state.exists:
-            hist, last_us = state.get
-            hist = [list(h) for h in (hist or [])]
-        else:
-            hist, last_us = [], None
-        us = _micros(pdf["ts"])
-        pdf = pdf.assign(_us=us).sort_values("_us", kind="stable").drop_duplicates("_us", keep="first")
-        if last_us is not None:
-            pdf = pdf[pdf["_us"] > last_us]                     # late or repeated bars
-        if len(pdf) == 0:
-            yield pd.DataFrame({"symbol": pd.Series([], dtype=object), "ts": pd.Series([], dtype="datetime64[us]"),
-                                "actual": pd.Series([], dtype=float), "predicted": pd.Series([], dtype=float)})
-            return
-        new = pdf[[f"_x{j}" for j in range(nf)]].to_numpy(np.float64)
-        allx = np.vstack([np.asarray(hist, dtype=np.float64).reshape(-1, nf), new])
-        k = len(hist)
-        idx = np.arange(len(new)) + k                          # position of each new bar
+        hist, held, last_us = state.get if state.exists else ([], [], None)
+        passed = None if delay is None else state.getCurrentWatermarkMs() * 1000
+        rows, later = _take(pdfs, cols, held, last_us, passed)
+        old = np.asarray([list(h) for h in hist or []], dtype=np.float64).reshape(-1, nf)
+        allx = np.vstack([old, rows[:, 1:1 + nf]])
+        idx = np.arange(len(rows)) + len(old)                  # position of each new bar
         ok = idx >= b
-        out = pdf.loc[ok, ["symbol", "ts", "close", "target_min", "target_max"]]
+        out, pred = rows[ok], np.array([], dtype=np.float64)
         if ok.any():
             win = np.lib.stride_tricks.sliding_window_view(allx, b, axis=0).transpose(0, 2, 1)
-            h = L.forward(th, win[idx[ok] - b])
-            pred = h * (out["target_max"].to_numpy() - out["target_min"].to_numpy()) + out["target_min"].to_numpy()
-        else:
-            pred = np.array([], dtype=np.float64)
-        state.update((allx[-b:].tolist(), int(pdf["_us"].iloc[-1])))
-        yield pd.DataFrame({"symbol": out["symbol"].to_numpy(), "ts": out["ts"].to_numpy(),
-                            "actual": out["close"].to_numpy(np.float64), "predicted": pred})
+            pred = L.forward(th, win[idx[ok] - b]) * (out[:, -1] - out[:, -2]) + out[:, -2]
+        _keep(state, (allx[-b:].tolist(), later.tolist(), int(rows[-1, 0]) if len(rows) else last_us), later)
+        yield _pairs(key, out, out[:, 1 + nf], pred)
 
-    return s.groupBy("symbol").applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                      GroupStateTimeout.NoTimeout)
+    return _keyed(s, step, state_schema, delay)
 
 
-def emit_pairs(scored: DataFrame, actual: str = "close", predicted: str = "predicted") -> DataFrame:
+def emit_pairs(scored: DataFrame, actual: str = "close", predicted: str = "predicted",
+               delay: str | None = None) -> DataFrame:
     """ST4: keyed state holds the previous prediction; each bar emits
     (actual of this bar, prediction made on the previous bar). The first bar
     of a symbol emits nothing."""
     s = scored.select("symbol", F.col("ts").cast("timestamp").alias("ts"),
                       F.col(actual).cast("double").alias("_a"), F.col(predicted).cast("double").alias("_p"))
-    out_schema = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("ts", T.TimestampType()),
-                               T.StructField("actual", T.DoubleType()), T.StructField("predicted", T.DoubleType())])
-    state_schema = T.StructType([T.StructField("prev", T.DoubleType()), T.StructField("last_us", T.LongType())])
+    state_schema = T.StructType([T.StructField("prev", T.DoubleType()), T.StructField("held", _ROWS),
+                                 T.StructField("last_us", T.LongType())])
 
     def step(key, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        prev, last_us = state.get if state.exists else (None, None)
-        pdf = pdf.assign(_us=_micros(pdf["ts"])).sort_values("_us", kind="stable")
-        if last_us is not None:
-            pdf = pdf[pdf["_us"] > last_us]
-        if len(pdf) == 0:
-            yield pd.DataFrame({"symbol": pd.Series([], dtype=object), "ts": pd.Series([], dtype="datetime64[us]"),
-                                "actual": pd.Series([], dtype=float), "predicted": pd.Series([], dtype=float)})
-            return
-        preds = pdf["_p"].to_numpy(np.float64)
-        before = np.concatenate([[np.nan if prev is None else prev], preds[:-1]])
-        keep = ~np.isnan(before)
-        state.update((float(preds[-1]), int(pdf["_us"].iloc[-1])))
-        yield pd.DataFrame({"symbol": pdf["symbol"].to_numpy()[keep], "ts": pdf["ts"].to_numpy()[keep],
-                            "actual": pdf["_a"].to_numpy()[keep], "predicted": before[keep]})
+        prev, held, last_us = state.get if state.exists else (None, [], None)
+        passed = None if delay is None else state.getCurrentWatermarkMs() * 1000
+        rows, later = _take(pdfs, ["_a", "_p"], held, last_us, passed)
+        before = np.concatenate([[np.nan if prev is None else prev], rows[:, 2]])
+        keep = ~np.isnan(before[:-1])
+        newest = float(before[-1])
+        _keep(state, (None if np.isnan(newest) else newest, later.tolist(), int(rows[-1, 0]) if len(rows) else last_us),
+              later)
+        yield _pairs(key, rows[keep], rows[keep, 1], before[:-1][keep])
 
-    return s.groupBy("symbol").applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                      GroupStateTimeout.NoTimeout)
+    return _keyed(s, step, state_schema, delay)
 
 
 def retrain_writer(spark: SparkSession, store_path: str, model_path: str, train_fn):
@@ -133,31 +156,28 @@ def retrain_writer(spark: SparkSession, store_path: str, model_path: str, train_
         batch.write.mode("overwrite").parquet(f"{store_path}/batch_id={int(batch_id)}")
         touched = batch.select("symbol").distinct()
         store = spark.read.parquet(store_path).join(touched, "symbol", "left_semi")
-        try:
+        init = None                             # no model before the first batch
+        if path_exists(spark, model_path):
             init = theta_column(load_params(spark, model_path)).select("symbol", "theta")
-        except Exception:  # noqa: BLE001 - first batch: no stored model yet
-            init = None
         params = train_fn(store, init, int(batch_id) + 1)
         save_params(params, model_path)
     return run
 
 
 def refreshing_score_writer(spark: SparkSession, store_path: str, model_path: str, scaler_path: str,
-                            out_path: str, b: int, features: Sequence[str], capacity: int = 288):
+                            out_path: str, b: int, features: Sequence[str]):
     """ST5 with a model refreshed between micro-batches (``foreachBatch``).
 
     Per batch: append the bars to the rolling store (idempotent by
     ``batch_id``), load the newest parameters (K5) and scaler of each symbol,
     build for every bar of the batch the window of the ``b`` stored bars
-    before it (W2 over the symbol's newest ``capacity`` bars, not its whole
-    history), score with the per-symbol parameters (M1, J2) and write
-    (symbol, ts, actual, predicted, version) under ``batch_id``. The state
-    between batches is the store itself, so a restarted query continues
-    from it. ``capacity`` must cover the bars of one symbol in one batch plus
-    ``b``.
+    before it (W2 over the bars from ``b`` before the symbol's first bar of the
+    batch on, so a batch of any size is scored whole), score with the
+    per-symbol parameters (M1, J2) and write (symbol, ts, actual, predicted,
+    version) under ``batch_id``. The state between batches is the store
+    itself, so a restarted query continues from it.
     """
     from ..functions.scalar import minmax_inverse, minmax_scale
-    from ..operators.bars import rolling_retention
     from ..operators.features import trailing_windows
     from ..operators.lstm import lstm_fold, load_params, theta_column
 
@@ -167,17 +187,21 @@ def refreshing_score_writer(spark: SparkSession, store_path: str, model_path: st
         if batch.isEmpty():
             return
         batch.write.mode("overwrite").parquet(f"{store_path}/batch_id={int(batch_id)}")
-        touched = batch.select("symbol").distinct()
-        hist = rolling_retention(spark.read.parquet(store_path).join(touched, "symbol", "left_semi"), capacity)
+        first = batch.groupBy("symbol").agg(F.min("ts").alias("_first"))
+        known = spark.read.parquet(store_path).join(first, "symbol")
+        newest = Window.partitionBy("symbol").orderBy(F.desc("ts"))
+        before = (known.where(F.col("ts") < F.col("_first")).withColumn("_r", F.row_number().over(newest))
+                  .where(F.col("_r") <= b).drop("_r"))
+        hist = known.where(F.col("ts") >= F.col("_first")).union(before).drop("_first")
         theta = theta_column(load_params(spark, model_path))
         scaler = spark.read.parquet(scaler_path)
-        s = hist.join(broadcast_if_small(scaler), "symbol")
+        s = hist.join(scaler, "symbol")
         for c in feats:
             s = s.withColumn(f"{c}_s", minmax_scale(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")))
         win = trailing_windows(s, [f"{c}_s" for c in feats], b, exclude_current=True,
                                keep=["close", "target_min", "target_max"])
         win = win.join(batch.select("symbol", "ts"), ["symbol", "ts"], "left_semi")
-        scored = win.join(broadcast_if_small(theta), "symbol")
+        scored = win.join(theta, "symbol")
         h = lstm_fold(F.col("xs"), F.col("theta"), len(feats))
         out = scored.select("symbol", "ts", F.col("close").alias("actual"),
                             minmax_inverse(h, F.col("target_min"), F.col("target_max")).alias("predicted"),

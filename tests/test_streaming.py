@@ -131,7 +131,7 @@ def test_refreshing_scorer_two_batches_equal_batch(spark):
     L.save_params(L.params_frame(spark, {"A": th, "B": th}, 2, version=1), models)
     scaler.write.parquet(scaler_path)
     store, out = scratch_path(spark, "st"), scratch_path(spark, "out")
-    w = ST.refreshing_score_writer(spark, store, models, scaler_path, out, 3, feats, capacity=50)
+    w = ST.refreshing_score_writer(spark, store, models, scaler_path, out, 3, feats)
     cut = F.lit("2024-01-02 00:00:00").cast("timestamp")
     w(bars.where(F.col("ts") < cut), 0)
     w(bars.where(F.col("ts") >= cut), 1)
@@ -145,3 +145,57 @@ def test_refreshing_scorer_two_batches_equal_batch(spark):
     assert len(exp) == 2 * (12 - 3)
     assert got.keys() == exp.keys()
     assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
+
+
+@pytest.mark.parametrize("scoring", [False, True])
+def test_out_of_order_batches_lose_nothing(spark, tmp_path, scoring):
+    """Batches in the order 0, 2, 1 and a closing bar: within the delay every
+    bar is paired with the bar before it in time."""
+    src = tmp_path / "src"
+    src.mkdir()
+    rows = [("A", dt.datetime(2024, 1, 1, h), float(h + 1), float(h) * 10) for h in range(6)]
+    late = [("A", dt.datetime(2024, 1, 9), 1.0, 1.0)]
+    for k, part in enumerate([rows[0:2], rows[4:6], rows[2:4], late]):
+        df = spark.createDataFrame(part, "symbol string, ts timestamp_ntz, close double, predicted double")
+        p = str(tmp_path / f"tmp{k}")
+        df.coalesce(1).write.parquet(p)
+        f = [x for x in os.listdir(p) if x.endswith(".parquet")][0]
+        os.rename(os.path.join(p, f), str(src / f"b{k}.parquet"))
+        os.utime(str(src / f"b{k}.parquet"), (1000 + k, 1000 + k))
+    stream = S.table_stream(spark, str(src), max_files_per_trigger=1)
+    if scoring:
+        scaler = spark.createDataFrame([("A", 0.0, 10.0, 0.0, 10.0)],
+                                       "symbol string, close_min double, close_max double, target_min double, target_max double")
+        th = L.init_theta(1, seed=3)
+        out_stream = ST.score_stream(stream, scaler, th, 2, ["close"], delay="1 day")
+    else:
+        out_stream = ST.emit_pairs(stream, delay="1 day")
+    q, out = S.start(out_stream, "ooo", spark)
+    S.run_to_completion(q)
+    got = sorted((r.ts.hour, r.actual, r.predicted) for r in spark.read.parquet(f"{out}/data").collect()
+                 if r.ts.day == 1)
+    if scoring:
+        import numpy as np
+        x = np.array([[r[2] / 10.0] for r in rows])
+        want = [(h, float(h + 1), float(L.forward(th, x[None, h - 2:h])[0] * 10.0)) for h in range(2, 6)]
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert all(abs(a[2] - b[2]) < 1e-12 for a, b in zip(got, want))
+    else:
+        assert got == [(h, float(h + 1), float(h - 1) * 10) for h in range(1, 6)]
+
+
+def test_refreshing_scorer_takes_any_batch_size(spark):
+    """400 bars of one symbol in one batch: each with a full window is scored."""
+    n = 400
+    rows = [("A", dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), float(10 + h % 7)) for h in range(n)]
+    bars = spark.createDataFrame(rows, "symbol string, ts timestamp, close double")
+    models, scaler_path = scratch_path(spark, "m"), scratch_path(spark, "s")
+    frame = L.params_frame(spark, {"A": L.init_theta(1, seed=4)}, 1, version=1)
+    L.save_params(frame, models)
+    L.save_params(frame, models)                   # a replayed batch replaces itself
+    assert L.load_params(spark, models).count() == 4
+    spark.createDataFrame([("A", 10.0, 16.0, 10.0, 16.0)], "symbol string, close_min double, close_max double, "
+                          "target_min double, target_max double").write.parquet(scaler_path)
+    out = scratch_path(spark, "out")
+    ST.refreshing_score_writer(spark, scratch_path(spark, "st"), models, scaler_path, out, 3, ["close"])(bars, 0)
+    assert spark.read.parquet(out).count() == n - 3
