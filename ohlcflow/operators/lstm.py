@@ -1,4 +1,4 @@
-"""A one-unit LSTM over bar windows, as Spark jobs.
+"""A one-unit LSTM over bar windows: parameters, scoring, kernels (M0-M4, K5).
 
 Cell (per step t, state reset to zero at every window start):
 
@@ -7,9 +7,10 @@ Cell (per step t, state reset to zero at every window start):
     c_t = a * i + f * c_{t-1};  h_t = tanh(c_t) * o
 
 Scoring of short windows (M1) is a Catalyst ``aggregate`` fold, so it runs
-inside whole-stage code generation with no Python worker. Long windows (M2),
-gradients (M3) and training (M5, M6) use numpy inside Arrow-batched workers,
-vectorised across windows (windows are independent because the state resets).
+inside whole-stage code generation with no Python worker. Long windows (M2)
+and gradients (M3) use numpy inside Arrow-batched workers, vectorised across
+windows (windows are independent because the state resets). Training over
+whole tables is in ``lstm_train``.
 
 Parameters travel as a flat vector ``theta`` of length 4 * (F + 2), gate-major
 (for each gate: F input weights, recurrent weight u, bias b), or as the long
@@ -205,81 +206,6 @@ def sgd_step(theta, grad, lr: float):
     return np.asarray(theta, dtype=np.float64) - lr * np.asarray(grad, dtype=np.float64)
 
 
-def _sig1(z: float) -> float:
-    z = z + SIGMOID_EPS
-    return 0.0 if z < -700.0 else 1.0 / (1.0 + math.exp(-z))
-
-
-def backward_one(theta, Xw: np.ndarray, yw) -> tuple:
-    """``backward`` for a single window, as used by sequential training.
-
-    The weights are fixed within a window, so the input projections of all
-    steps are one matrix product and the input-weight gradient another; only
-    the recurrence runs step by step, on plain floats.
-    """
-    b, Fn = Xw.shape
-    W, U, B = _split(theta, Fn)
-    P = (Xw @ W.T + B).tolist()
-    ua, ui, uf, uo = U.tolist()
-    h = c = 0.0
-    cache = []
-    for t in range(b):
-        p = P[t]
-        a = math.tanh(p[0] + ua * h)
-        i = _sig1(p[1] + ui * h)
-        f = _sig1(p[2] + uf * h)
-        o = _sig1(p[3] + uo * h)
-        c_prev, h_prev = c, h
-        c = a * i + f * c
-        tc = math.tanh(c)
-        h = tc * o
-        cache.append((a, i, f, o, c_prev, h_prev, tc, h))
-    D = np.zeros((b, 4))
-    gU = [0.0, 0.0, 0.0, 0.0]
-    dh_next = dc_next = f_next = 0.0
-    loss, counted = 0.0, 0
-    for t in range(b - 1, -1, -1):
-        a, i, f, o, c_prev, h_prev, tc, h = cache[t]
-        y = yw[t]
-        if y != y:                                   # NaN: no target at this step
-            err = 0.0
-        else:
-            err = h - y
-            loss += err * err / 2.0
-            counted += 1
-        d_out = err + dh_next
-        dc = d_out * o * (1.0 - tc * tc) + dc_next * f_next
-        da = dc * i * (1.0 - a * a)
-        di = dc * a * i * (1.0 - i)
-        df = dc * c_prev * f * (1.0 - f)
-        do = d_out * tc * o * (1.0 - o)
-        D[t] = (da, di, df, do)
-        gU[0] += da * h_prev
-        gU[1] += di * h_prev
-        gU[2] += df * h_prev
-        gU[3] += do * h_prev
-        dh_next = ua * da + ui * di + uf * df + uo * do
-        dc_next, f_next = dc, f
-    gW = D.T @ Xw
-    grad = np.concatenate([gW, np.asarray(gU)[:, None], D.sum(axis=0)[:, None]], axis=1).reshape(-1)
-    return grad, loss, counted
-
-
-def train_sequential(theta, X: np.ndarray, Y: np.ndarray, epochs: int, lr: float):
-    """M5 kernel: one update after each window, windows in time order."""
-    theta = np.asarray(theta, dtype=np.float64).copy()
-    total, steps = 0.0, 0
-    Yl = Y.tolist()
-    for _ in range(epochs):
-        total, steps = 0.0, 0
-        for k in range(X.shape[0]):
-            g, l, s = backward_one(theta, X[k], Yl[k])
-            theta -= lr * g
-            total += l
-            steps += s
-    return theta, (total / steps if steps else float("nan"))
-
-
 def windows_of(values: np.ndarray, targets: np.ndarray, b: int, include_last: bool = False):
     """Stride-1 windows of b rows as views: X (n-b, b, F), Y (n-b, b)."""
     n = values.shape[0]
@@ -295,12 +221,12 @@ def windows_of(values: np.ndarray, targets: np.ndarray, b: int, include_last: bo
 
 def score_bulk(df: DataFrame, cols: Sequence[str], b: int, theta, keys: Sequence[str] = ("symbol",),
                exclude_current: bool = True, bucket: str = "day",
-               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+               chunk_rows: int = DEFAULT_CHUNK_ROWS, keep: Sequence[str] = ()) -> DataFrame:
     """M2: as M1 for long windows, numpy inside ``applyInPandas``.
 
     Groups are (key, chunk) of ``chunk_rows`` rows plus a ``b``-row halo, so a
     hot symbol spreads over many tasks. ``theta`` is a fixed vector or the
-    name of a theta column joined per key (J2). Output: (keys, ts, h) for
+    name of a theta column joined per key (J2). Output: (keys, ts, keep, h) for
     every row with a full window of the previous b rows (``exclude_current``)
     or of the b rows ending at the row.
     """
@@ -311,12 +237,12 @@ def score_bulk(df: DataFrame, cols: Sequence[str], b: int, theta, keys: Sequence
     frame, _ = chunked(idx, keys, back=back, chunk_rows=max(chunk_rows, b + 1))
     theta_col = theta if isinstance(theta, str) else None
     fixed = None if theta_col else np.asarray(theta, dtype=np.float64)
-    sel = [*keys, "ts", "_g", "_own", "_chunk", *[F.col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(cols)]]
+    kept = [*keys, "ts", *keep]
+    sel = [*kept, "_g", "_own", "_chunk", *[F.col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(cols)]]
     if theta_col:
         sel.append(theta_col)
     frame = frame.select(*sel)
-    out_schema = T.StructType([*[frame.schema[k] for k in keys], frame.schema["ts"],
-                               T.StructField("h", T.DoubleType())])
+    out_schema = T.StructType([*[frame.schema[c] for c in kept], T.StructField("h", T.DoubleType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_g", kind="stable")
@@ -324,7 +250,7 @@ def score_bulk(df: DataFrame, cols: Sequence[str], b: int, theta, keys: Sequence
         vals = pdf[[f"_x{j}" for j in range(Fn)]].to_numpy(np.float64)
         n = len(pdf)
         if n < b + (1 if exclude_current else 0):
-            empty = pdf.iloc[0:0][[*keys, "ts"]].copy()
+            empty = pdf.iloc[0:0][kept].copy()
             empty["h"] = np.array([], dtype=np.float64)
             return empty
         win = np.lib.stride_tricks.sliding_window_view(vals, b, axis=0).transpose(0, 2, 1)   # (n-b+1, b, F)
@@ -335,135 +261,14 @@ def score_bulk(df: DataFrame, cols: Sequence[str], b: int, theta, keys: Sequence
         else:
             rows = pdf.iloc[b - 1:]
         own = (rows["_own"].to_numpy() == rows["_chunk"].to_numpy()) & (rows["_g"].to_numpy() >= back)
-        res = rows.loc[own, [*keys, "ts"]].copy()
+        res = rows.loc[own, kept].copy()
         res["h"] = h[own]
         return res
 
     return frame.groupBy(*keys, "_chunk").applyInPandas(run, out_schema)
 
 
-# ---------------------------------------------------------------- M3 / M4 / M6
-
-def gradient_frame(windows: DataFrame, theta, n_features: int) -> DataFrame:
-    """M3: one gradient row per partition (mapInPandas), for theta fixed.
-
-    ``windows`` holds ``xs`` array<array<double>> and ``ys`` array<double>.
-    """
-    th = np.asarray(theta, dtype=np.float64)
-    schema = "grad array<double>, loss double, steps long"
-
-    def run(it):
-        g = np.zeros_like(th)
-        loss, steps = 0.0, 0
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            X = np.stack([np.stack(x) for x in pdf["xs"]]).astype(np.float64)
-            Y = np.stack([np.asarray(y, dtype=np.float64) for y in pdf["ys"]])
-            gg, l, s = backward(th, X, Y)
-            g += gg
-            loss += l
-            steps += s
-        yield pd.DataFrame({"grad": [g.tolist()], "loss": [loss], "steps": [steps]})
-
-    return windows.select("xs", "ys").mapInPandas(run, schema)
-
-
-def sum_gradients(grads: DataFrame, size: int):
-    """Elementwise sum of gradient rows (one row back to the driver)."""
-    agg = grads.agg(
-        F.array(*[F.sum(F.col("grad")[k]) for k in range(size)]).alias("g"),
-        F.sum("loss").alias("loss"), F.sum("steps").alias("steps")).first()
-    return np.asarray(agg["g"], dtype=np.float64), float(agg["loss"] or 0.0), int(agg["steps"] or 0)
-
-
-def train_distributed(windows: DataFrame, n_features: int, epochs: int = 4, lr: float = 0.1,
-                      theta=None, seed: int = 0, mean: bool = True):
-    """M6: full-batch gradient descent over all windows of one long series.
-
-    Per epoch: gradient rows per partition (M3), one aggregate (A8), update on
-    the driver (M4). The driver only ever holds the 4*(F+2) parameters. The
-    windows are checkpointed once so every epoch rereads them instead of
-    recomputing the window plan. Returns (theta, loss per epoch).
-    """
-    from ..session import shared_dir
-    shared_dir(windows.sparkSession)
-    th = init_theta(n_features, seed) if theta is None else np.asarray(theta, dtype=np.float64)
-    cached = windows.select("xs", "ys").checkpoint(eager=True)
-    history = []
-    for _ in range(epochs):
-        g, loss, steps = sum_gradients(gradient_frame(cached, th, n_features), th.size)
-        scale = 1.0 / max(steps, 1) if mean else 1.0
-        th = sgd_step(th, g * scale, lr)
-        history.append(loss / max(steps, 1))
-    return th, history
-
-
-# ---------------------------------------------------------------- M5 / M7 / M10
-
-def train_per_symbol(rows: DataFrame, cols: Sequence[str], target: str, b: int, epochs: int = 2,
-                     lr: float = 0.01, keys: Sequence[str] = ("symbol",), seed: int = 0,
-                     init: DataFrame | None = None, version: int = 1,
-                     grid: Sequence[dict] | None = None, capacity: int = 288) -> DataFrame:
-    """M5 (and M10 with ``grid``): exact sequential SGD per symbol.
-
-    The reference updates after every window in time order, which is
-    inherently sequential inside one series; it is parallel over symbols (and
-    grid points). Each group is bounded: only the newest ``capacity`` rows of
-    a symbol are trained on (the reference trains on a fixed-size rolling
-    dataset), enforced here by row index (a plain filter when the input
-    already carries ``_g``/``_n``). For unbounded history use
-    ``train_distributed``.
-
-    ``init`` is an optional (keys, theta) frame to warm-start from (M7).
-    Output: (keys, [grid_id,] version, theta, loss, windows).
-    """
-    from .bars import rolling_retention
-    keys = list(keys)
-    rows = rolling_retention(rows, capacity, keys)
-    Fn = len(cols)
-    sel = [*keys, "ts", *[F.col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(cols)],
-           F.col(target).cast("double").alias("_y")]
-    data = rows.select(*sel)
-    if init is not None:
-        data = data.join(init.select(*keys, F.col("theta").alias("_theta0")), keys, "left")
-    else:
-        data = data.withColumn("_theta0", F.lit(None).cast("array<double>"))
-    group_keys = list(keys)
-    if grid:
-        gl = F.array(*[F.struct(F.lit(i).alias("grid_id"), F.lit(int(p["b"])).alias("_b"),
-                                F.lit(int(p["epochs"])).alias("_ep"), F.lit(float(p["lr"])).alias("_lr"))
-                       for i, p in enumerate(grid)])
-        data = data.withColumn("_gp", F.explode(gl)).select("*", "_gp.*").drop("_gp")
-        group_keys.append("grid_id")
-    else:
-        data = data.withColumn("_b", F.lit(int(b))).withColumn("_ep", F.lit(int(epochs))).withColumn("_lr", F.lit(float(lr)))
-    out_fields = [data.schema[k] for k in group_keys] + [
-        T.StructField("version", T.LongType()), T.StructField("theta", T.ArrayType(T.DoubleType())),
-        T.StructField("loss", T.DoubleType()), T.StructField("windows", T.LongType())]
-    out_schema = T.StructType(out_fields)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts", kind="stable")
-        bb, ep, rate = int(pdf["_b"].iloc[0]), int(pdf["_ep"].iloc[0]), float(pdf["_lr"].iloc[0])
-        t0 = pdf["_theta0"].iloc[0]
-        th = np.asarray(t0, dtype=np.float64) if t0 is not None and len(t0) else init_theta(Fn, seed)
-        vals = pdf[[f"_x{j}" for j in range(Fn)]].to_numpy(np.float64)
-        X, Y = windows_of(vals, pdf["_y"].to_numpy(np.float64), bb)
-        loss = float("nan")
-        if X.shape[0]:
-            th, loss = train_sequential(th, X, Y, ep, rate)
-        res = {k: [pdf[k].iloc[0]] for k in group_keys}
-        res.update({"version": [int(version)], "theta": [th.tolist()], "loss": [loss], "windows": [int(X.shape[0])]})
-        return pd.DataFrame(res)
-
-    # Groups are few, small in bytes and heavy in compute: an explicit
-    # partition count keeps AQE from packing them into one task, and the
-    # grouping below reuses this partitioning (no second exchange).
-    n_parts = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    data = data.repartition(max(n_parts, 1), *group_keys)
-    return data.groupBy(*group_keys).applyInPandas(run, out_schema)
-
+# ---------------------------------------------------------------- K5
 
 def thetas_to_params(trained: DataFrame, n_features: int, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """K5 layout: (keys, version, theta) -> long PARAMS rows."""
@@ -488,11 +293,3 @@ def save_params(params: DataFrame, path: str) -> None:
 def load_params(spark: SparkSession, path: str) -> DataFrame:
     """K5: all stored versions; ``theta_column`` picks the newest per key."""
     return spark.read.parquet(path)
-
-
-# ---------------------------------------------------------------- M8 helpers
-
-def unscale_prediction(h: Column, lo: Column, hi: Column, digits: int | None = 3) -> Column:
-    """F4 + F8 on a model output."""
-    v = minmax_inverse(h, lo, hi)
-    return F.round(v, digits) if digits is not None else v

@@ -8,7 +8,7 @@ scale. Every double is rounded to 6 places on both sides.
 from __future__ import annotations
 
 from ..functions.scalar import SIGMOID_EPS
-from ..tables import SQL_DAILY_ROWS, SQL_TICKS
+from ..tables import SQL_TICKS
 
 INTERVALS = {"1 minute": "1 minute", "5 minutes": "5 minutes", "15 minutes": "15 minutes",
              "1 hour": "1 hour", "1 day": "1 day", "1 week": "7 days"}
@@ -85,5 +85,42 @@ pairs AS (
 )"""
 
 
-def daily_rows_sql() -> str:
-    return SQL_DAILY_ROWS
+def sql_window_gradients(weights: dict, bars_sql: str, b: int) -> str:
+    """Gradient of the summed loss over all windows of ``b`` bars, per symbol:
+    ``per_symbol(symbol, grad, loss, steps)``. Forward mode: every step carries
+    the derivatives of h and c by each weight, so nothing is shared with the
+    backward pass it checks."""
+    gates = list(weights)
+    width = len(weights[gates[0]][0]) + 2
+    ks = range(len(gates) * width)
+    cell = {g: f"{' + '.join(f'{float(w)!r} * x{m}' for m, w in enumerate(ws))} + {float(u)!r} * h + {float(c)!r}"
+            for g, (ws, u, c) in weights.items()}
+    inputs = [f"x{m}" for m in range(width - 2)] + ["h", "1.0"]
+
+    def dz(gate, k):
+        own = inputs[k % width] if gates[k // width] == gate else "0.0"
+        return f"({own} + {float(weights[gate][1])!r} * dh{k})"
+    dc = {k: (f"(i * (1 - a * a) * {dz('a', k)} + a * i * (1 - i) * {dz('i', k)} "
+              f"+ c * f * (1 - f) * {dz('f', k)} + f * dc{k})") for k in ks}
+    dh = {k: f"((1 - tc * tc) * o * dc{k}n + tc * o * (1 - o) * {dz('o', k)})" for k in ks}
+    state = ", ".join([f"dh{k}" for k in ks] + [f"dc{k}" for k in ks])
+    zeros = ", ".join(["CAST(0.0 AS DOUBLE)"] * (2 * len(ks)))
+    return f"""
+WITH RECURSIVE {sql_scaled_bars(bars_sql)},
+xy AS (SELECT symbol, g, x0, x1, count(*) OVER (PARTITION BY symbol) AS n,
+              CASE WHEN target_max = target_min THEN 0.0 ELSE
+                (lead(close) OVER (PARTITION BY symbol ORDER BY g) - target_min) / (target_max - target_min) END AS y
+       FROM x),
+rec(symbol, t, s, e, h, c, {state}) AS (
+  SELECT symbol, g, 0, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE), {zeros} FROM xy WHERE g + {b} < n
+  UNION ALL
+  SELECT symbol, t, s + 1, tc * o - y, tc * o, cn,
+         {", ".join(f"{dh[k]}" for k in ks)}, {", ".join(f"dc{k}n" for k in ks)}
+  FROM (SELECT *, {", ".join(f"{dc[k]} AS dc{k}n" for k in ks)}
+        FROM (SELECT *, tanh(cn) AS tc FROM (SELECT *, a * i + f * c AS cn FROM (
+          SELECT r.*, x0, x1, y, tanh({cell['a']}) AS a, {sql_sigmoid(cell['i'])} AS i,
+                 {sql_sigmoid(cell['f'])} AS f, {sql_sigmoid(cell['o'])} AS o
+          FROM rec r JOIN xy ON xy.symbol = r.symbol AND xy.g = r.t + r.s WHERE r.s < {b}))))
+),
+per_symbol AS (SELECT symbol, [{", ".join(f"sum(e * dh{k})" for k in ks)}] AS grad, sum(e * e / 2) AS loss,
+                      count(*) AS steps FROM rec WHERE s > 0 GROUP BY symbol)"""

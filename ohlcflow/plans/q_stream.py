@@ -137,7 +137,7 @@ def q_stream_retrain(spark, sf_dir):
 @register("stream_refresh_scores")
 def q_stream_refresh(spark, sf_dir):
     """ST5 with model refresh: per micro-batch the newest stored parameters
-    (trained by M5 on the rolling data) score the batch's bars from their
+    (trained by M5) score the batch's bars from their
     previous 24 stored bars."""
     from ..operators import bars as B
     from ..operators import features as X

@@ -8,41 +8,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import minmax_inverse
+from ..functions.scalar import minmax_inverse, minmax_scale
 from ..operators import bars as B
 from ..operators import features as X
 from ..operators import lstm as L
-from ..session import scratch_path, shared_dir
+from ..operators import lstm_train as LT
+from ..session import materialize, scratch_path
 from . import forecast
 
 # Reference features of a bar, in file order, and the defaults of the main
-# program: window 72, 4 epochs, learning rate 1, rolling dataset of 288 bars.
+# program: window 72, 4 epochs, learning rate 1; its rolling dataset (L2)
+# holds 288 bars.
 BAR_FEATURES = ["open", "high", "low", "close", "volume", "trade_count", "vwap"]
 MAIN_WINDOW, MAIN_EPOCHS, MAIN_LR, ROLLING_CAPACITY = 72, 4, 1.0, 288
 
 
-def training_rows(bars: DataFrame, capacity: int = ROLLING_CAPACITY, features=BAR_FEATURES) -> DataFrame:
-    """Newest ``capacity`` bars per symbol with next-close targets (W1, A2),
-    min-max scaled per symbol over that rolling set (A1, F3)."""
-    kept = B.rolling_retention(bars, capacity, keep_index=True)
-    lt = X.lead_target(kept, "close", "target", keep_index=True)
+def scaled_series(bars: DataFrame, features, bucket: str = "day") -> DataFrame:
+    """Numbered bars with next-close targets (W1, A2), min-max scaled per
+    symbol (A1, F3). The bars are written once: numbering, target mean and
+    scaler would each aggregate the trades again."""
+    lt = X.lead_target(materialize(bars), "close", "target", keep_index=True, bucket=bucket)
     fit = X.fit_minmax(lt, [*features, "target"])
     return X.apply_minmax(lt, fit, [*features, "target"], suffix="_s")
 
 
 def train_symbols(bars: DataFrame, b: int = MAIN_WINDOW, epochs: int = MAIN_EPOCHS, lr: float = MAIN_LR,
-                  capacity: int = ROLLING_CAPACITY, seed: int = 0, init: DataFrame | None = None,
-                  version: int = 1, grid=None) -> DataFrame:
-    """Per-symbol sequential training on the rolling dataset."""
-    rows = training_rows(bars, capacity)
-    return L.train_per_symbol(rows, [f"{c}_s" for c in BAR_FEATURES], "target_s", b, epochs, lr,
-                              seed=seed, init=init, version=version, grid=grid, capacity=capacity)
+                  seed: int = 0, init: DataFrame | None = None, version: int = 1, grid=None) -> DataFrame:
+    """One parameter set per symbol over all its bars."""
+    rows = scaled_series(bars, BAR_FEATURES)
+    return LT.train_per_symbol(rows, [f"{c}_s" for c in BAR_FEATURES], "target_s", b, epochs, lr,
+                               seed=seed, init=init, version=version, grid=grid)
 
 
 def warm_start(spark: SparkSession, bars: DataFrame, model_path: str | None = None, b: int = MAIN_WINDOW,
                epochs: int = MAIN_EPOCHS, lr: float = MAIN_LR) -> DataFrame:
     """M7: train v1, store it (K5), load the newest version, continue
-    training on the same rolling data as v2, store and return v2."""
+    training on the same bars as v2, store and return v2."""
     path = model_path or scratch_path(spark, "lstm-params")
     nf = len(BAR_FEATURES)
     v1 = train_symbols(bars, b, epochs, lr, version=1)
@@ -54,19 +55,15 @@ def warm_start(spark: SparkSession, bars: DataFrame, model_path: str | None = No
     return L.load_params(spark, path).where(F.col("version") == 2)
 
 
-def pooled_windows(bars: DataFrame, b: int, features=("close", "volume")) -> DataFrame:
-    """Windows (xs, ys) of every symbol, scaled per symbol, for M6."""
-    lt = X.lead_target(bars, "close", "target", keep_index=True)
-    fit = X.fit_minmax(lt, [*features, "target"])
-    sc = X.apply_minmax(lt, fit, [*features, "target"], suffix="_s")
-    return X.sequence_windows(sc, [f"{c}_s" for c in features], b, target="target_s")
+def pooled_chunks(bars: DataFrame, b: int, features=("close", "volume")) -> DataFrame:
+    """Packed series of every symbol, scaled per symbol, for M6."""
+    return LT.pack_series(scaled_series(bars, features), [f"{c}_s" for c in features], "target_s", b)
 
 
 def train_pooled(spark: SparkSession, bars: DataFrame, b: int = 24, epochs: int = 3, lr: float = 0.5,
                  seed: int = 0) -> DataFrame:
     """M6: full-batch training over all windows; (epoch, loss, theta)."""
-    shared_dir(spark)
-    th, hist = L.train_distributed(pooled_windows(bars, b), 2, epochs, lr, seed=seed)
+    th, hist = LT.train_distributed(pooled_chunks(bars, b), 2, b, epochs, lr, seed=seed)
     rows = [(i + 1, float(l), th.tolist() if i == len(hist) - 1 else None) for i, l in enumerate(hist)]
     schema = T.StructType([T.StructField("epoch", T.IntegerType()), T.StructField("loss", T.DoubleType()),
                            T.StructField("theta", T.ArrayType(T.DoubleType()))])
@@ -80,31 +77,33 @@ def forecast_pairs_bulk(ticks: DataFrame, width: str = "1 hour", b: int = 4, the
     theta = L.theta_from_gates(L.FIXED_TEST_WEIGHTS) if theta is None else np.asarray(theta)
     bars = B.ticks_to_bars(ticks, width)
     sc = forecast.scaled_bars(bars)
-    h = L.score_bulk(sc, ["close_s", "volume_s"], b, theta, exclude_current=True, chunk_rows=chunk_rows)
-    j = sc.select("symbol", "ts", "close", "target_min", "target_max").join(h, ["symbol", "ts"])
-    return j.select("symbol", "ts", F.col("close").alias("actual"),
+    h = L.score_bulk(sc, ["close_s", "volume_s"], b, theta, exclude_current=True, chunk_rows=chunk_rows,
+                     keep=["close", "target_min", "target_max"])
+    return h.select("symbol", "ts", F.col("close").alias("actual"),
                     minmax_inverse(F.col("h"), F.col("target_min"), F.col("target_max")).alias("predicted"))
 
 
 def lag60_forecast(spark: SparkSession, daily: DataFrame, k: int = 60, epochs: int = 5, lr: float = 0.5,
-                   seed: int = 0) -> DataFrame:
-    """60-lag forecaster on daily prices.
-
-    Scaler fitted on the train split only (A1), lag windows (W3) of the train
-    rows train the one-unit LSTM (M6); the test rows are scored with their
-    60-row context from the end of train (L3), unscaled (F4).
-    Output: (symbol, ts, real, predicted).
+                   seed: int = 0, column: str = "close") -> DataFrame:
+    """Forecaster on the ``k`` previous daily values of ``column``.
+
+    Scaler fitted on the train split only (A1); the one-unit LSTM is trained
+    (M6) on the windows of ``k`` train rows whose next row is a train row, too;
+    the test rows are scored with their ``k``-row context, which reaches back
+    into train (L3, M2), and unscaled (F4). Output: (symbol, ts, real,
+    predicted).
     """
-    shared_dir(spark)
-    sp = B.chronological_split(daily)
-    fit = X.fit_minmax(sp.where(F.col("split") == "train"), ["close"])
-    sc = X.apply_minmax(sp, fit, ["close"], suffix="_s")
-    lags = X.lag_features(sc, "close_s", k, out_x="xs1", out_y="y")
-    lags = lags.join(sc.select("symbol", "ts", "split", "close", "close_min", "close_max"), ["symbol", "ts"])
-    steps = F.transform("xs1", lambda v: F.array(v))                    # F11 reshape (k, 1)
-    last_only = F.concat(F.array_repeat(F.lit(None).cast("double"), k - 1), F.array(F.col("y")))
-    train = lags.where(F.col("split") == "train").select(steps.alias("xs"), last_only.alias("ys"))
-    th, _ = L.train_distributed(train, 1, epochs, lr, seed=seed)
-    test = lags.where(F.col("split") == "test")
-    pred = minmax_inverse(L.lstm_fold(steps, L.gates_from_theta(th, 1), 1), F.col("close_min"), F.col("close_max"))
-    return test.select("symbol", "ts", F.col("close").alias("real"), pred.alias("predicted"))
+    sp = X.lead_target(materialize(daily), column, "target", fill_mean=False, keep_index=True, bucket="year")
+    sp = B.chronological_split(sp, keep_index=True)
+    in_train = F.col("split") == "train"
+    fit = X.fit_minmax(sp.where(in_train), [column])
+    sc = materialize(X.apply_minmax(sp, fit, [column], suffix="_s").withColumn(
+        "target_s", minmax_scale(F.col("target"), F.col(f"{column}_min"), F.col(f"{column}_max"))))
+    n_train = (F.col("_n") - F.ceil(F.col("_n") * F.lit(0.2))).cast("bigint")
+    train = sc.where(in_train).withColumn("_n", n_train)
+    chunks = LT.pack_series(train, [f"{column}_s"], "target_s", k)
+    th, _ = LT.train_distributed(chunks, 1, k, epochs, lr, seed=seed, last_only=True)
+    scored = L.score_bulk(sc, [f"{column}_s"], k, th, keep=[column, "split", f"{column}_min", f"{column}_max"])
+    return scored.where(F.col("split") == "test").select(
+        "symbol", "ts", F.col(column).alias("real"),
+        minmax_inverse(F.col("h"), F.col(f"{column}_min"), F.col(f"{column}_max")).alias("predicted"))

@@ -1,10 +1,13 @@
 """LSTM kernels and folds against the worked example (FIXTURES G2)."""
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ohlcflow.operators import lstm as L
+from ohlcflow.operators import lstm_train as LT
 
 X2 = np.array([[[1.0, 2.0], [0.5, 3.0]]])      # one window, two steps, two inputs
 Y2 = np.array([[0.5, 1.25]])
@@ -65,16 +68,6 @@ def test_gradient_matches_central_differences():
     assert np.allclose(g, num, atol=1e-6)
 
 
-def test_sequential_training_lowers_loss():
-    rng = np.random.default_rng(1)
-    v = np.sin(np.linspace(0, 6, 60))[:, None] * 0.5 + 0.5
-    X, Y = L.windows_of(v, np.roll(v[:, 0], -1), 6)
-    th0 = L.init_theta(1, seed=3)
-    before = L.backward(th0, X, Y)[1]
-    th, _ = L.train_sequential(th0, X, Y, epochs=3, lr=0.5)
-    assert L.backward(th, X, Y)[1] < before
-
-
 def test_windows_of_counts():
     v = np.arange(20.0)[:, None]
     X, Y = L.windows_of(v, np.arange(20.0), 4)
@@ -112,59 +105,105 @@ def test_params_roundtrip(spark, tmp_path):
         assert np.allclose(back[k], v)
 
 
-def test_gradient_frame_sums_partitions(spark):
-    rng = np.random.default_rng(5)
-    X = rng.random((12, 4, 2))
-    Y = rng.random((12, 4))
-    rows = [(X[i].tolist(), Y[i].tolist()) for i in range(12)]
-    df = spark.createDataFrame(rows, "xs array<array<double>>, ys array<double>").repartition(3)
-    g, loss, steps = L.sum_gradients(L.gradient_frame(df, THETA, 2), THETA.size)
-    g2, loss2, steps2 = L.backward(THETA, X, Y)
-    assert np.allclose(g, g2) and loss == pytest.approx(loss2) and steps == steps2 == 48
-
-
-def test_single_window_backward_equals_vectorised():
-    rng = np.random.default_rng(11)
-    X = rng.random((3, 9, 4))
-    Y = rng.random((3, 9))
-    Y[0, 4] = np.nan
-    th = rng.random(4 * 6)
-    for k in range(3):
-        g1, l1, s1 = L.backward(th, X[k:k + 1], Y[k:k + 1])
-        g2, l2, s2 = L.backward_one(th, X[k], Y[k].tolist())
-        assert np.allclose(g1, g2, atol=1e-13) and l1 == pytest.approx(l2) and s1 == s2
+def _series(spark, sizes, seed, n_features=2):
+    """Frame (symbol, ts, x0.., y) and the same series as arrays."""
+    rng = np.random.default_rng(seed)
+    rows, series = [], {}
+    for s, n in sizes.items():
+        v, y = rng.random((n, n_features)), rng.random(n)
+        series[s] = (v, y)
+        rows += [(s, dt.datetime(2024, 1, 1) + dt.timedelta(hours=t), *v[t].tolist(), float(y[t])) for t in range(n)]
+    xs = ", ".join(f"x{k} double" for k in range(n_features))
+    return spark.createDataFrame(rows, f"symbol string, ts timestamp_ntz, {xs}, y double").repartition(3), series
+
+
+def _descend(theta, v, y, b, epochs, lr):
+    X, Y = L.windows_of(v, y, b)
+    loss = None
+    for _ in range(epochs):
+        g, l, steps = L.backward(theta, X, Y)
+        theta, loss = theta - lr * g / steps, l / steps
+    return theta, loss, len(X)
+
+
+@pytest.mark.parametrize("chunk", [5, 7, 4096])
+def test_chunk_gradients_equal_all_windows(spark, chunk):
+    df, series = _series(spark, {"A": 40, "B": 6, "C": 5}, 5)
+    packed = LT.pack_series(df, ["x0", "x1"], "y", 5, chunk_rows=chunk)
+    got = LT.sum_gradients(LT.gradient_rows(packed, 2, theta=THETA, b=5), THETA.size)
+    exp = [L.backward(THETA, *L.windows_of(v, y, 5)) for v, y in series.values()]
+    assert np.allclose(got[0], sum(e[0] for e in exp), atol=1e-12)
+    assert got[1] == pytest.approx(sum(e[1] for e in exp)) and got[2] == sum(e[2] for e in exp) == (35 + 1) * 5
+
+
+def test_packed_rows_are_bars_and_halos(spark):
+    df, _ = _series(spark, {"A": 40}, 6)
+    sizes = [len(r.ys) for r in LT.pack_series(df, ["x0", "x1"], "y", 5, chunk_rows=10).orderBy("first").collect()]
+    assert sizes == [14, 14, 14, 10]
+
+
+def test_gradient_skips_null_inputs_and_targets():
+    rng = np.random.default_rng(2)
+    v, y = rng.random((12, 2)), rng.random(12)
+    v[6, 1], y[1] = np.nan, np.nan
+    got = LT.chunk_gradient(THETA, v, y, 3, 9)
+    X, Y = L.windows_of(v, y, 3)
+    keep = [0, 1, 2, 3, 7, 8]
+    exp = L.backward(THETA, X[keep], Y[keep])
+    assert np.allclose(got[0], exp[0]) and got[2] == exp[2] and got[3] == 6
+    last = LT.chunk_gradient(THETA, v, y, 3, 9, last_only=True)
+    assert last[2] == 6
+
+
+def test_slabs_do_not_change_the_gradient(monkeypatch):
+    rng = np.random.default_rng(2)
+    v, y = rng.random((50, 2)), rng.random(50)
+    whole = LT.chunk_gradient(THETA, v, y, 4, 46)
+    monkeypatch.setattr(LT, "SLAB_STEPS", 12)
+    parts = LT.chunk_gradient(THETA, v, y, 4, 46)
+    assert np.allclose(whole[0], parts[0]) and whole[2:] == parts[2:]
 
 
 def test_train_per_symbol_equals_numpy(spark):
-    import datetime as dt
-    rng = np.random.default_rng(3)
-    rows = []
-    series = {}
-    for s in ("A", "B"):
-        v = rng.random((30, 2))
-        y = rng.random(30)
-        series[s] = (v, y)
-        for t in range(30):
-            rows.append((s, dt.datetime(2024, 1, 1) + dt.timedelta(hours=t), float(v[t, 0]), float(v[t, 1]),
-                         float(y[t])))
-    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, x0 double, x1 double, y double")
-    out = {r.symbol: r for r in L.train_per_symbol(df.repartition(3), ["x0", "x1"], "y", b=5, epochs=2,
-                                                   lr=0.3, seed=9, capacity=100).collect()}
-    for s, (v, y) in series.items():
-        X, Y = L.windows_of(v, y, 5)
-        th, loss = L.train_sequential(L.init_theta(2, 9), X, Y, 2, 0.3)
-        assert np.allclose(out[s].theta, th, atol=1e-12)
-        assert out[s].windows == 25 and out[s].loss == pytest.approx(loss)
-
-
-def test_train_distributed_one_epoch_equals_full_batch_step(spark):
-    rng = np.random.default_rng(8)
-    X = rng.random((20, 4, 2))
-    Y = rng.random((20, 4))
-    df = spark.createDataFrame([(X[i].tolist(), Y[i].tolist()) for i in range(20)],
-                               "xs array<array<double>>, ys array<double>").repartition(4)
+    """One hot symbol over many chunks, one short, one without a window; with
+    and without stored parameters; several grid points in one pass."""
+    df, series = _series(spark, {"A": 60, "B": 12, "C": 3}, 3)
+    fresh = {r.symbol: np.array(r.t) for r in df.select("symbol", LT.init_theta_column("symbol", 2, 9).alias("t"))
+             .distinct().collect()}
+    grid = [dict(b=5, epochs=2, lr=0.3), dict(b=3, epochs=1, lr=0.1)]
+    init = spark.createDataFrame([("A", THETA.tolist())], "symbol string, theta array<double>")
+    for start in (None, init):
+        got = {(r.symbol, r.grid_id): r for r in LT.train_per_symbol(
+            df, ["x0", "x1"], "y", 5, seed=9, grid=grid, init=start, chunk_rows=10).collect()}
+        assert len(got) == 6
+        for s, (v, y) in series.items():
+            for i, p in enumerate(grid):
+                th0 = THETA if start is not None and s == "A" else fresh[s]
+                r = got[s, i]
+                if len(v) <= p["b"]:
+                    assert r.loss is None and r.windows == 0 and np.allclose(r.theta, th0)
+                    continue
+                th, loss, n = _descend(th0, v, y, **p)
+                assert np.allclose(r.theta, th, atol=1e-12) and r.windows == n and r.loss == pytest.approx(loss)
+
+
+def test_training_of_empty_rows(spark):
+    df, _ = _series(spark, {"A": 4}, 1)
+    none = df.where("false")
+    assert LT.train_per_symbol(none, ["x0", "x1"], "y", 3).count() == 0
+    th, hist = LT.train_distributed(LT.pack_series(none, ["x0", "x1"], "y", 3), 2, 3, epochs=1, theta=THETA)
+    assert np.allclose(th, THETA) and hist == [0.0]
+
+
+def test_pooled_training_lowers_loss(spark):
+    df, series = _series(spark, {"A": 30, "B": 20}, 8)
     th0 = L.init_theta(2, 1)
-    th, hist = L.train_distributed(df, 2, epochs=1, lr=0.2, theta=th0)
-    g, loss, steps = L.backward(th0, X, Y)
-    assert np.allclose(th, th0 - 0.2 * g / steps, atol=1e-12)
-    assert hist[0] == pytest.approx(loss / steps)
+    th, hist = LT.train_distributed(LT.pack_series(df, ["x0", "x1"], "y", 4, chunk_rows=8), 2, 4, epochs=3, lr=0.2,
+                                    theta=th0)
+    X, Y = (np.concatenate(p) for p in zip(*[L.windows_of(v, y, 4) for v, y in series.values()]))
+    exp = th0
+    for k in range(3):
+        g, loss, steps = L.backward(exp, X, Y)
+        assert hist[k] == pytest.approx(loss / steps)
+        exp = exp - 0.2 * g / steps
+    assert np.allclose(th, exp, atol=1e-12) and hist[2] < hist[0]
