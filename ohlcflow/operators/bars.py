@@ -3,22 +3,16 @@ ordering and limits (L*), and splits (D*)."""
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .series import ensure_index, index_series
+from .series import ensure_index
 
 
 # ---------------------------------------------------------------- R1 resample
 
-def bar_start(ts_col: str, width: str):
-    """Start of the ``width`` bucket holding ``ts`` (epoch-aligned)."""
-    return F.window(ts_col, width).start
-
-
 def ticks_to_bars(ticks: DataFrame, width: str = "1 hour", keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """R1 on trades (symbol, ts, seq, price, size): first/max/min/last price,
     summed size, trade count and size-weighted price per ``width`` bucket.
@@ -106,19 +100,6 @@ def newer_than_seen(bars: DataFrame, seen: DataFrame) -> DataFrame:
             .drop("_seen_ts"))
 
 
-def keep_types(frames: DataFrame, allowed: Sequence[str], col: str = "T") -> DataFrame:
-    """Membership predicate."""
-    return frames.where(F.col(col).isin(list(allowed)))
-
-
-def cast_columns(df: DataFrame, types: dict, safe: bool = True) -> DataFrame:
-    """Casts; ``safe`` turns unparsable values into null instead of failing."""
-    out = df
-    for c, t in types.items():
-        out = out.withColumn(c, F.col(c).try_cast(t) if safe else F.col(c).cast(t))
-    return out
-
-
 def label_index(df: DataFrame, label: str = "label", out: str = "label_index"):
     """Category codes in sorted label order (``StringIndexer`` alphabetAsc)."""
     from pyspark.ml.feature import StringIndexer
@@ -174,8 +155,9 @@ def rolling_retention(bars: DataFrame, capacity: int, keys: Sequence[str] = ("sy
 
 def tail_with_context(tagged: DataFrame, context: int, keys: Sequence[str] = ("symbol",),
                       tag: str = "split", bucket: str = "day") -> DataFrame:
-    """L3: all test rows plus the last ``context`` training rows before them."""
-    idx = index_series(tagged, keys, ["ts"], bucket)
+    """L3: all test rows plus the last ``context`` training rows before them.
+    A numbered input (``_g``/``_n``) is not numbered again."""
+    idx = ensure_index(tagged, keys, bucket)
     # per-symbol test counts come from a small aggregate, not a whole-symbol window
     counts = tagged.groupBy(*keys).agg(F.sum(F.when(F.col(tag) == "test", 1).otherwise(0)).alias("_nt"))
     return (idx.join(counts, list(keys))
@@ -216,8 +198,3 @@ def random_split(df: DataFrame, id_col: str, train_percent: int = 80, seed: int
     """Seeded, partitioning-independent train/test tag by id hash."""
     return df.withColumn("split", F.when(hash_bucket(id_col, seed) < train_percent, F.lit("train"))
                          .otherwise(F.lit("test")))
-
-
-def n_test_rows(n: int, test_fraction: float = 0.2) -> int:
-    return int(math.ceil(test_fraction * n))
-

@@ -42,15 +42,16 @@ def index_series(df: DataFrame, keys: Sequence[str] = ("symbol",),
     ``bucket`` is a ``date_trunc`` unit applied to the first order column; it
     must be coarse enough that per-key bucket counts stay a small table and
     fine enough that one (key, bucket) sorts in one task. For bars the number
-    of rows per bucket is bounded by bucket width / bar width.
+    of rows per bucket is bounded by bucket width / bar width: a day for hours
+    and minutes, a year for daily bars. The input is read twice; pass bars
+    that are stored (``session.materialize``), not derived from trades.
     """
     keys, order = _cols(keys), _cols(order)
     bkt = F.date_trunc(bucket, F.col(order[0]))
     d = df.withColumn("_bkt", bkt)
     w_local = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     d = d.withColumn("_rib", F.row_number().over(w_local) - 1)
-    # One row per (key, bucket). Catalyst prunes this branch down to the
-    # grouping columns (a narrow re-read of the input with a hash aggregate),
+    # One row per (key, bucket): a hash aggregate over the grouping columns,
     # which is cheaper than sharing the numbered rows.
     counts = d.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     w_key = Window.partitionBy(*keys).orderBy("_bkt")

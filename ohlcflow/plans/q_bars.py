@@ -9,9 +9,10 @@ from .. import tables
 from ..functions.scalar import minmax_inverse, sigmoid, dot
 from ..operators import bars as B
 from ..operators import features as X
-from ..operators.lstm import FIXED_TEST_WEIGHTS, lstm_fold
-from ..session import scratch_path
+from ..operators.lstm import FIXED_TEST_WEIGHTS, load_params, lstm_fold, save_params
+from ..session import materialize, scratch_path
 from ..sources import codec, files
+from ..streaming.ingest import idempotent_batch_writer
 from . import forecast
 from .oracle import sql_bars_from_ticks, sql_lstm_step, sql_resample
 from .registry import register, rounded
@@ -31,6 +32,16 @@ def daily(spark, sf_dir):
     return B.ticks_to_bars(tables.daily_rows(spark, sf_dir), "1 day")
 
 
+def stored_hourly(spark, sf_dir):
+    """Hourly bars written once, for plans that read them more than once (row
+    numbering counts them first), so that the trades are scanned once."""
+    return materialize(hourly(spark, sf_dir))
+
+
+def stored_daily(spark, sf_dir):
+    return materialize(daily(spark, sf_dir))
+
+
 def ntz(df, col="ts"):
     return df.withColumn(col, F.col(col).cast("timestamp_ntz"))
 
@@ -89,7 +100,7 @@ def q_latest(spark, sf_dir):
 @register("rolling_retention", f"""SELECT {BAR_R6} FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM ({H})) WHERE rn <= 288""")
 def q_retention(spark, sf_dir):
-    return rounded(B.rolling_retention(hourly(spark, sf_dir), 288))
+    return rounded(B.rolling_retention(stored_hourly(spark, sf_dir), 288))
 
 
 @register("head_bars", f"SELECT {BAR_R6} FROM ({H}) ORDER BY ts, symbol LIMIT 100")
@@ -102,7 +113,7 @@ def q_head(spark, sf_dir):
     SELECT symbol, max(ts) AS seen_ts FROM ({H}) WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY symbol) s
   ON h.symbol = s.symbol WHERE s.seen_ts IS NULL OR h.ts > s.seen_ts)""")
 def q_new_bars(spark, sf_dir):
-    h = hourly(spark, sf_dir)
+    h = stored_hourly(spark, sf_dir)
     seen = h.where(F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
     return rounded(B.newer_than_seen(h, seen))
 
@@ -152,7 +163,7 @@ def q_label_index(spark, sf_dir):
   FROM (SELECT symbol, ts, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS rn,
                count(*) OVER (PARTITION BY symbol) AS n FROM ({H}))""")
 def q_chrono(spark, sf_dir):
-    return B.chronological_split(hourly(spark, sf_dir)).select("symbol", "ts", "split")
+    return B.chronological_split(stored_hourly(spark, sf_dir)).select("symbol", "ts", "split")
 
 
 @register("random_split", """SELECT doc_id, bucket, CASE WHEN bucket < 80 THEN 'train' ELSE 'test' END AS split
@@ -171,7 +182,7 @@ def q_random_split(spark, sf_dir):
   WHERE rn > n - nt - 60""")
 def q_tail(spark, sf_dir):
     """D1 split, U2 re-concatenation with a split tag, L3 test + 60 context rows."""
-    sp = B.chronological_split(daily(spark, sf_dir))
+    sp = B.chronological_split(stored_daily(spark, sf_dir), bucket="year", keep_index=True)
     train = sp.where(F.col("split") == "train").drop("split")
     test = sp.where(F.col("split") == "test").drop("split")
     tagged = B.concat_tagged(train, test)
@@ -200,7 +211,7 @@ def _scaled_sql(cols):
 
 @register("minmax_scaled", _scaled_sql(SCALE_COLS))
 def q_minmax_scaled(spark, sf_dir):
-    h = hourly(spark, sf_dir)
+    h = stored_hourly(spark, sf_dir)
     out = X.apply_minmax(h, X.fit_minmax(h, SCALE_COLS), SCALE_COLS, suffix="_s")
     return rounded(out.select("symbol", "ts", *[f"{c}_s" for c in SCALE_COLS]))
 
@@ -216,7 +227,7 @@ def q_minmax_scaled(spark, sf_dir):
                             CAST(min(volume) AS DOUBLE) AS volume_min, CAST(max(volume) AS DOUBLE) AS volume_max
                            FROM ({H}) GROUP BY symbol) s ON h.symbol = s.symbol)""")
 def q_cell_functions(spark, sf_dir):
-    h = hourly(spark, sf_dir)
+    h = stored_hourly(spark, sf_dir)
     s = X.apply_minmax(h, X.fit_minmax(h, ["close", "volume"]), ["close", "volume"], suffix="_s")
     c, v = F.col("close_s"), F.col("volume_s")
     return rounded(s.select("symbol", "ts", sigmoid(c).alias("sig"), F.tanh(c).alias("th"),
@@ -234,7 +245,7 @@ LEAD_SQL = f"""SELECT symbol, ts, close, volume, coalesce(t, avg(t) OVER (PARTIT
 
 @register("lead_target", f"SELECT symbol, ts, R6(close) AS close, R6(target) AS target FROM ({LEAD_SQL})")
 def q_lead(spark, sf_dir):
-    return rounded(X.lead_target(hourly(spark, sf_dir)).select("symbol", "ts", "close", "target"))
+    return rounded(X.lead_target(stored_hourly(spark, sf_dir)).select("symbol", "ts", "close", "target"))
 
 
 @register("sequence_windows", f"""WITH lt AS ({LEAD_SQL})
@@ -242,7 +253,7 @@ def q_lead(spark, sf_dir):
          R6(CAST(r.volume AS DOUBLE)) AS volume, R6(r.target) AS target
   FROM lt a JOIN lt r ON r.symbol = a.symbol AND r.g BETWEEN a.g AND a.g + 3 WHERE a.g + 4 < a.n""")
 def q_windows(spark, sf_dir):
-    lt = X.lead_target(hourly(spark, sf_dir), keep_index=True)
+    lt = X.lead_target(stored_hourly(spark, sf_dir), keep_index=True)
     w = X.sequence_windows(lt, ["close", "volume"], 4, target="target")
     e = w.select("symbol", "win_id", F.posexplode("xs").alias("pos", "x"), "ys")
     return rounded(e.select("symbol", "win_id", F.col("pos").cast("bigint").alias("pos"),
@@ -258,7 +269,7 @@ def q_windows(spark, sf_dir):
          row_number() OVER w - 1 AS g
   FROM ({D}) WINDOW w AS (PARTITION BY symbol ORDER BY ts)) WHERE g >= 60""")
 def q_lags(spark, sf_dir):
-    lf = X.lag_features(daily(spark, sf_dir), "close", 60)
+    lf = X.lag_features(stored_daily(spark, sf_dir), "close", 60, bucket="year")
     return rounded(lf.select("symbol", "ts", "y", F.size("xs").alias("n_lags"),
                              F.col("xs")[0].alias("x_first"), F.col("xs")[59].alias("x_last"),
                              F.array_min("xs").alias("x_min"), F.array_max("xs").alias("x_max")))
@@ -273,7 +284,7 @@ def q_lags(spark, sf_dir):
                            FROM ({H}) GROUP BY symbol) s USING (symbol)) f
   JOIN ({LEAD_SQL}) t ON f.symbol = t.symbol AND f.ts = t.ts""")
 def q_align(spark, sf_dir):
-    h = hourly(spark, sf_dir)
+    h = stored_hourly(spark, sf_dir)
     feats = X.apply_minmax(h, X.fit_minmax(h, ["close", "volume"]), ["close", "volume"], suffix="_s") \
         .select("symbol", "ts", "close_s", "volume_s")
     targ = X.lead_target(h).select("symbol", "ts", "target")
@@ -293,7 +304,7 @@ SPLIT_SQL = f"""SELECT symbol, ts, close, volume,
         CAST(min(volume) AS DOUBLE) AS volume_min, CAST(max(volume) AS DOUBLE) AS volume_max
         FROM ({SPLIT_SQL}) WHERE split = 'train' GROUP BY symbol) s ON p.symbol = s.symbol""")
 def q_train_fit(spark, sf_dir):
-    sp = B.chronological_split(hourly(spark, sf_dir))
+    sp = B.chronological_split(stored_hourly(spark, sf_dir))
     fit = X.fit_minmax(sp.where(F.col("split") == "train"), ["close", "volume"])
     out = X.apply_minmax(sp, fit, ["close", "volume"], suffix="_s")
     return rounded(out.select("symbol", "ts", "split", "close_s", "volume_s"))
@@ -363,7 +374,7 @@ def validation_report(spark, sf_dir, b: int = 4):
     """M9 / K7: scaler fitted on the train split, windows inside the test
     split, each test bar beside its next close and its prediction."""
     # one row numbering serves the lead, the split and the windows
-    lt = X.lead_target(hourly(spark, sf_dir), keep_index=True)
+    lt = X.lead_target(stored_hourly(spark, sf_dir), keep_index=True)
     sp = B.chronological_split(lt, keep_index=True)
     fit = X.fit_minmax(sp.where(F.col("split") == "train"), ["close", "volume", "target"])
     scaled = X.apply_minmax(sp, fit, ["close", "volume"], suffix="_s")
@@ -432,3 +443,63 @@ def q_daily_csv(spark, sf_dir):
     path = scratch_path(spark, "daily-csv")
     files.write_daily_csv(daily(spark, sf_dir), path)
     return rounded(files.read_daily_csv(spark, path))
+
+
+@register("report_roundtrip", VALID_SQL + "\nSELECT symbol, ts, R6(current) AS current, R6(target) AS target, "
+          "R6(predicted) AS predicted FROM report")
+def q_report(spark, sf_dir):
+    """K7: the validation report written as headered CSV and read back."""
+    path = scratch_path(spark, "report")
+    report = validation_report(spark, sf_dir)
+    files.write_report(report, path, "csv")
+    return rounded(spark.read.option("header", True).schema(report.schema).csv(path))
+
+
+@register("labelled_csv_roundtrip", "SELECT doc_id, lang AS label, md5(text) AS text_md5, length(text) AS n_chars FROM documents")
+def q_labelled_csv(spark, sf_dir):
+    """The documents as a headered CSV of many-line texts, read back."""
+    path = scratch_path(spark, "labelled-csv")
+    docs = tables.documents(spark, sf_dir).withColumnRenamed("label", "author")
+    files.write_labelled_csv(docs, path)
+    back = files.read_labelled_csv(spark, path, id_col="doc_id")
+    return back.select("doc_id", "label", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("n_chars"))
+
+
+# ---------------------------------------------------------------- P1, P2, P4, J2
+
+@register("bars_projected", f"SELECT symbol, ts, R6(close) AS last, volume AS shares FROM ({H})")
+def q_projected(spark, sf_dir):
+    """P2 drops the columns that are not needed, P1 renames the rest."""
+    kept = B.drop_columns(hourly(spark, sf_dir), "open", "high", "low", "trade_count", "vwap")
+    return rounded(B.project(kept, {"symbol": "symbol", "ts": "ts", "last": "close", "shares": "volume"}))
+
+
+@register("batches_written", f"SELECT {BAR_R6} FROM ({H}) WHERE ts < TIMESTAMP '2024-01-08 00:00:00'")
+def q_batches(spark, sf_dir):
+    """Batches of bars go to a sink that an empty batch leaves alone: of
+    the weeks before and after New Year 2024, only one has rows."""
+    path = scratch_path(spark, "batches")
+    write = idempotent_batch_writer(path)
+    bars = hourly(spark, sf_dir)
+    for k, (start, end) in enumerate([("2023-12-25", "2024-01-01"), ("2024-01-01", "2024-01-08")]):
+        write(bars.where((F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+                         & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))), k)
+    return rounded(spark.read.parquet(path).drop("batch_id"))
+
+
+@register("stored_params_beside_bars", f"""WITH sp AS ({SPLIT_SQL})
+SELECT h.symbol, h.ts, CAST(CASE WHEN h.symbol = 'click' THEN 1 ELSE 2 END AS BIGINT) AS version,
+  R6(CASE WHEN h.symbol = 'click' THEN t.lo ELSE a.lo END) AS close_min,
+  R6(CASE WHEN h.symbol = 'click' THEN t.hi ELSE a.hi END) AS close_max
+FROM sp h JOIN (SELECT symbol, min(close) AS lo, max(close) AS hi FROM sp GROUP BY symbol) a USING (symbol)
+JOIN (SELECT symbol, min(close) AS lo, max(close) AS hi FROM sp WHERE split = 'train' GROUP BY symbol) t USING (symbol)""")
+def q_params_beside(spark, sf_dir):
+    """J2 + K5: scalers stored as version 1 (train split, all symbols) and 2
+    (all bars, all but one symbol); each bar gets the newest of its symbol."""
+    path = scratch_path(spark, "scalers")
+    bars = stored_hourly(spark, sf_dir)
+    train = B.chronological_split(bars).where(F.col("split") == "train")
+    for v, rows in ((1, train), (2, bars.where(F.col("symbol") != "click"))):
+        save_params(X.fit_minmax(rows, ["close"]).withColumn("version", F.lit(v)), path)
+    stored = load_params(spark, path).withColumn("version", F.col("version").cast("bigint"))
+    return rounded(X.attach_params(bars, stored).select("symbol", "ts", "version", "close_min", "close_max"))

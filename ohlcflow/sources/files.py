@@ -107,6 +107,14 @@ def write_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:
     (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
 
 
+def write_labelled_csv(docs: DataFrame, path: str) -> None:
+    """Headered CSV of labelled documents as ``read_labelled_csv`` takes it:
+    quotes doubled, line breaks and outer white space of texts kept; an empty
+    text is ``""``, a null one nothing."""
+    (docs.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def read_labelled_csv(spark: SparkSession, path: str, label_col: str = "author", text_col: str = "text",
                       id_col: str | None = None) -> DataFrame:
     """Labelled documents from a headered CSV whose texts span lines.

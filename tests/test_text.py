@@ -124,16 +124,16 @@ def test_metrics(spark):
 def test_ml_pipeline_smooth_idf_and_save(spark, docs, tmp_path):
     train = docs.where("split = 'train'")
     model = CL.naive_bayes_pipeline(50).fit(train)
-    out = CL.with_predicted_label(model, model.transform(docs.where("split = 'test'")))
+    out = CL.predict(model, docs.where("split = 'test'"))
     assert out.count() == 3
     path = str(tmp_path / "nb")
     CL.save_model(model, path)                                             # K6
     back = CL.load_model(path)
-    again = CL.with_predicted_label(back, back.transform(docs.where("split = 'test'")))
+    again = CL.predict(back, docs.where("split = 'test'"))
     assert sorted(r.predicted for r in again.collect()) == sorted(r.predicted for r in out.collect())
     # SmoothIdf = ln((1+n)/(1+df)) + 1 times tf, then L2
     from pyspark.ml import Pipeline
-    fm = Pipeline(stages=CL.feature_stages(stop_words=True, ngram_max=1)).fit(train)
+    fm = Pipeline(stages=CL.feature_stages(stop_words=True, max_features=1000)).fit(train)
     vocab = fm.stages[2].vocabulary
     v = fm.transform(train.where("doc_id = 1")).first().features.toArray()
     _, exp = brute_tfidf(None, 1)
@@ -146,3 +146,18 @@ def test_logistic_weights(spark, docs):
     w = CL.balanced_weights(docs.where("split = 'train'"))
     got = {r.label: r.weight for r in w.select("label", "weight").distinct().collect()}
     assert got == {"a": 1.0, "b": 1.0}
+
+
+def test_hashed_learners_separate_labels_and_score_unlabelled(spark):
+    """LR, cross-validated LR and MLP learn two word sets; a document without
+    a label is scored, an empty or null text too."""
+    rows = [(i, lab, f"{lab}word{i % 3} {lab}word{i % 2} common", "train") for i in range(24) for lab in ("x", "y")]
+    train = spark.createDataFrame(rows, "doc_id int, label string, text string, split string")
+    test = spark.createDataFrame([(1, "x", "xword0 common"), (2, None, "yword1 common"), (3, "new", "xword1 xword2"),
+                                  (4, "y", "")], "doc_id int, label string, text string")
+    weighted = CL.balanced_weights(train)
+    models = [*CL.fit_logistic(weighted).values(), CL.cross_validated_logistic(weighted),
+              CL.fit_mlp(train, (5, 3), hashed=64)]
+    for m in models:
+        got = {r.doc_id: r.predicted for r in CL.predict(m, test).collect()}
+        assert (got[1], got[2], got[3]) == ("x", "y", "x") and got[4] in ("x", "y")
