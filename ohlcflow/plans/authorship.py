@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import tables
 from ..operators import text as TX
 from ..operators.bars import random_split
+from ..session import materialize
 
 
 def split_documents(spark: SparkSession, sf_dir: str, train_percent: int = 80, seed: int = 1234) -> DataFrame:
@@ -33,30 +33,25 @@ class Vectorized:
     n_train: int
     bounded: bool
 
-    def release(self) -> None:
-        self.tf.unpersist()
-        self.vocab.unpersist()
-
 
 def vectorize(docs: DataFrame, stop_words: bool = True, ngram_max: int = 1,
-              max_features: int | None = None, materialize: bool = True) -> Vectorized:
+              max_features: int | None = None, store: bool = True) -> Vectorized:
     """Fit the vocabulary and IDF on the train split, apply to all.
 
-    With ``materialize`` the term-frequency table (the tokenising pass over
-    the whole texts) is persisted once and reused by the vocabulary, the
-    weights and the classifier. A persisted frame keeps its ``doc_id``
-    partitioning, so the per-document L2 norm needs no further exchange; a
-    lost executor's blocks are recomputed from the (short) lineage. Call
-    ``release`` when done.
+    With ``store`` the term-frequency table (the tokenising pass over the whole
+    texts) and the vocabulary are written once to the shared folder and
+    reused by the weights and the classifier. The written frame keeps its
+    ``doc_id`` partitioning, so the per-document L2 norm needs no further
+    exchange.
     """
     tf = TX.term_frequencies(docs, stop_words, ngram_max)
-    if materialize:
-        tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
+    if store:
+        tf = materialize(tf)
     train_tf = tf.where(F.col("split") == "train")
     vocab = TX.vocabulary(train_tf, max_features)
     bounded = max_features is not None
-    if materialize:
-        vocab = vocab.persist(StorageLevel.MEMORY_AND_DISK)
+    if store:
+        vocab = materialize(vocab)
     n_train = docs.where(F.col("split") == "train").count()
     idf = TX.smooth_idf(vocab, n_train)
     return Vectorized(docs, tf, vocab, idf, TX.tfidf(tf, idf, bounded), n_train, bounded)

@@ -27,6 +27,17 @@ from ..session import materialize
 FEATURES = ("close", "volume")
 
 
+def series_scaler(idx: DataFrame, features=FEATURES, target: str = "close") -> DataFrame:
+    """Per symbol of a numbered series: min and max of the features and of the
+    target."""
+    aggs = []
+    for c in features:
+        aggs += [F.min(c).cast("double").alias(f"{c}_min"), F.max(c).cast("double").alias(f"{c}_max")]
+    later = F.when(F.col("_g") >= 1, F.col(target).cast("double"))
+    aggs += [F.min(later).alias("target_min"), F.max(later).alias("target_max")]
+    return idx.groupBy("symbol").agg(*aggs)
+
+
 def scaled_bars(bars: DataFrame, features=FEATURES, target: str = "close", bucket: str = "day",
                 materialize_bars: bool = True) -> DataFrame:
     """Index bars and attach per-symbol scaler columns.
@@ -43,12 +54,7 @@ def scaled_bars(bars: DataFrame, features=FEATURES, target: str = "close", bucke
     if materialize_bars:
         bars = materialize(bars)
     idx = index_series(bars, ["symbol"], ["ts"], bucket)
-    aggs = []
-    for c in features:
-        aggs += [F.min(c).cast("double").alias(f"{c}_min"), F.max(c).cast("double").alias(f"{c}_max")]
-    later = F.when(F.col("_g") >= 1, F.col(target).cast("double"))
-    aggs += [F.min(later).alias("target_min"), F.max(later).alias("target_max")]
-    scaler = idx.groupBy("symbol").agg(*aggs)
+    scaler = series_scaler(idx, features, target)
     out = idx.join(scaler, "symbol", "inner")
     for c in features:
         out = out.withColumn(f"{c}_s", minmax_scale(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")))

@@ -3,27 +3,51 @@ shared checkpoint directory and returns the written result table."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import lstm as L
 from ..schema import BAR_COLUMNS
-from ..session import scratch_path
+from ..operators.series import index_series
+from ..session import materialize, scratch_path
 from ..streaming import ingest as S
 from ..streaming import stateful as ST
 from . import forecast
 from . import training as TR
 from .oracle import sql_bars_from_ticks, sql_forecast_pairs
-from .q_bars import BAR_R6, H, REGISTER_LAG_SQL, hourly
+from .q_bars import BAR_R6, H, REGISTER_LAG_SQL, hourly, stored_hourly
 from .registry import register, rounded
 
 
-def _published(spark, sf_dir, duplicate: bool = False):
+# A closing message: a bar of no symbol, 30 days after the last one, moves the
+# watermark past all bars, so that none is left held back.
+PULSE = "~"
+
+
+def _in_steps(rows, write, days, pulse=False):
+    """Hand ``rows`` to ``write`` as a producer would over time: ``days`` days a
+    step, each written after the one before."""
+    lo, hi = rows.agg(F.min("ts"), F.max("ts")).first()
+    if lo is None:
+        return write(rows)
+    start = dt.datetime(lo.year, lo.month, lo.day)
+    while start <= hi:
+        end = start + dt.timedelta(days=days)
+        write(rows.where((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end))))
+        start = end
+    if pulse:
+        late = F.lit(hi + dt.timedelta(days=30)).cast(rows.schema["ts"].dataType)
+        write(rows.limit(1).withColumn("symbol", F.lit(PULSE)).withColumn("ts", late))
+
+
+def _published(spark, sf_dir, duplicate: bool = False, days: int = 7, pulse: bool = False, bars=None):
     """Hourly bars of the driver's trades published as bus messages."""
-    bars = hourly(spark, sf_dir)
+    bars = stored_hourly(spark, sf_dir) if bars is None else bars
     if duplicate:
         bars = bars.unionByName(bars)
     path = scratch_path(spark, "bus")
-    S.publish_messages(bars, path)
+    _in_steps(bars, lambda part: S.publish_messages(part, path, mode="append"), days, pulse)
     return path
 
 
@@ -59,7 +83,7 @@ def q_stream_rolling(spark, sf_dir):
 def q_stream_dedup(spark, sf_dir):
     """ST3: every bar published twice; one copy per (symbol, bar time) passes."""
     bus = _published(spark, sf_dir, duplicate=True)
-    stream = S.new_bars_only(S.decode_stream(S.message_stream(spark, bus)), "1 day")
+    stream = S.new_bars_only(S.decode_stream(S.message_stream(spark, bus, max_files_per_trigger=10)), "8 days")
     q, out = S.start(stream, "dedup", spark)
     S.run_to_completion(q)
     return rounded(_ntz(spark.read.parquet(f"{out}/data").select(*BAR_COLUMNS)))
@@ -83,14 +107,13 @@ def q_stream_resample(spark, sf_dir):
 SELECT symbol, ts, R6(actual) AS actual, R6(predicted) AS predicted FROM pairs""")
 def q_stream_scores(spark, sf_dir):
     """ST5: keyed state of the last 4 scaled bars scores each incoming bar
-    with a static model and scaler; equals the batch flagship."""
-    bars_batch = hourly(spark, sf_dir)
-    sc = forecast.scaled_bars(bars_batch)
-    scaler = sc.select("symbol", "close_min", "close_max", "volume_min", "volume_max",
-                       "target_min", "target_max").dropDuplicates(["symbol"])
-    bus = _published(spark, sf_dir)
-    stream = S.decode_stream(S.message_stream(spark, bus))
-    scored = ST.score_stream(stream, scaler, L.theta_from_gates(L.FIXED_TEST_WEIGHTS), 4)
+    with a static model and scaler; equals the batch flagship. Ten files of a
+    day each a micro-batch, in any order within a week."""
+    bars = stored_hourly(spark, sf_dir)
+    scaler = forecast.series_scaler(index_series(bars))
+    bus = _published(spark, sf_dir, pulse=True, bars=bars)
+    stream = S.decode_stream(S.message_stream(spark, bus, max_files_per_trigger=10))
+    scored = ST.score_stream(stream, scaler, L.theta_from_gates(L.FIXED_TEST_WEIGHTS), 4, delay="8 days")
     q, out = S.start(scored, "scores", spark)
     S.run_to_completion(q)
     return rounded(_ntz(spark.read.parquet(f"{out}/data")))
@@ -108,9 +131,9 @@ def q_stream_pairs(spark, sf_dir):
                         minmax_inverse(L.lstm_fold("xs", L.FIXED_TEST_WEIGHTS, 2), F.col("target_min"),
                                        F.col("target_max")).alias("predicted"))
     topic = scratch_path(spark, "scores")
-    scored.write.parquet(topic)
-    stream = S.table_stream(spark, topic)
-    q, out = S.start(ST.emit_pairs(stream, "close", "predicted"), "pairs", spark)
+    _in_steps(materialize(scored), lambda part: part.write.mode("append").parquet(topic), 7, pulse=True)
+    stream = S.table_stream(spark, topic, max_files_per_trigger=10)
+    q, out = S.start(ST.emit_pairs(stream, "close", "predicted", delay="8 days"), "pairs", spark)
     S.run_to_completion(q)
     return rounded(_ntz(spark.read.parquet(f"{out}/data")))
 
@@ -141,13 +164,13 @@ def q_stream_refresh(spark, sf_dir):
     previous 24 stored bars."""
     from ..operators import bars as B
     from ..operators import features as X
-    bars = hourly(spark, sf_dir)
+    bars = stored_hourly(spark, sf_dir)
     models, scaler_path = scratch_path(spark, "models"), scratch_path(spark, "scaler")
     nf = len(TR.BAR_FEATURES)
     L.save_params(L.thetas_to_params(TR.train_symbols(bars, b=24, epochs=1, lr=0.5), nf), models)
     lt = X.lead_target(B.rolling_retention(bars, TR.ROLLING_CAPACITY), "close", "target")
     X.fit_minmax(lt, [*TR.BAR_FEATURES, "target"]).write.parquet(scaler_path)
-    bus = _published(spark, sf_dir)
+    bus = _published(spark, sf_dir, days=1, bars=bars)
     stream = S.decode_stream(S.message_stream(spark, bus, max_files_per_trigger=10))
     store, out = scratch_path(spark, "rolling"), scratch_path(spark, "refresh-scores")
     writer = ST.refreshing_score_writer(spark, store, models, scaler_path, out, 24, TR.BAR_FEATURES)

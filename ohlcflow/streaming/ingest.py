@@ -60,12 +60,12 @@ def decode_stream(messages: DataFrame, value_col: str = "value", symbol=None) ->
     return codec.flatten_bar(dec, "pdata", sym)
 
 
-def publish_messages(bars: DataFrame, path: str, quote_numbers: bool = True) -> None:
+def publish_messages(bars: DataFrame, path: str, quote_numbers: bool = True, mode: str = "overwrite") -> None:
     """Producer side of the replay: bars as JSON messages, one file per day
     (text files with a ``symbol`` column beside the value)."""
     wire = codec.encode_bars_wire(bars.withColumn("day", F.to_date("ts")), quote_numbers, keep=["symbol", "day"])
     (wire.select(F.to_json(F.struct("symbol", "value")).alias("line"), "day")
-     .write.mode("overwrite").partitionBy("day").text(path))
+     .repartition("day").write.mode(mode).partitionBy("day").text(path))
 
 
 def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -64,9 +64,14 @@ def _pairs(key, rows: np.ndarray, actual, predicted) -> pd.DataFrame:
                          "actual": np.asarray(actual, np.float64), "predicted": np.asarray(predicted, np.float64)})
 
 
+def _event_time(rows: DataFrame, delay: str | None) -> DataFrame:
+    """Watermark of the whole source, before any join: bars of a symbol without
+    a scaler move it, too."""
+    rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    return rows if delay is None else rows.withWatermark("ts", delay)
+
+
 def _keyed(s: DataFrame, step, state_schema: T.StructType, delay: str | None) -> DataFrame:
-    if delay is not None:
-        s = s.withWatermark("ts", delay)
     timeout = GroupStateTimeout.NoTimeout if delay is None else GroupStateTimeout.EventTimeTimeout
     return s.groupBy("symbol").applyInPandasWithState(step, PAIR_SCHEMA, state_schema, "append", timeout)
 
@@ -90,9 +95,9 @@ def score_stream(bars: DataFrame, scaler: DataFrame, theta, b: int = 4,
     """
     th = np.asarray(theta, dtype=np.float64)
     feats = list(features)
-    s = bars.join(scaler, "symbol", "inner")
+    s = _event_time(bars, delay).join(scaler, "symbol", "inner")
     xs = [minmax_scale(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")).alias(f"_x{j}") for j, c in enumerate(feats)]
-    s = s.select("symbol", F.col("ts").cast("timestamp").alias("ts"), F.col("close").cast("double").alias("close"),
+    s = s.select("symbol", "ts", F.col("close").cast("double").alias("close"),
                  *xs, "target_min", "target_max")
     state_schema = T.StructType([T.StructField("hist", _ROWS), T.StructField("held", _ROWS),
                                  T.StructField("last_us", T.LongType())])
@@ -122,7 +127,7 @@ def emit_pairs(scored: DataFrame, actual: str = "close", predicted: str = "predi
     """ST4: keyed state holds the previous prediction; each bar emits
     (actual of this bar, prediction made on the previous bar). The first bar
     of a symbol emits nothing."""
-    s = scored.select("symbol", F.col("ts").cast("timestamp").alias("ts"),
+    s = _event_time(scored, delay).select("symbol", "ts",
                       F.col(actual).cast("double").alias("_a"), F.col(predicted).cast("double").alias("_p"))
     state_schema = T.StructType([T.StructField("prev", T.DoubleType()), T.StructField("held", _ROWS),
                                  T.StructField("last_us", T.LongType())])
