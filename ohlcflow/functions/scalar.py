@@ -59,16 +59,13 @@ def round_half_up(x, digits: int = 3) -> Column:
 def parse_bar_time(s) -> Column:
     """bar times as written by brokers and files.
 
-    Accepts ``2021-11-15 13:55:00+00:00``, ISO ``2021-11-15T13:55:00.000Z`` and
-    ``2021-11-15T13:55:00Z``; the result is a UTC instant.
+    Accepts ``2021-11-15 13:55:00+00:00``, ``2021-11-15T13:55:00Z`` and
+    ``2021-11-15 13:55:00`` (UTC), each with one to nine digits of a second;
+    the result is a UTC instant (microseconds), null for anything else.
     """
     s = _c(s)
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ssXXX")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXXX")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),
-    )
+    return F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in (
+        "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]XXX", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX", "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]")])
 
 
 def reshape_steps(xs) -> Column:

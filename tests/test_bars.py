@@ -162,3 +162,14 @@ def test_parquet_store_prunes_partitions(spark, bars5, tmp_path):
     assert "PushedFilters: [IsNotNull(ts)" in plan
     exp = bars5.where((F.col("ts") >= dt.datetime(2021, 11, 16)) & (F.col("ts") < dt.datetime(2021, 11, 17)))
     assert q.count() == exp.count() > 0
+
+
+def test_bar_time_fractions(spark):
+    from ohlcflow.functions.scalar import parse_bar_time
+    texts = ["2021-11-15 13:55:00+00:00", "2021-11-15T13:55:00Z", "2021-11-15T13:55:00.000Z",
+             "2021-11-15 13:55:00.5+00:00", "2021-11-15T13:55:00.123456Z", "2021-11-15T15:55:00.123456789+02:00",
+             "2021-11-15 13:55:00", "2021-11-15 13:55:00.25", "13:55", "", None]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = [r.u for r in d.select("i", F.unix_micros(parse_bar_time(F.col("s"))).alias("u")).orderBy("i").collect()]
+    t0 = 1636984500000000
+    assert got == [t0, t0, t0, t0 + 500000, t0 + 123456, t0 + 123456, t0, t0 + 250000, None, None, None]
