@@ -13,7 +13,10 @@ of elements plus darts, not their product.
 Signatures are cut into bands; texts that share a band's hash are candidates.
 A bucket gives no pairs among its members: each is compared with one
 representative, found by an aggregate, and a second round compares members of
-buckets that still span several classes with another, hashed pick. Every link
+buckets that still span several classes with another, hashed pick. Members of
+buckets that span several classes after that are joined exactly (``rest_pairs``):
+texts of different classes that reach the threshold share one of their rarest
+cells, at places that leave enough cells behind them. Every link
 is verified on the full shingle sets (similarity >= ``THRESHOLD``). Equal texts
 are joined by their hash before all this. Links are contracted to classes by
 alternating star operations over tables in the shared folder.
@@ -41,6 +44,7 @@ BANDS, ROWS = 20, 5
 K = BANDS * ROWS
 DARTS = K * (np.log(K) + 4)
 ROUNDS = 2
+COUNT_BITS = 18        # log2 of the counters that order cells by rarity: 1 MB
 
 _CELL = np.uint64(0x9E3779B97F4A7C15)
 _DART = np.uint64(0xD1B54A32D192ED03)
@@ -183,6 +187,71 @@ def classes(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("doc_id"), F.col("v").alias("class_id"))
 
 
+def cell_counts(members: DataFrame) -> np.ndarray:
+    """How many of the members' cells fall on each counter (a fixed number)."""
+    def count(batches):
+        total = np.zeros(1 << COUNT_BITS, np.int64)
+        for b in batches:
+            texts = list(b["text"])
+            for a, z in text_chunks(texts):
+                slot = (cells_of(texts[a:z])[0] & np.uint64(len(total) - 1)).astype(np.int64)
+                total += np.bincount(slot, minlength=len(total))
+        yield pd.DataFrame({"n": [np.minimum(total, 2 ** 32 - 1).astype(np.uint32).tobytes()]})
+
+    def add(batches):
+        total = np.zeros(1 << COUNT_BITS, np.int64)
+        for b in batches:
+            for x in b["n"]:
+                total += np.frombuffer(x, np.uint32)
+        yield pd.DataFrame({"n": [np.minimum(total, 2 ** 32 - 1).astype(np.uint32).tobytes()]})
+
+    total = np.zeros(1 << COUNT_BITS, np.int64)
+    for r in members.select("text").mapInPandas(count, "n binary").repartition(8).mapInPandas(add, "n binary").toLocalIterator():
+        total += np.frombuffer(r.n, np.uint32)
+    return np.minimum(total, 2 ** 32 - 1).astype(np.uint32)
+
+
+def prefix_table(members: DataFrame, threshold: float) -> DataFrame:
+    """The rarest cells of every text, as many as a partner that reaches the
+    threshold cannot all miss: n cells, place of the cell in order of rarity."""
+    counts = members.sparkSession.sparkContext.broadcast(cell_counts(members).tobytes())
+
+    def run(batches):
+        count = np.frombuffer(counts.value, np.uint32)
+        for b in batches:
+            ids, of, texts = b["doc_id"].to_numpy(), b["class_id"].to_numpy(), list(b["text"])
+            for a, z in text_chunks(texts):
+                cells, bounds = cells_of(texts[a:z])
+                n = np.diff(bounds)
+                owner = np.repeat(np.arange(len(n)), n)
+                order = np.lexsort((cells, count[(cells & np.uint64(len(count) - 1)).astype(np.int64)], owner))
+                at = np.arange(len(cells)) - bounds[:-1][owner]
+                on = np.flatnonzero(at <= n[owner] * (1 - threshold) + 1e-6)
+                own = owner[on]
+                yield pd.DataFrame({"doc_id": ids[a:z][own], "class_id": of[a:z][own], "n": n[own], "at": at[on],
+                                    "cell": cells[order][on].view(np.int64)})
+
+    return members.mapInPandas(run, "doc_id long, class_id long, n long, at long, cell long")
+
+
+def rest_pairs(members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of all members (doc_id, class_id, text) of different classes that
+    may reach the threshold. The first common cell of such a pair lies in both
+    prefixes and leaves both texts cells enough for the overlap they need; so
+    the shorter text gives only the places that allow a partner as long."""
+    rows = stored(prefix_table(members, threshold), "prefixes")
+    part = threshold / (1 + threshold)
+    left = F.col("n") - F.col("at")
+    short = rows.where(left + 1e-6 >= 2 * part * F.col("n")).select(
+        "cell", F.col("doc_id").alias("b"), F.col("class_id").alias("of_b"), F.col("n").alias("n_b"), left.alias("left_b"))
+    full = rows.select("cell", F.col("doc_id").alias("a"), F.col("class_id").alias("of_a"), F.col("n").alias("n_a"),
+                       left.alias("left_a"))
+    need = part * (F.col("n_a") + F.col("n_b")) - 1e-6
+    on = ((full.cell == short.cell) & (F.col("of_a") != F.col("of_b")) & (F.col("n_b") <= F.col("n_a"))
+          & (F.col("left_a") >= need) & (F.col("left_b") >= need))
+    return full.join(short, on).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, class_id (least doc_id of its class), kept (doc_id = class_id)
@@ -194,24 +263,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .where("doc_id != first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct())
     rows = texts.select("doc_id", F.posexplode("bands").alias("band", "hash"))
     edges, tried, label = copies, None, None
+
+    def mixed(turn):
+        """Members of buckets that span several classes, with a hashed pick."""
+        named = rows.join(label, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
+        pick = F.max(F.struct(F.xxhash64("doc_id", "band", F.lit(turn)).alias("h"), F.col("doc_id").alias("b"),
+                              F.col("class_id").alias("of"))).alias("p")
+        least = named.groupBy("band", "hash").agg(pick, F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
+        return named.join(least.where("lo != hi"), ["band", "hash"])
+
     for turn in range(rounds):
         if label is None:
             least = rows.groupBy("band", "hash").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("z"))
             pairs = (rows.join(least.where("b != z"), ["band", "hash"]).where("doc_id != b")
                      .select(F.col("doc_id").alias("a"), "b").distinct())
         else:
-            named = (rows.join(label, "doc_id", "left")
-                     .withColumn("class_id", F.coalesce("class_id", "doc_id")))
-            pick = F.max(F.struct(F.xxhash64("doc_id", "band", F.lit(turn)).alias("h"), F.col("doc_id").alias("b"),
-                                  F.col("class_id").alias("of"))).alias("p")
-            least = named.groupBy("band", "hash").agg(pick, F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
-            pairs = (named.join(least.where("lo != hi"), ["band", "hash"]).where("class_id != p.of")
+            pairs = (mixed(turn).where("class_id != p.of")
                      .select(F.col("doc_id").alias("a"), F.col("p.b").alias("b")).distinct()
                      .join(tried, ["a", "b"], "left_anti"))
         pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
         edges = edges.union(stored(verified(pairs, docs, id_col, text_col, threshold), "links"))
         label = classes(edges)
+    rest = mixed(rounds).select("doc_id", "class_id").distinct()
+    texts_of = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    members = stored(texts_of.where(F.length("text") > 0).join(rest, "doc_id").select("doc_id", "class_id", "text"), "mixed")
+    pairs = stored(rest_pairs(members, threshold), "pairs")
+    links = stored(verified(pairs, docs, id_col, text_col, threshold), "links")
+    if not links.isEmpty():
+        label = classes(edges.union(links))
     ids = docs.select(F.col(id_col).cast("bigint").alias("doc_id")).where("doc_id is not null").distinct()
     return (ids.join(label, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
             .select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept")))

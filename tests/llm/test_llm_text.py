@@ -296,6 +296,35 @@ def test_classes_of_chains(spark):
     assert got == {i: 0 for i in range(1, n + 1)} | {i: 100 for i in [101, 102, 103, 104, 200]}
 
 
+def test_near_duplicates_in_a_family_below_the_threshold(spark):
+    """Texts of one template, 0.789 alike, fill large buckets; pairs among them
+    that reach the threshold are all joined, and nothing else is."""
+    form, texts, pairs = [f"t{i}" for i in range(300)], [], []
+    own = [10 + 40 * j for j in range(7)]
+
+    def fill(base, places, tag):
+        out = list(base)
+        for p in places:
+            out[p] = f"{tag}x{p}"
+        return out
+
+    def alike(a, b):
+        return near_dedup.similarity(*(near_dedup.cells_of([" ".join(x)])[0] for x in (a, b)))
+
+    for i in range(1500):                        # 7 own words spoil 35 of 296 shingles
+        texts.append(fill(form, own, f"d{i}"))
+    for i in range(1000, 1200, 2):               # 6 of them differ from a partner's: 0.816 alike
+        texts[i + 1] = fill(texts[i], own[:6], f"e{i}")
+        if alike(texts[i], texts[i + 1]) >= near_dedup.THRESHOLD:
+            pairs.append((i, i + 1))
+    assert len(pairs) > 80 and max(alike(texts[0], t) for t in texts[1:]) < near_dedup.THRESHOLD
+    bands = [near_dedup.band_hashes(near_dedup.signatures(*near_dedup.cells_of([" ".join(texts[i]) for i in p])))
+             for p in pairs]
+    want = {p for p, (x, y) in zip(pairs, bands) if (x == y).any()}
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(table(spark, [" ".join(t) for t in texts])).collect()}
+    assert want <= {(c, d) for d, c in got.items() if c != d} <= set(pairs)
+
+
 def test_near_duplicates_odd_ids(spark):
     t = "one two three four five six seven"
     df = table(spark, [t, t, t, "else"], [5, 5, None, 6])
