@@ -1,8 +1,11 @@
 """Operator 1: benchmark decontamination by spaced-seed hashing.
 
-A seed is a fixed mask over ``SPAN`` consecutive words that ignores the masked
-positions, so a seed still hits where an ignored word was replaced. Items
-shorter than the span use an all-care mask of their own length.
+A seed is a mask over consecutive words that ignores the masked positions, so a
+seed still hits where an ignored word was replaced. The masks are all ways in
+which the first ``WEIGHT`` matches of an accepted segment can follow each other
+(every prefix of a best segment has a positive score), so each overlap begins
+with a hit of one of them. Items that need fewer matches use masks of as many
+places as they need.
 
 1. Benchmark seeds (hash, item, position) are a table; a bitmap of fixed size
    (``FILTER_BITS``) over their hashes, or-ed together from the tasks, goes to
@@ -24,6 +27,8 @@ items and rows change nothing; with an empty benchmark all are clean.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,23 +36,39 @@ from pyspark.sql import functions as F
 
 from .common import STEP_CODE, mix64, stored, text_chunks, word_hashes
 
-SPAN = 11
-# Fixed masks: 1 compares a word, 0 ignores it.
-MASKS = ("11101001011", "11010100111", "10111100101")
+WEIGHT = 7             # words that a mask compares
 MIN_WORDS = 12
 SHARE = 0.7
 PENALTY = 2.0
 RADIUS = 64
-FILTER_BITS = 23       # log2 of the bits of the bitmap: 1 MB
+FILTER_BITS = 25       # log2 of the bits of the bitmap: 4 MB
 
 SEEDS = "mask int, hash long, item_id long, at int"
 REGIONS = "region string, doc_id string, words array<long>, masks array<int>, hashes array<long>, places array<int>"
 
 
-def mask_places(extra_lengths=()) -> dict[int, tuple[int, list[int]]]:
-    """mask number -> (span, compared places); short items add theirs."""
-    out = {i: (len(m), [j for j, c in enumerate(m) if c == "1"]) for i, m in enumerate(MASKS)}
-    return out | {-n: (n, list(range(n))) for n in extra_lengths}
+def needed(n: int) -> int:
+    """Matched words that make an overlap with an item of ``n`` words."""
+    return min(MIN_WORDS, max(1, int(np.ceil(SHARE * n))))
+
+
+@lru_cache(maxsize=None)
+def masks_of(weight: int) -> tuple[str, ...]:
+    """All masks of ``weight`` places whose prefixes score above 0: 1 compares
+    a word, 0 ignores it."""
+    out = ["1"]
+    for done in range(1, weight):
+        out = [m + "0" * k + "1" for m in out
+               for k in range(len(m)) if done > PENALTY * (m.count("0") + k)]
+    return tuple(out)
+
+
+SPAN = max(len(m) for m in masks_of(WEIGHT))
+
+
+def mask_places(weights=(WEIGHT,)) -> dict[int, tuple[int, list[int]]]:
+    """mask number -> (span, compared places) of all masks of some weights."""
+    return {int(m, 2): (len(m), [j for j, c in enumerate(m) if c == "1"]) for w in weights for m in masks_of(w)}
 
 
 def seed_hashes(words: np.ndarray, mask: int, places: list[int], span: int) -> np.ndarray:
@@ -66,6 +87,10 @@ def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & low).astype(np.int64), ((h >> np.uint64(32)) & low).astype(np.int64)
 
 
+def _bit(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def item_words(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """item_id, words (hashes) of items that have words."""
     def run(batches):
@@ -85,7 +110,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
             out = []
             for item, words in zip(b["item_id"], b["words"]):
                 w = np.asarray(words, np.int64).view(np.uint64)
-                masks = mask_places([len(w)] if len(w) < SPAN else [])
+                masks = mask_places([min(WEIGHT, needed(len(w)))])
                 for m, (span, places) in masks.items():
                     out += [(m, x, item, j) for j, x in enumerate(seed_hashes(w, m, places, span).view(np.int64).tolist())]
             yield pd.DataFrame(out, columns=["mask", "hash", "item_id", "at"])
@@ -94,7 +119,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
 
 
 def bitmap_of(seeds: DataFrame) -> np.ndarray:
-    """Bits of all seed hashes, or-ed from one bitmap per task (fixed size)."""
+    """Packed bits of all seed hashes, or-ed from one bitmap per task (fixed size)."""
     def run(batches):
         bits = np.zeros(1 << FILTER_BITS, bool)
         for b in batches:
@@ -105,14 +130,14 @@ def bitmap_of(seeds: DataFrame) -> np.ndarray:
     all_bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
     for r in seeds.select("hash").coalesce(8).mapInPandas(run, "bits binary").toLocalIterator():
         all_bits |= np.frombuffer(r.bits, np.uint8)
-    return np.unpackbits(all_bits).astype(bool)
+    return all_bits
 
 
 def doc_regions(docs: DataFrame, bitmap, masks: dict, id_col: str, text_col: str) -> DataFrame:
     """Stretches of a document around seeds that pass the bitmap."""
     def run(batches):
         import uuid
-        bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8)).astype(bool)
+        bits = np.frombuffer(bitmap.value, np.uint8)
         tag, serial = uuid.uuid4().hex, 0
         for b in batches:
             ids, texts = list(b["_id"]), list(b["_text"])
@@ -123,8 +148,8 @@ def doc_regions(docs: DataFrame, bitmap, masks: dict, id_col: str, text_col: str
                 for m, (span, places) in masks.items():
                     h = seed_hashes(words, m, places, span)
                     first, second = _probes(h)
-                    p = np.flatnonzero(bits[first])
-                    p = p[bits[second[p]]]
+                    p = np.flatnonzero(_bit(bits, first))
+                    p = p[_bit(bits, second[p])]
                     if not len(p):
                         continue
                     doc = np.searchsorted(bounds, p, side="right") - 1
@@ -172,7 +197,7 @@ def overlap(words: np.ndarray, item: np.ndarray, shift: int) -> int:
     if hi <= lo:
         return 0
     n, _, _ = best_segment(words[shift + lo:shift + hi] == item[lo:hi])
-    return n if n >= min(MIN_WORDS, max(1, int(np.ceil(SHARE * len(item))))) else 0
+    return n if n >= needed(len(item)) else 0
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -180,10 +205,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """doc_id, item_id, matched (most words matched) of every overlap."""
     items = stored(item_words(benchmark, item_col, item_text), "items")
     seeds = item_seeds(items)
-    short = [r.n for r in items.select(F.size("words").alias("n")).where(F.col("n") < SPAN).distinct().collect()]
+    lengths = items.select(F.least(F.size("words"), F.lit(2 * MIN_WORDS)).alias("n")).distinct().collect()
+    weights = sorted({min(WEIGHT, needed(r.n)) for r in lengths})
     spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(np.packbits(bitmap_of(seeds)).tobytes())
-    regions = stored(doc_regions(docs, bitmap, mask_places(short), id_col, text_col), "regions")
+    bitmap = spark.sparkContext.broadcast(bitmap_of(seeds).tobytes())
+    regions = stored(doc_regions(docs, bitmap, mask_places(weights), id_col, text_col), "regions")
     seen = (regions.select("region", F.explode(F.arrays_zip("masks", "hashes", "places")).alias("s"))
             .select("region", F.col("s.masks").alias("mask"), F.col("s.hashes").alias("hash"),
                     F.col("s.places").alias("place")))

@@ -70,6 +70,29 @@ def test_decontaminate_matches_brute_force(spark):
     assert set(range(10)) | {20} <= set(want)
 
 
+def test_every_accepted_pattern_is_hit():
+    for n in range(1, 16):
+        masks = decontaminate.mask_places([min(decontaminate.WEIGHT, decontaminate.needed(n))]).values()
+        item = np.arange(n)
+        for bits in range(1 << n):
+            same = bits >> item & 1 == 1
+            if decontaminate.overlap(np.where(same, item, -1), item, 0):
+                assert any(same[i + np.array(p)].all() for span, p in masks for i in range(n - span + 1)), same
+
+
+def test_decontaminate_replaced_words(spark):
+    """Every fourth word of a long item, one of a short one."""
+    rng = random.Random(8)
+    items = {0: words(rng, 40, 10 ** 6), 1: words(rng, 5, 10 ** 6)}
+    texts = [words(rng, 30), *[" ".join([words(rng, 20), *("new" if i % 4 == 3 - k else w for i, w in enumerate(items[0].split())),
+                                         words(rng, 20)]) for k in range(4)]]
+    texts.append(" ".join([words(rng, 9), *("new" if i == 2 else w for i, w in enumerate(items[1].split())), words(rng, 9)]))
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {r.doc_id: r["items"] for r in decontaminate.decontaminate(table(spark, texts), bench).collect()}
+    assert got == {i: sorted(brute_overlaps(texts, items)[i]) for i in range(len(texts))}
+    assert all(got[i] == [0] for i in range(1, 5))
+
+
 def test_decontaminate_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontaminate.decontaminate(table(spark, ["some text of words"] * 2, [None, 1]), none).collect()
