@@ -9,8 +9,9 @@ if all their occurrences lie in one of its slots. Skeleton and nested classes
 are the template; text blocks that wholly belong to it are boilerplate, what remains
 in its slots is the pages' own content. Slots in elements that are marked as
 menus, headers, footers, sidebars, notices, adverts, forms or reader comments
-are no article text; where the template has an article or main element, the
-article is what lies in it.
+are no article text; article elements are judged by their marks, too. Where the
+largest of the rest, over the pages of the chunk, is an unmarked article or main
+element, the article is what lies in such elements, and else what lies outside.
 
 Pages are sorted by host and streamed, so a task holds one chunk at a time.
 Hosts with more than a 1/``SHARES`` part of all pages are dealt over several
@@ -63,23 +64,24 @@ def marked(tag: str, attrs: str) -> bool:
     """Whether an element is none of the article by its tag or its marks."""
     if tag in NOT_ARTICLE:
         return True
-    if tag in ("html", "body", *ARTICLE) or not attrs:
+    if tag in ("html", "body", "main") or not attrs:
         return False
     return any(n.lower() in MARKS for m in _ATTR.finditer(attrs) for n in _NAME.findall(m[2] or m[3] or m[4] or ""))
 
 
 def tokens(page: str) -> list[tuple]:
-    """(path, name, kind, value, bad, inside) of all tokens of a page.
+    """(path, name, kind, value, bad, inside, unit) of all tokens of a page.
 
     kind: 0 tag, 1 text; value: whether a tag parts blocks, or the text;
-    bad: in an element that is none of the article; inside: in an article."""
-    out, stack, at, n = [], [], 0, len(page)     # stack: (tag, path, bad, inside)
-    top = ("", "", False, False)
+    bad: in an element that is none of the article; inside: in an unmarked
+    article; unit: (path, number) of that article or of the nearest container."""
+    out, stack, at, n = [], [], 0, len(page)     # stack: (tag, path, bad, inside, unit)
+    top = none = ("", "", False, False, ("", 0))
 
     def text(a, b):
         if b > a:
             t = _html.unescape(page[a:b])
-            out.append((top[1], t, 1, t, top[2], top[3]))
+            out.append((top[1], t, 1, t, *top[2:]))
 
     while at < n:
         m = _TAG.search(page, at)
@@ -95,8 +97,8 @@ def tokens(page: str) -> list[tuple]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
             if depth >= 0:
                 del stack[depth:]
-                top = stack[-1] if stack else ("", "", False, False)
-            out.append((top[1], f"</{tag}>", 0, tag not in INLINE, top[2], top[3]))
+                top = stack[-1] if stack else none
+            out.append((top[1], f"</{tag}>", 0, tag not in INLINE, *top[2:]))
             continue
         ends = CLOSED_BY_SAME.get(tag, set()) | ({"p"} if tag in PAST_P else set())
         if ends:
@@ -106,9 +108,9 @@ def tokens(page: str) -> list[tuple]:
                     break
                 if stack[i][0] in SCOPE:
                     break
-            top = stack[-1] if stack else ("", "", False, False)
+            top = stack[-1] if stack else none
         names = " ".join(sorted(f'{a[1].lower()}={a[2] or a[3] or a[4] or ""}' for a in _ATTR.finditer(attrs))) if attrs else ""
-        out.append((top[1], f"<{tag} {names}>", 0, tag not in INLINE, top[2], top[3]))
+        out.append((top[1], f"<{tag} {names}>", 0, tag not in INLINE, *top[2:]))
         if tag in VOID or attrs.rstrip().endswith("/") and tag not in RAW:
             continue
         if tag in RAW:
@@ -116,7 +118,9 @@ def tokens(page: str) -> list[tuple]:
             at = end.end() if end else n
             continue
         path = f"{top[1]}/{tag}" if len(stack) < 64 else top[1]
-        top = (tag, path, top[2] or marked(tag, attrs), top[3] or tag in ARTICLE)
+        bad = top[2] or marked(tag, attrs)
+        inside = top[3] or tag in ARTICLE and not bad
+        top = (tag, path, bad, inside, (path, at) if tag in SCOPE and not top[3] else top[4])
         stack.append(top)
     return out
 
@@ -161,16 +165,33 @@ def template_of(pages: list[list[tuple]]) -> tuple[list[tuple], set]:
     return skeleton, nested
 
 
+def largest_units(parsed: list[list[tuple]], fixed: set) -> list[bool]:
+    """Whether the article of every page lies in its article elements: they are,
+    summed over all pages by path, the largest units of text off the template."""
+    found, total = [], Counter()
+    for page in parsed:
+        sizes = Counter()
+        for path, name, kind, value, bad, within, unit in page:
+            if kind and not bad and (path, name) not in fixed:
+                sizes[within, unit] += len(value.strip())
+        most: dict[tuple, int] = {}
+        for (within, (path, _)), size in sizes.items():
+            if size:
+                most[within, path] = max(size, most.get((within, path), 0))
+        found.append(most)
+        total.update(most)
+    return [max(most, key=lambda k: (total[k], k), default=(False, ""))[0] for most in found]
+
+
 def extract(pages: list[str]) -> list[str]:
     """The main texts of pages of one host that are read together."""
     parsed = [tokens(p or "") for p in pages]
     skeleton, nested = template_of(parsed)
     fixed = set(skeleton) | nested if len(pages) >= MIN_PAGES else set()
     out = []
-    for page in parsed:
-        inside = any(t[5] for t in page)
+    for page, inside in zip(parsed, largest_units(parsed, fixed)):
         blocks, now, own = [], [], False         # own: some of the block is no template
-        for path, name, kind, value, bad, within in page:
+        for path, name, kind, value, bad, within, _ in page:
             if kind == 0:
                 if name == "<br >":
                     now.append(" ")

@@ -520,6 +520,20 @@ def test_html_text_odd_pages(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("box, kind", [('<div class="comments">', "comment"), ("<div>", "comment"), ("<div>", "teaser")])
+def test_articles_that_are_none(box, kind):
+    """The story in a div, comments or teasers as article elements."""
+    rng = random.Random(3)
+    story = [f"{words(rng, 80, 9999)}. {words(rng, 60, 9999)}." for _ in range(6)]
+    more = [[words(rng, 8, 9999) for _ in range(3)] for _ in story]
+    pages = [f'<html><body><div class="story"><p>{s}</p></div>{box}'
+             + "".join(f'<article class="{kind}"><p>{x}</p></article>' for x in m) + "</div></body></html>"
+             for s, m in zip(story, more)]
+    for got in (html_text.extract(pages), [html_text.extract([p])[0] for p in pages]):
+        assert all(t.startswith(s) for t, s in zip(got, story))
+        assert kind != "comment" or got == story
+
+
 def test_equivalence_classes_nest():
     pages = [html_text.tokens("<div><ul>" + "<li>x</li>" * n + "</ul><p>t</p></div>") for n in (1, 3, 2, 5)]
     skeleton, nested = html_text.template_of(pages)
