@@ -6,7 +6,8 @@ in. Tokens whose vectors of occurrences over the chunk's pages are equal form
 an equivalence class. The class of tokens found once on every page, as far as
 their order agrees on all pages, is the skeleton; repeated classes nest in it
 if all their occurrences lie in one of its slots. Skeleton and nested classes
-are the template; text blocks that wholly belong to it are boilerplate, what remains
+are the template; text blocks that wholly belong to it are boilerplate, inside
+article elements as well (pages that are equal count once), what remains
 in its slots is the pages' own content. Slots in elements that are marked as
 menus, headers, footers, sidebars, notices, adverts, forms or reader comments
 are no article text; article elements are judged by their marks, too. Where the
@@ -186,8 +187,9 @@ def largest_units(parsed: list[list[tuple]], fixed: set) -> list[bool]:
 def extract(pages: list[str]) -> list[str]:
     """The main texts of pages of one host that are read together."""
     parsed = [tokens(p or "") for p in pages]
-    skeleton, nested = template_of(parsed)
-    fixed = set(skeleton) | nested if len(pages) >= MIN_PAGES else set()
+    distinct = list(dict(zip(pages, parsed)).values())   # copies prove no boilerplate
+    skeleton, nested = template_of(distinct)
+    fixed = set(skeleton) | nested if len(distinct) >= MIN_PAGES else set()
     out = []
     for page, inside in zip(parsed, largest_units(parsed, fixed)):
         blocks, now, own = [], [], False         # own: some of the block is no template
@@ -201,7 +203,7 @@ def extract(pages: list[str]) -> list[str]:
                     now, own = [], False
             elif not bad and within == inside:
                 now.append(value)
-                own = own or bool(value.strip()) and (within or (path, name) not in fixed)
+                own = own or bool(value.strip()) and (path, name) not in fixed
         blocks += now if own else []
         out.append(" ".join("".join(blocks).split()))
     return out
@@ -224,19 +226,26 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     def run(batches):
         held, key = [], None
 
-        def flush():
-            texts = extract([r[2] for r in held])
-            return pd.DataFrame({"page_id": [r[0] for r in held], "url": [r[1] for r in held], "text": texts,
+        def flush(some):
+            texts = extract([r[2] for r in some])
+            return pd.DataFrame({"page_id": [r[0] for r in some], "url": [r[1] for r in some], "text": texts,
                                  "n_chars": [len(t) for t in texts]})
 
+        def last():
+            """What a group ends with: one chunk, or two of like size."""
+            cut = len(held) if len(held) <= CHUNK else (len(held) + 1) // 2
+            yield from (flush(some) for some in (held[:cut], held[cut:]) if some)
+
         for b in batches:
             for row in zip(b["page_id"], b["url"], b["html"], b["host"], b["part"]):
-                if held and (row[3:] != key or len(held) >= CHUNK):
-                    yield flush()
+                if row[3:] != key:
+                    yield from last()
                     held = []
+                elif len(held) >= 2 * CHUNK:
+                    yield flush(held[:CHUNK])
+                    held = held[CHUNK:]
                 key = row[3:]
                 held.append(row)
-        if held:
-            yield flush()
+        yield from last()
 
     return sorted_pages.mapInPandas(run, RESULT).withColumn("page_id", F.col("page_id").cast("bigint"))

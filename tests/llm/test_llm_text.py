@@ -534,6 +534,19 @@ def test_articles_that_are_none(box, kind):
         assert kind != "comment" or got == story
 
 
+def test_boilerplate_inside_articles(spark):
+    """Lines that all pages of a host share are no article text, also in the
+    pages that a chunk of 64 would leave over; copies of one page keep theirs."""
+    rng = random.Random(4)
+    story = [words(rng, 40, 9999) for _ in range(html_text.CHUNK + 2)]
+    rows = [(i, "http://a.example/p", f"<html><body><article><p>{s}</p><p>Read more on our site</p></article></body></html>")
+            for i, s in enumerate(story)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(df.withColumn("url", F.concat("url", "page_id"))).collect()}
+    assert got == dict(enumerate(story))
+    assert html_text.extract([rows[0][2]] * 6) == [f"{story[0]} Read more on our site"] * 6
+
+
 def test_equivalence_classes_nest():
     pages = [html_text.tokens("<div><ul>" + "<li>x</li>" * n + "</ul><p>t</p></div>") for n in (1, 3, 2, 5)]
     skeleton, nested = html_text.template_of(pages)
