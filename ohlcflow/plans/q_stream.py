@@ -160,20 +160,32 @@ def q_stream_retrain(spark, sf_dir):
 @register("stream_refresh_scores")
 def q_stream_refresh(spark, sf_dir):
     """ST5 with model refresh: per micro-batch the newest stored parameters
-    (trained by M5) score the batch's bars from their
-    previous 24 stored bars."""
-    from ..operators import bars as B
+    (trained by M5), with the scaler of the bars they were trained on, score the
+    batch's bars from their previous 24 stored bars. Version 2 (warm start) is
+    stored between the first and the second micro-batch."""
     from ..operators import features as X
     bars = stored_hourly(spark, sf_dir)
     models, scaler_path = scratch_path(spark, "models"), scratch_path(spark, "scaler")
     nf = len(TR.BAR_FEATURES)
-    L.save_params(L.thetas_to_params(TR.train_symbols(bars, b=24, epochs=1, lr=0.5), nf), models)
-    lt = X.lead_target(B.rolling_retention(bars, TR.ROLLING_CAPACITY), "close", "target")
-    X.fit_minmax(lt, [*TR.BAR_FEATURES, "target"]).write.parquet(scaler_path)
+    scaler = materialize(X.fit_minmax(X.lead_target(bars, "close", "target"), [*TR.BAR_FEATURES, "target"]))
+
+    def save(version, init=None):
+        scaler.write.mode("overwrite").parquet(f"{scaler_path}/version={version}")
+        t = TR.train_symbols(bars, b=24, epochs=1, lr=0.5, init=init, version=version)
+        L.save_params(L.thetas_to_params(t, nf), models)
+
+    save(1)
     bus = _published(spark, sf_dir, days=1, bars=bars)
     stream = S.decode_stream(S.message_stream(spark, bus, max_files_per_trigger=10))
     store, out = scratch_path(spark, "rolling"), scratch_path(spark, "refresh-scores")
     writer = ST.refreshing_score_writer(spark, store, models, scaler_path, out, 24, TR.BAR_FEATURES)
-    q, _ = S.start(stream, "refresh", spark, foreach_batch=writer)
+    old = materialize(L.theta_column(L.load_params(spark, models)).select("symbol", "theta"))
+
+    def score(batch, batch_id):
+        if batch_id == 1:
+            save(2, old)
+        writer(batch, batch_id)
+
+    q, _ = S.start(stream, "refresh", spark, foreach_batch=score)
     S.run_to_completion(q)
     return rounded(_ntz(spark.read.parquet(out).select("symbol", "ts", "actual", "predicted", "version")))

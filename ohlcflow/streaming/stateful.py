@@ -179,7 +179,8 @@ def refreshing_score_writer(spark: SparkSession, store_path: str, model_path: st
     before it (W2 over the bars from ``b`` before the symbol's first bar of the
     batch on, so a batch of any size is scored whole), score with the
     per-symbol parameters (M1, J2) and write (symbol, ts, actual, predicted,
-    version) under ``batch_id``. The state between batches is the store
+    version) under ``batch_id``. A scaler table with a version column is taken
+    at the version of the parameters. The state between batches is the store
     itself, so a restarted query continues from it.
     """
     from ..functions.scalar import minmax_inverse, minmax_scale
@@ -200,6 +201,8 @@ def refreshing_score_writer(spark: SparkSession, store_path: str, model_path: st
         hist = known.where(F.col("ts") >= F.col("_first")).union(before).drop("_first")
         theta = theta_column(load_params(spark, model_path))
         scaler = spark.read.parquet(scaler_path)
+        if "version" in scaler.columns:
+            scaler = scaler.join(theta.select("symbol", "version"), ["symbol", "version"]).drop("version")
         s = hist.join(scaler, "symbol")
         for c in feats:
             s = s.withColumn(f"{c}_s", minmax_scale(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")))

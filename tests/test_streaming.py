@@ -199,3 +199,15 @@ def test_refreshing_scorer_takes_any_batch_size(spark):
     out = scratch_path(spark, "out")
     ST.refreshing_score_writer(spark, scratch_path(spark, "st"), models, scaler_path, out, 3, ["close"])(bars, 0)
     assert spark.read.parquet(out).count() == n - 3
+
+
+def test_refresh_query_sees_two_versions_and_the_training_scaler(spark, monkeypatch):
+    from ohlcflow.plans import q_stream
+    paths, writer = [], ST.refreshing_score_writer
+    monkeypatch.setattr(ST, "refreshing_score_writer", lambda *a: paths.append(a[3]) or writer(*a))
+    got = q_stream.q_stream_refresh(spark, "/root/testdata/sf0.001")
+    assert {r.version for r in got.select("version").distinct().collect()} == {1, 2}
+    assert got.count() == got.select("symbol", "ts").distinct().count()
+    want = {r.symbol: (r.lo, r.hi) for r in q_stream.stored_hourly(spark, "/root/testdata/sf0.001").groupBy("symbol").agg(
+        F.min("close").alias("lo"), F.max("close").alias("hi")).collect()}
+    assert {r.symbol: (r.close_min, r.close_max) for r in spark.read.parquet(paths[0]).collect()} == want
