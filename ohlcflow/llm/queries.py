@@ -9,8 +9,8 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, html_text, language_id, near_dedup, packing, pii, suffix_dedup, token_counts,
-               topk)
+from . import (chat, decontaminate, fim, html_text, language_id, near_dedup, packing, pii, simhash, suffix_dedup,
+               token_counts, topk, whitening)
 from .common import read_table, scratch_path
 
 
@@ -111,9 +111,22 @@ def op10_html_text(spark, sf_dir):
     return html_text.main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark, sf_dir):
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    store = fim.frame_store(read_table(spark, sf_dir, "documents"))
+    return fim.digests(fim.fill_in_middle(store))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_language_id, op3_chat_format, op4_topk_search,
                                    op5_token_counts, op6_pii, op7_near_dedup, op8_pack, op9_suffix_dedup,
-                                   op10_html_text)}
+                                   op10_html_text, op11_whitening, op12_simhash, op13_fill_in_middle)}
 
 ORACLES = {
     "op4_topk_search": """WITH f AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -132,4 +145,17 @@ t AS (SELECT source, lang, CASE WHEN lang <> 'en' THEN 'wordpunct-2' ELSE 'space
   CASE WHEN lang <> 'en' THEN n2 ELSE n1 END AS n FROM c WHERE n1 > 0)
 SELECT source, lang, tokenizer_version, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
 FROM t GROUP BY ALL""",
+    "op13_fill_in_middle": r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
+  regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+c AS (SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS a,
+  CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS b, CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS h3,
+  CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4 FROM t),
+f AS (SELECT *, CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+  WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+  coalesce(array_to_string(u[1:least(a, b)], ''), '') AS p, coalesce(array_to_string(u[least(a, b) + 1:greatest(a, b)], ''), '') AS m,
+  coalesce(array_to_string(u[greatest(a, b) + 1:], ''), '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM f""",
 }
