@@ -10,26 +10,32 @@ each of the K coordinates the earliest: two texts agree in a coordinate with
 the probability of their weighted Jaccard similarity. Cost follows the number
 of elements plus darts, not their product.
 
+Equal texts are one node from the start, so copies, however many, take no part
+in the search; they get their class at the end, by their text's hash.
 Signatures are cut into bands; texts that share a band's hash are candidates.
 A bucket gives no pairs among its members: each is compared with one
 representative, found by an aggregate, and a second round compares members of
 buckets that still span several classes with another, hashed pick. Members of
 buckets that span several classes after that are joined exactly (``rest_pairs``):
 texts of different classes that reach the threshold share one of their rarest
-cells, at places that leave enough cells behind them. Every link
-is verified on the full shingle sets (similarity >= ``THRESHOLD``). Equal texts
-are joined by their hash before all this. Links are contracted to classes by
-alternating star operations over tables in the shared folder.
+cells, at places that leave enough cells behind them. Every link is verified
+on the full shingle sets (similarity >= ``THRESHOLD``); the texts of all
+candidates are fetched once. Classes grow: a round contracts only its new
+links, between the classes known before it.
 
 Defined cases: null and empty texts are classes of their own; a text of one to
-four words is one shingle; a text without words is compared as a whole; rows
-of one doc_id are one document; rows without a doc_id belong to no class and
-are not listed; an empty table gives no rows; other columns are ignored.
+four words is one shingle; a text without words is compared as a whole. In
+``near_duplicates`` rows of one doc_id are one document (whose texts join their
+classes) and rows without a doc_id are not listed. ``one_of_each`` works by
+row: different texts under one doc_id stay unless they are near each other, and
+rows without a doc_id take part, after all others. An empty table gives no
+rows; other columns are ignored, or kept as they are, whatever their types.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -37,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import STEP_CODE, mix64, stored, text_chunks, word_hashes
+from .components import components, least_members
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -117,7 +124,7 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
 
 
 def signature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, key (hash of the text), bands of texts that have content."""
+    """doc_id, key (hash of the text), bands of rows whose text has content."""
     def run(batches):
         for b in batches:
             ids, texts = list(b["_id"]), list(b["_text"])
@@ -127,8 +134,9 @@ def signature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                     "key": [hashlib.md5(t.encode()).digest() for t in texts[a:z]]},
                                    columns=["doc_id", "key", "bands"])
 
+    # Ids travel as strings, so that a null among them makes no floats.
     rows = docs.select(F.col(id_col).cast("bigint").cast("string").alias("_id"), F.col(text_col).alias("_text"))
-    return (rows.where(F.col("_id").isNotNull() & (F.length("_text") > 0)).mapInPandas(run, SIGNATURE)
+    return (rows.where(F.length("_text") > 0).mapInPandas(run, SIGNATURE)
             .withColumn("doc_id", F.col("doc_id").cast("bigint")))
 
 
@@ -138,13 +146,10 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(1, len(a) + len(b) - both)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """The (a, b) pairs whose texts reach the threshold."""
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).where(
-        F.col("doc_id").isNotNull() & (F.length("text") > 0))
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The (a, b) pairs of ``texts`` (doc_id, text) that reach the threshold."""
     left = pairs.join(texts, pairs.a == texts.doc_id).select("a", "b", F.col("text").alias("text_a"))
-    ends = pairs.select("b").distinct()
-    right = ends.join(texts, ends.b == texts.doc_id).select("b", F.col("text").alias("text_b"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
     @F.pandas_udf("double")
     def sim(text_a: pd.Series, text_b: pd.Series) -> pd.Series:
@@ -155,36 +160,31 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, thre
             out.append(similarity(cells_of([x])[0], cells_b))
         return pd.Series(out, dtype="float64")
 
-    return left.join(right, "b").where(sim("text_a", "text_b") >= threshold).select("a", "b").distinct()
-
-
-def classes(edges: DataFrame) -> DataFrame:
-    """(doc_id, class_id) of every node of (a, b) edges that is not the least
-    of its component: alternating large-star and small-star contraction."""
-    def stars(e: DataFrame, both: bool) -> DataFrame:
-        if both:      # every greater neighbour of a node goes to its least neighbour
-            e = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-        low = e.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        j = e.join(low, "u")
-        if both:
-            return j.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        out = j.select(F.col("v").alias("u"), F.col("m").alias("v")).union(j.select("u", F.col("m").alias("v")))
-        return out.where(F.col("u") != F.col("v")).distinct()
-
-    def mark(e: DataFrame):
-        r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return r[0], r[1]
-
-    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                 .where("u != v").distinct(), "edges")
-    seen = mark(now)
-    while seen[0]:
-        now = stored(stars(stars(now, True), False), "edges")
-        state = mark(now)
-        if state == seen:
-            break
-        seen = state
-    return now.select(F.col("u").alias("doc_id"), F.col("v").alias("class_id"))
+    return left.join(right, "b").where(sim("text_a", "text_b") >= threshold).select("a", "b")
+
+
+def grown(label: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """The classes (node, root; roots not listed) ``label`` after new links
+    (a, b): only the links are contracted, between the roots known so far."""
+    if label is None:
+        return components(links)
+    for end in ("a", "b"):
+        at = label.select(F.col("node").alias(end), F.col("root").alias("_to"))
+        links = links.join(at, end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
+    more = components(links)
+    if more is None:
+        return label
+    to = more.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    moved = label.join(to, "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+    return stored(moved.union(more), "classes")
+
+
+def classed(nodes: DataFrame, label: DataFrame | None) -> DataFrame:
+    """``nodes`` (column doc_id) with the root of their class."""
+    if label is None:
+        return nodes.withColumn("class_id", F.col("doc_id"))
+    at = label.select(F.col("node").alias("doc_id"), F.col("root").alias("class_id"))
+    return nodes.join(at, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
 
 
 def cell_counts(members: DataFrame) -> np.ndarray:
@@ -252,46 +252,99 @@ def rest_pairs(members: DataFrame, threshold: float) -> DataFrame:
     return full.join(short, on).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, class_id (least doc_id of its class), kept (doc_id = class_id)
-    of every document."""
+def fetched(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id: the node, text) of nodes (node, key, least): one row each, read
+    from the rows of ``docs`` that have this text and the least doc_id."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("text"),
+                       F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("_key")).where(F.length("text") > 0)
+    on = (rows["_key"] == nodes["key"]) & rows["_id"].eqNullSafe(nodes["least"])
+    return (rows.join(nodes, on).dropDuplicates(["_key", "_id"]).select(F.col("node").alias("doc_id"), "text"))
+
+
+def text_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float,
+                 rounds: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Rows with content (doc_id, key), distinct texts (node, key, n rows,
+    least doc_id) and the classes of their nodes (node, root)."""
     sig = stored(signature_table(docs, id_col, text_col), "signatures")
-    texts = stored(sig.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min_by("bands", "doc_id").alias("bands")),
-                   "texts")
-    copies = (sig.select("doc_id", "key").join(texts.select("key", F.col("doc_id").alias("first")), "key")
-              .where("doc_id != first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct())
-    rows = texts.select("doc_id", F.posexplode("bands").alias("band", "hash"))
-    edges, tried, label = copies, None, None
+    texts = stored(sig.groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"),
+                                          F.first("bands").alias("bands"))
+                   .withColumn("node", F.monotonically_increasing_id()), "texts")
+    rows = texts.select(F.col("node").alias("doc_id"), F.posexplode("bands").alias("band", "hash"))
+    least = rows.groupBy("band", "hash").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("z")).where("b != z")
+    rows = stored(rows.join(least.drop("z"), ["band", "hash"]), "buckets")      # members of buckets of two or more
+    nodes = rows.select(F.col("doc_id").alias("node")).distinct().join(texts.select("node", "key", "least"), "node")
+    content = stored(fetched(docs, nodes, id_col, text_col), "candidates")
 
     def mixed(turn):
         """Members of buckets that span several classes, with a hashed pick."""
-        named = rows.join(label, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
-        pick = F.max(F.struct(F.xxhash64("doc_id", "band", F.lit(turn)).alias("h"), F.col("doc_id").alias("b"),
-                              F.col("class_id").alias("of"))).alias("p")
-        least = named.groupBy("band", "hash").agg(pick, F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
-        return named.join(least.where("lo != hi"), ["band", "hash"])
+        named = classed(rows.select("doc_id", "band", "hash"), label)
+        order = F.xxhash64("doc_id", "band", F.lit(turn))
+        spans = named.groupBy("band", "hash").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"),
+                                                  F.max_by("doc_id", order).alias("b"), F.max_by("class_id", order).alias("of"))
+        return named.join(spans.where("lo != hi"), ["band", "hash"])
 
+    tried, label = None, None
     for turn in range(rounds):
-        if label is None:
-            least = rows.groupBy("band", "hash").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("z"))
-            pairs = (rows.join(least.where("b != z"), ["band", "hash"]).where("doc_id != b")
-                     .select(F.col("doc_id").alias("a"), "b").distinct())
+        if not turn:
+            pairs = rows.where("doc_id != b").select(F.col("doc_id").alias("a"), "b").distinct()
         else:
-            pairs = (mixed(turn).where("class_id != p.of")
-                     .select(F.col("doc_id").alias("a"), F.col("p.b").alias("b")).distinct()
+            pairs = (mixed(turn).where("class_id != of").select(F.col("doc_id").alias("a"), "b").distinct()
                      .join(tried, ["a", "b"], "left_anti"))
         pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        edges = edges.union(stored(verified(pairs, docs, id_col, text_col, threshold), "links"))
-        label = classes(edges)
+        if not pairs.isEmpty():
+            label = grown(label, stored(verified(pairs, content, threshold), "links"))
     rest = mixed(rounds).select("doc_id", "class_id").distinct()
-    texts_of = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    members = stored(texts_of.where(F.length("text") > 0).join(rest, "doc_id").select("doc_id", "class_id", "text"), "mixed")
-    pairs = stored(rest_pairs(members, threshold), "pairs")
-    links = stored(verified(pairs, docs, id_col, text_col, threshold), "links")
-    if not links.isEmpty():
-        label = classes(edges.union(links))
-    ids = docs.select(F.col(id_col).cast("bigint").alias("doc_id")).where("doc_id is not null").distinct()
-    return (ids.join(label, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
-            .select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept")))
+    members = stored(content.join(rest, "doc_id").select("doc_id", "class_id", "text"), "mixed")
+    if not members.isEmpty():
+        pairs = stored(rest_pairs(members, threshold), "pairs")
+        label = grown(label, stored(verified(pairs, content, threshold), "links"))
+    return sig.select("doc_id", "key"), texts.drop("bands"), label
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, class_id (least doc_id of its class), kept (doc_id = class_id)
+    of every document."""
+    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    sig, texts, label = text_classes(docs, "doc_id", "text", threshold, rounds)
+    # Texts of several rows, or joined to others; the rest are their own class.
+    member = texts.where("n > 1").select("key", "least", F.lit(None).cast("bigint").alias("class_id"))
+    if label is not None:
+        at = label.union(label.select("root", "root").distinct()).select("node", F.col("root").alias("_root"))
+        member = stored(texts.join(at, "node", "left").where("_root is not null or n > 1").select("key", "least", "_root"), "members")
+        least = member.where("_root is not null").groupBy("_root").agg(F.min("least").alias("class_id"))
+        member = member.join(stored(least, "least"), "_root", "left").select("key", "least", "class_id")
+    named = stored(member.select("key", F.coalesce("class_id", "least").alias("class_id")), "named")
+    rows = (sig.join(named, "key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+            .union(docs.where(F.coalesce(F.length("text"), F.lit(0)) == 0).select("doc_id", F.col("doc_id").alias("class_id"))))
+    rows = stored(rows, "rows")
+    out = stored(rows.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.max("class_id").alias("_most")), "documents")
+    torn = out.where("class_id != _most").select("doc_id", F.col("class_id").alias("b"))
+    if not torn.isEmpty():       # a document whose texts lie in several classes joins them
+        merged = least_members(rows.join(torn, "doc_id").select(F.col("class_id").alias("a"), "b"))
+        to = stored(merged.select(F.col("node").alias("class_id"), F.col("least").alias("_to")), "merged")
+        out = out.join(to, "class_id", "left").withColumn("class_id", F.coalesce("_to", "class_id"))
+    return out.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+    """The rows of ``docs``, one of each class of near texts: the one with the
+    least doc_id, a null last. Rows without text stay."""
+    _, texts, label = text_classes(docs, id_col, text_col, threshold, rounds)
+    keep = texts.select("key", "least")
+    if label is not None:
+        at = label.union(label.select("root", "root").distinct()).select("node", F.col("root").alias("_root"))
+        joined = stored(texts.join(at, "node", "left").select("key", "least", "_root"), "members")
+        order = F.struct(F.col("least").isNull(), "least", "key")
+        first = (joined.where("_root is not null").groupBy("_root").agg(F.min(order).alias("_first"))
+                 .select("_first.key", "_first.least"))
+        keep = joined.where("_root is null").select("key", "least").union(first)
+    key, own = (f"_{uuid.uuid4().hex}" for _ in range(2))
+    keep = stored(keep.select(F.col("key").alias(key), F.col("least").alias(own)), "kept")
+    text, doc_id = docs[text_col], docs[id_col].cast("bigint")
+    rows = docs.select("*", F.unhex(F.md5(text.cast("binary"))).alias(key), doc_id.alias(own))
+    on = (rows[key] == keep[key]) & rows[own].eqNullSafe(keep[own])
+    kept = rows.join(keep, on, "left_semi").where(F.length(text_col) > 0).dropDuplicates([key, own]).drop(key, own)
+    return kept.union(docs.where(F.coalesce(F.length(text_col), F.lit(0)) == 0))

@@ -312,11 +312,27 @@ def test_signatures_estimate_similarity():
     assert (sig != 0).all()
 
 
-def test_classes_of_chains(spark):
-    n = 40
-    edges = spark.createDataFrame([(i + 1, i) for i in range(n)] + [(100 + i, 200) for i in range(5)], "a long, b long")
-    got = {r.doc_id: r.class_id for r in near_dedup.classes(edges).collect()}
-    assert got == {i: 0 for i in range(1, n + 1)} | {i: 100 for i in [101, 102, 103, 104, 200]}
+def test_classes_grow(spark):
+    """Links in three rounds give the classes of all links at once."""
+    rng = random.Random(6)
+    rounds = [[(i + 1, i) for i in range(0, 40, 2)], [], [(i + 1, i) for i in range(1, 30, 2)] + [(100 + i, 200) for i in range(5)],
+              [(rng.randrange(300), rng.randrange(300)) for _ in range(80)]]
+    label = None
+    for links in rounds:
+        label = near_dedup.grown(label, spark.createDataFrame(links, "a long, b long"))
+    root = {r.node: r.root for r in label.collect()}
+    assert len(root) == label.count() and not set(root) & set(root.values())
+    parent = {}
+
+    def find(i):
+        while parent.setdefault(i, i) != i:
+            i = parent[i]
+        return i
+
+    for a, b in [p for links in rounds for p in links]:
+        parent[find(a)] = find(b)
+    both = {i: root.get(i, i) for i in parent}
+    assert all((both[i] == both[j]) == (find(i) == find(j)) for i in parent for j in parent)
 
 
 def test_near_duplicates_in_a_family_below_the_threshold(spark):
@@ -354,6 +370,25 @@ def test_near_duplicates_odd_ids(spark):
     got = sorted((r.doc_id, r.class_id, r.kept) for r in near_dedup.near_duplicates(df).collect())
     assert got == [(5, 5, True), (6, 6, True)]
     assert near_dedup.near_duplicates(table(spark, [])).count() == 0
+    # A document with two texts joins their classes; an empty text joins nothing.
+    df = table(spark, [t, t + " eight", "a b c d e f", "a b c d e f", "p q", None, ""], [3, 7, 3, 1, 7, 7, 9])
+    got = sorted((r.doc_id, r.class_id, r.kept) for r in near_dedup.near_duplicates(df).collect())
+    assert got == [(1, 1, True), (3, 1, False), (7, 7, True), (9, 9, True)]
+
+
+def test_one_of_each_works_by_row(spark):
+    """Shared and null ids, repeated rows, and columns of any type."""
+    t = " ".join(f"w{i}" for i in range(60))
+    near = t.replace("w30", "other")
+    rows = [(1, t), (1, "a quite different text of seven words"), (1, t), (2, near), (None, t), (None, "only here"),
+            (None, "only here"), (5, None), (5, ""), (5, None), (None, None), (0, "!!!"), (4, "!!!")]
+    df = spark.createDataFrame([(i, x, {"k": 1}, "key", 3) for i, x in rows],
+                               "doc_id long, text string, extra map<string,int>, key string, least int").repartition(5)
+    got = near_dedup.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(1, t), (1, rows[1][1]), (None, "only here"), (5, None), (5, ""), (5, None), (None, None), (0, "!!!")], key=str)
+    assert near_dedup.one_of_each(df.limit(0)).count() == 0
 
 
 # -------------------------------------------------------------------- 8 packing
