@@ -29,15 +29,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least doc_id of every class, once. Rows
-    without a doc_id belong to no class and stay."""
+    """Keep one row of every class of near texts, that with the least doc_id.
+    Classes are of texts, not of ids: different texts under one doc_id stay."""
     ship_package(spark)
-    keep = near_dedup.near_duplicates(docs).where("kept").select("doc_id")
-    kept = docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
-    others = [c for c in docs.columns if c != "doc_id"]
-    one = kept.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_row"))
-    return (one.select("doc_id", "_row.*").select(*docs.columns)
-            .union(docs.where(F.col("doc_id").isNull())))
+    return near_dedup.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
