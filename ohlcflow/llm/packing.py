@@ -23,14 +23,19 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from .common import stored, text_chunks
+
 CAPACITY = 2048
 END_ID = 0
-BUCKETS = 64            # rank buckets per length
-CACHE = 300_000         # words a worker remembers the ids of
+BUCKETS = 64            # least number of rank buckets per length
+BUCKET_ROWS = 1 << 20   # pieces of one length to a bucket beyond that
+CHUNK = 8 << 20         # characters of texts whose words are encoded together
 
 PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long, ids binary"
 # A space that is neither after nor before white space starts a token of its
@@ -39,8 +44,9 @@ _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 
 
 class Encoder:
-    """The ids of a byte-level BPE tokenizer file (JSON vocabulary), with the
-    ids of frequent words remembered."""
+    """The ids of a byte-level BPE tokenizer file (JSON vocabulary). The
+    distinct words of many texts are encoded once, all in one string, and the
+    ids of the texts gathered from theirs."""
 
     def __init__(self, path: str):
         import json
@@ -53,32 +59,59 @@ class Encoder:
         ranks = {bytes(to_byte[c] for c in token): i for token, i in spec["model"]["vocab"].items()
                  if token not in self.special}
         self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
-        self.cache: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.bpe.encode(text, allowed_special="all"), "<u4").tobytes()
+        self.size = np.zeros(max([*ranks.values(), *self.special.values()]) + 1, np.int64)     # bytes of every id
+        for token, i in ranks.items():
+            self.size[i] = len(token)
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.bpe.encode_to_numpy(text, allowed_special="all"), "<u4")
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first, count): of every word with a space before it. Words
+        that start or end with white space are encoded alone."""
+        odd = [i for i, w in enumerate(words) if not w or w[0].isspace() or w[-1].isspace()]
+        alone = [self.ids(" " + words[i]) for i in odd]
+        mask = np.ones(len(words), bool)
+        mask[odd] = False
+        plain = [w for w, m in zip(words, mask) if m]
+        ids = self.ids(" " + " ".join(plain)) if plain else np.zeros(0, "<u4")
+        ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in plain), np.int64, len(plain)))
+        last = np.searchsorted(np.cumsum(self.size[ids]), ends, side="left") + 1
+        first, count = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        count[mask] = np.diff(last, prepend=0)
+        first[mask] = last - count[mask]
+        count[odd] = [len(x) for x in alone]
+        first[odd] = len(ids) + np.cumsum(count[odd]) - count[odd]
+        return np.concatenate([ids, *alone]), first, count
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text, as little-endian unsigned 32-bit integers."""
+        out: list = [None] * len(texts)
+        whole = [i for i, t in enumerate(texts) if _UNSAFE.search(t) or any(s in t for s in self.special)]
+        for i in whole:
+            out[i] = self.ids(texts[i])
+        safe = np.delete(np.arange(len(texts)), whole)
+        if not len(safe):
+            return out
+        split = pc.split_pattern(pa.array([texts[i] for i in safe], pa.large_string()), " ")
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        ids, first, count = self._words(coded.dictionary.to_pylist())
+        code = coded.indices.to_numpy()
+        start, size = first[code], count[code]
+        # The first word of a text has no space before it.
+        heads = [self.ids(texts[i][:texts[i].find(" ")] if " " in texts[i] else texts[i]) for i in safe]
+        size[bounds[:-1]] = [len(h) for h in heads]
+        start[bounds[:-1]] = len(ids) + np.cumsum(size[bounds[:-1]]) - size[bounds[:-1]]
+        ids = np.concatenate([ids, *heads])
+        stop = np.concatenate([[0], np.cumsum(size)])
+        flat = ids[np.repeat(start - stop[:-1], size) + np.arange(stop[-1])]
+        for i, a, z in zip(safe, stop[bounds[:-1]], stop[bounds[1:]]):
+            out[i] = flat[a:z]
+        return out
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if _UNSAFE.search(text) or any(s in text for s in self.special):
-            return self._ids(text)
-        cache, parts = self.cache, text.split(" ")
-        words = parts[:1] + [" " + p for p in parts[1:]]
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
-        out = []
-        for w in words:
-            got = cache.get(w)
-            if got is None:
-                got = self._ids(w) if w else b""
-                if len(cache) < CACHE and len(w) < 64:
-                    cache[w] = got
-            out.append(got)
-        return b"".join(out)
+        return self.encode_all([text])[0].tobytes()
 
 
 # Fixed value: the word pattern of the byte-level vocabulary.
@@ -108,13 +141,15 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
     def run(batches):
         enc = Encoder(tokenizer_path)
         for b in batches:
-            out = []
-            for doc, text in zip(b["_id"], b["_text"]):
-                ids = enc.encode(text or "") + end
-                for j, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
-                    part = ids[4 * s:4 * (s + n)]
-                    out.append((doc, j, s, n, zlib.crc32(part), part if with_ids else None))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+            docs, texts = list(b["_id"]), [t or "" for t in b["_text"]]
+            for a, z in text_chunks(texts, CHUNK):
+                out = []
+                for doc, own in zip(docs[a:z], enc.encode_all(texts[a:z])):
+                    ids = own.tobytes() + end
+                    for j, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
+                        part = ids[4 * s:4 * (s + n)]
+                        out.append((doc, j, s, n, zlib.crc32(part), part if with_ids else None))
+                yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
 
     # Ids travel as strings, so that a null among them makes no floats.
     rows = docs.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("_text"))
@@ -125,11 +160,12 @@ def fullest(counts: dict[int, int], room: int) -> list[tuple[int, int]]:
     """The (length, times) combination with the largest sum <= room.
 
     Bit s of ``reach`` says that sum s can be made; one bitset per length and
-    power-of-two bundle is kept for the way back. Longer lengths come first,
-    so among equal sums the way back prefers few long pieces."""
+    power-of-two bundle is kept for the way back, which takes a length only
+    where the sum cannot be made of those before it. Longer lengths come first,
+    so short pieces, which fit anywhere, are kept for later bins."""
     steps, reach = [], 1
     full = (1 << (room + 1)) - 1
-    for length in sorted((x for x in counts if x <= room)):
+    for length in sorted((x for x in counts if x <= room), reverse=True):
         left, bundle = min(counts[length], room // length), 1
         while left:
             take = min(bundle, left)
@@ -137,7 +173,7 @@ def fullest(counts: dict[int, int], room: int) -> list[tuple[int, int]]:
             reach |= (reach << (length * take)) & full
             left -= take
             bundle *= 2
-        if reach >> room & 1 and length * 2 > room:
+        if reach >> room & 1:
             break
     total = reach.bit_length() - 1
     used: dict[int, int] = {}
@@ -173,17 +209,23 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 def place(cut_pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to a table of pieces (``length`` column)."""
-    keyed = cut_pieces.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BUCKETS)).cast("int"))
-    sizes = keyed.groupBy("length", "_b").agg(F.count(F.lit(1)).alias("_n")).toPandas()  # <= capacity x BUCKETS rows
+    counts = {r.length: r.n for r in cut_pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= capacity rows
+    many = {n: -(-c // BUCKET_ROWS) for n, c in counts.items() if c > BUCKETS * BUCKET_ROWS}
+    wide = F.lit(BUCKETS)
+    if many:
+        wide = F.coalesce(F.create_map(*[F.lit(x) for kv in many.items() for x in kv])[F.col("length")], wide)
+    keyed = cut_pieces.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece"), wide).cast("int"))
+    # <= capacity x BUCKETS rows, and one per BUCKET_ROWS pieces beyond that
+    sizes = keyed.groupBy("length", "_b").agg(F.count(F.lit(1)).alias("_n")).toPandas()
     sizes = sizes.sort_values(["length", "_b"])
     sizes["_first"] = sizes.groupby("length")["_n"].cumsum() - sizes["_n"]
-    rows = plan({int(k): int(v) for k, v in sizes.groupby("length")["_n"].sum().items()}, capacity)
+    rows = plan(counts, capacity)
     spark = cut_pieces.sparkSession
     first = {(int(a), int(b)): int(c) for a, b, c in zip(sizes["length"], sizes["_b"], sizes["_first"])}
     of: dict[int, np.ndarray] = {}
     for n in {r[0] for r in rows}:
         of[n] = np.array([r[1:] for r in rows if r[0] == n], np.int64)
-    shared = spark.sparkContext.broadcast((first, of))   # bounded by capacity, not by the input
+    shared = spark.sparkContext.broadcast((first, of))   # as small as ``sizes``
 
     @F.pandas_udf("sequence_id long, offset long")
     def put(length: pd.Series, bucket: pd.Series, rank: pd.Series) -> pd.DataFrame:
@@ -206,7 +248,6 @@ def place(cut_pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False, **columns) -> DataFrame:
     """Pieces of all documents with their place in the packed sequences."""
-    from .common import stored
     return place(stored(pieces(docs, tokenizer_path, capacity, with_ids, **columns), "pieces"), capacity)
 
 

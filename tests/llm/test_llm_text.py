@@ -436,6 +436,49 @@ def test_packing_matches_the_tokenizer(spark, docs):
     assert packing.pack(df.limit(0), queries.tokenizer_path()).count() == 0
 
 
+def test_batches_encode_like_the_tokenizer():
+    """Words shared by texts, and white space of every kind around them."""
+    rng = random.Random(2)
+    enc = packing.Encoder(queries.tokenizer_path())
+    bits = ["a", "the", "word's", " ", " ", " ", "  ", "\n", "\n ", " \n", "\t", "\x1c", "\x85", "\u00a0", "12", "é", "\U0001f600",
+            "...", "<|endoftext|>", "x" * 40]
+    texts = ["", " ", "  ", "\n", "a", " a", "a ", "a  b", "a\n b", "a \nb", "\x1c b", "a\x1c b", "the the the"]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 40))) for _ in range(400)]
+    texts += [" ".join(rng.choice(["of", "the", "b.\nC", "cat"]) for _ in range(50)) for _ in range(50)]
+    for t, ids in zip(texts, enc.encode_all(texts)):
+        assert ids.tolist() == reference_ids(t)[:-1], repr(t)
+
+
+def best_fit_decreasing(lengths, capacity):
+    import bisect
+    rooms, bins = [], 0
+    for n in sorted(lengths, reverse=True):
+        i = bisect.bisect_left(rooms, n)
+        room = rooms.pop(i) if i < len(rooms) else capacity
+        bins += room == capacity
+        if room - n:
+            bisect.insort(rooms, room - n)
+    return bins
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_no_more_sequences_than_best_fit(spark, sf):
+    out = queries.op8_pack(spark, f"/root/testdata/sf{sf}").select("sequence_id", "length").collect()
+    lengths = [r.length for r in out]
+    bins = len({r.sequence_id for r in out})
+    assert -(-sum(lengths) // packing.CAPACITY) <= bins <= best_fit_decreasing(lengths, packing.CAPACITY)
+
+
+def test_few_long_pieces_come_first():
+    assert packing.fullest({1: 10, 2: 5, 10: 1}, 10) == [(10, 1)]
+    assert packing.fullest({6: 1, 3: 5, 1: 9}, 10) == [(6, 1), (3, 1), (1, 1)]
+    rng = random.Random(9)
+    for _ in range(20):
+        lengths = [rng.randrange(1, 101) for _ in range(rng.randrange(1, 300))]
+        plan = packing.plan(Counter(lengths), 100)
+        assert max(b + -(-(z - a) // per) for _, a, z, b, per, _ in plan) <= best_fit_decreasing(lengths, 100)
+
+
 def test_plan_against_brute_force():
     rng = random.Random(6)
     for _ in range(60):
