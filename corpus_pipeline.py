@@ -7,6 +7,8 @@ or without letters go in the first stage. ``run`` applies the stages to the
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +21,13 @@ MIN_SCORE = 0.4       # of the language; a coin toss among the learnt ones is le
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn the languages from the labelled documents; drop documents whose
-    language is unknown (no letters) or uncertain."""
+    language is unknown (no letters) or uncertain. Where no document is
+    labelled there is no language to reject, and only those without go."""
     ship_package(spark)
     model = language_id.fit(docs, ~queries.held_out())
+    if model is None:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     got = language_id.predictor(model)("text")
-    if model is None:                    # nothing labelled: no language to reject
-        return docs
     return docs.where((got["lang_pred"] != language_id.UND) & (got["score"] >= MIN_SCORE))
 
 
@@ -36,10 +39,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage of the benchmark."""
+    """Drop documents that hold a passage of the benchmark. Overlaps are found
+    by text, so rows that share a doc_id, or have none, are judged one by one."""
     ship_package(spark)
-    hit = decontaminate.overlaps(docs, read_table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*docs.columns)
+    key = f"_{uuid.uuid4().hex}"
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    hit = decontaminate.overlaps(keyed.select(key, "text"), read_table(spark, sf_dir, "benchmark"), id_col=key)
+    hit = hit.select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(hit, key, "left_anti").select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +59,10 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack the tokens of what is left into sequences."""
+    """Pack the tokens of what is left: every piece with its ids and its place
+    in a sequence; ``packing.sequences`` joins them to whole sequences."""
     ship_package(spark)
-    return packing.pack(docs, queries.tokenizer_path()).drop("ids")
+    return packing.pack(docs, queries.tokenizer_path(), with_ids=True)
 
 
 STAGES = [
