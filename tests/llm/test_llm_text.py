@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from ohlcflow.llm import (chat, decontaminate, html_text, language_id, near_dedup, packing, pii, queries, suffix_dedup,
                           token_counts)
@@ -503,18 +504,19 @@ def test_plan_against_brute_force():
 
 # ------------------------------------------------------------- 9 suffix arrays
 def brute_removed(rows):
-    first, out = {}, []
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
-    W = suffix_dedup.WINDOW
-    for i, t in rows:
+    def place(i, t):                            # documents of one id: by the hash of their texts
+        return i is not None, i or 0, (xxh64_intdigest(t or "", 42) + 2 ** 63) % 2 ** 64
+
+    first, out, W = {}, [], suffix_dedup.WINDOW
+    for i, t in sorted(rows, key=lambda r: place(*r)):
         b = (t or "").encode()
         for p in range(len(b) - W + 1):
-            first.setdefault(b[p:p + W], (i is not None, i or 0, p))
+            first.setdefault(b[p:p + W], (*place(i, t), p))
     for i, t in rows:
         b = (t or "").encode()
         gone = np.zeros(len(b), bool)
         for p in range(len(b) - W + 1):
-            if first[b[p:p + W]] < (i is not None, i or 0, p):
+            if first[b[p:p + W]] < (*place(i, t), p):
                 gone[p:p + W] = True
         spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
         kept = bytes(x for x, g in zip(b, gone) if not g)
@@ -540,6 +542,10 @@ def test_suffix_dedup_matches_brute_force(spark, monkeypatch, hot, block):
              (300, None), (301, ""), (302, "é" * 80), (303, "x" + "é" * 80), (None, passage), (202, "c" * 99), (203, "c" * 100),
              (204, "c" * 100 + "d"), (40, rows[5][1] + rows[5][1])]
     rows += [(200, rows[3][1])]                 # a repeated row
+    # Different texts under one id or none, which share runs at equal and other places.
+    alone = words(rng, 80)
+    rows += [(None, alone), (None, words(rng, 70)), (None, alone[:250] + "other " * 9 + alone[250:]), (None, alone), (None, "q" + alone),
+             (500, words(rng, 90)), (500, alone + passage), (500, passage + alone), (500, passage[:200] + words(rng, 30)), (501, alone[50:])]
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 1 << 10 if hot == 1 else 1 << 18)
     monkeypatch.setattr(suffix_dedup, "BLOCK", block)
     assert removed(spark, rows) == brute_removed(rows)
