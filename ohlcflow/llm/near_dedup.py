@@ -13,9 +13,10 @@ of elements plus darts, not their product.
 Equal texts are one node from the start, so copies, however many, take no part
 in the search; they get their class at the end, by their text's hash.
 Signatures are cut into bands; texts that share a band's hash are candidates.
-A bucket gives no pairs among its members: each is compared with one
-representative, found by an aggregate, and a second round compares members of
-buckets that still span several classes with another, hashed pick. Members of
+A bucket gives no pairs among its members: each is compared with the bucket's
+most central one, whose own buckets have the most members in sum (the text that
+others were made from, where there is one), and a second round compares members
+of buckets that still span several classes with another, hashed pick. Members of
 buckets that span several classes after that are joined exactly (``rest_pairs``):
 texts of different classes that reach the threshold share one of their rarest
 cells, at places that leave enough cells behind them. Every link is verified
@@ -270,8 +271,11 @@ def text_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float,
                                           F.first("bands").alias("bands"))
                    .withColumn("node", F.monotonically_increasing_id()), "texts")
     rows = texts.select(F.col("node").alias("doc_id"), F.posexplode("bands").alias("band", "hash"))
-    least = rows.groupBy("band", "hash").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("z")).where("b != z")
-    rows = stored(rows.join(least.drop("z"), ["band", "hash"]), "buckets")      # members of buckets of two or more
+    many = stored(rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
+    rows = stored(rows.join(many, ["band", "hash"]), "buckets")         # members of buckets of two or more
+    weight = stored(rows.groupBy("doc_id").agg(F.sum("size").alias("weight")), "weights")
+    central = stored(rows.join(weight, "doc_id").groupBy("band", "hash")
+                     .agg(F.max_by("doc_id", F.col("weight")).alias("b")), "central")
     nodes = rows.select(F.col("doc_id").alias("node")).distinct().join(texts.select("node", "key", "least"), "node")
     content = stored(fetched(docs, nodes, id_col, text_col), "candidates")
 
@@ -281,14 +285,16 @@ def text_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float,
         order = F.xxhash64("doc_id", "band", F.lit(turn))
         spans = named.groupBy("band", "hash").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"),
                                                   F.max_by("doc_id", order).alias("b"), F.max_by("class_id", order).alias("of"))
-        return named.join(spans.where("lo != hi"), ["band", "hash"])
+        return named.join(stored(spans.where("lo != hi"), "spans"), ["band", "hash"])
 
     tried, label = None, None
     for turn in range(rounds):
         if not turn:
-            pairs = rows.where("doc_id != b").select(F.col("doc_id").alias("a"), "b").distinct()
+            pairs = (rows.join(central, ["band", "hash"]).where("doc_id != b")
+                     .select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct())
         else:
-            pairs = (mixed(turn).where("class_id != of").select(F.col("doc_id").alias("a"), "b").distinct()
+            pairs = (mixed(turn).where("class_id != of")
+                     .select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
                      .join(tried, ["a", "b"], "left_anti"))
         pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
