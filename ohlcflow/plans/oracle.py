@@ -124,3 +124,59 @@ rec(symbol, t, s, e, h, c, {state}) AS (
 ),
 per_symbol AS (SELECT symbol, [{", ".join(f"sum(e * dh{k})" for k in ks)}] AS grad, sum(e * e / 2) AS loss,
                       count(*) AS steps FROM rec WHERE s > 0 GROUP BY symbol)"""
+
+
+def sql_train_in_order(weights: dict, bars_sql: str, b: int, lr: float, epochs: int) -> str:
+    """M5: parameters (th0 ..) per symbol after an update at every window of
+    ``b`` bars in order. One recursion step is one window, forward and backward
+    written out step by step."""
+    gates = list(weights)
+    width = len(weights[gates[0]][0]) + 2
+    ks = range(len(gates) * width)
+    start = [v for g in gates for v in (*weights[g][0], weights[g][1], weights[g][2])]
+
+    def th(gate, m):
+        return f"th{gates.index(gate) * width + m}"
+    parts, h, c = [], "0.0", "0.0"
+    for t in range(b):
+        for g in gates:
+            z = " + ".join([f"{th(g, m)} * x{m}[{t + 1}]" for m in range(width - 2)]
+                           + [f"{th(g, width - 2)} * {h}", th(g, width - 1)])
+            parts.append((f"{g}{t}", f"tanh({z})" if g == "a" else sql_sigmoid(z)))
+        parts += [(f"c{t}", f"a{t} * i{t} + f{t} * {c}"), (f"tc{t}", f"tanh(c{t})"), (f"h{t}", f"tc{t} * o{t}")]
+        h, c = f"h{t}", f"c{t}"
+    for t in reversed(range(b)):
+        last = t == b - 1
+        back = "0.0" if last else " + ".join(f"d{g}{t + 1} * {th(g, width - 2)}" for g in gates)
+        before = f"c{t - 1}" if t else "0.0"
+        parts += [(f"out{t}", f"h{t} - ys[{t + 1}] + {back}"),
+                  (f"dc{t}", f"out{t} * o{t} * (1 - tc{t} * tc{t}) + " + ("0.0" if last else f"dc{t + 1} * f{t + 1}")),
+                  (f"da{t}", f"dc{t} * i{t} * (1 - a{t} * a{t})"), (f"di{t}", f"dc{t} * a{t} * i{t} * (1 - i{t})"),
+                  (f"df{t}", f"dc{t} * {before} * f{t} * (1 - f{t})"), (f"do{t}", f"out{t} * tc{t} * o{t} * (1 - o{t})")]
+    moved = []
+    for g in gates:
+        for m in range(width):
+            with_ = [f"x{m}[{t + 1}]" if m < width - 2 else ("1.0" if m == width - 1 else (f"h{t - 1}" if t else "0.0"))
+                     for t in range(b)]
+            moved.append(f"{th(g, m)} - {lr!r} * (" + " + ".join(f"d{g}{t} * {w}" for t, w in enumerate(with_)) + ")")
+    inner = "r.*, w.n, w.x0, w.x1, w.ys"
+    nested = f"SELECT {inner} FROM rec r JOIN win w ON w.symbol = r.symbol AND w.g = r.k WHERE r.e < {epochs}"
+    for name, expr in parts:
+        nested = f"SELECT *, {expr} AS {name} FROM ({nested})"
+    frame = f"OVER (PARTITION BY symbol ORDER BY g ROWS BETWEEN CURRENT ROW AND {b - 1} FOLLOWING)"
+    return f"""
+WITH RECURSIVE {sql_scaled_bars(bars_sql)},
+xy AS (SELECT symbol, g, x0, x1, count(*) OVER (PARTITION BY symbol) AS n,
+              CASE WHEN target_max = target_min THEN 0.0 ELSE
+                (lead(close) OVER (PARTITION BY symbol ORDER BY g) - target_min) / (target_max - target_min) END AS y
+       FROM x),
+win AS (SELECT * FROM (SELECT symbol, g, n, list(x0) {frame} AS x0, list(x1) {frame} AS x1, list(y) {frame} AS ys FROM xy)
+        WHERE g + {b} < n),
+rec(symbol, e, k, {", ".join(f"th{k}" for k in ks)}) AS (
+  SELECT DISTINCT symbol, 0, CAST(0 AS BIGINT), {", ".join(f"CAST({v!r} AS DOUBLE)" for v in start)} FROM win
+  UNION ALL
+  SELECT symbol, CASE WHEN k + 1 + {b} < n THEN e ELSE e + 1 END, CASE WHEN k + 1 + {b} < n THEN k + 1 ELSE 0 END,
+         {", ".join(moved)}
+  FROM ({nested})
+),
+trained AS (SELECT * FROM rec WHERE e = {epochs})"""

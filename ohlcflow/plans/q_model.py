@@ -8,7 +8,7 @@ from .. import tables
 from ..operators import lstm as L
 from ..operators import lstm_train as LT
 from . import training as TR
-from .oracle import sql_bars_from_ticks, sql_forecast_pairs, sql_window_gradients
+from .oracle import sql_bars_from_ticks, sql_forecast_pairs, sql_train_in_order, sql_window_gradients
 from .q_bars import daily, hourly
 from .registry import register, rounded
 
@@ -44,6 +44,20 @@ def q_step(spark, sf_dir):
     return rounded(out.select("symbol", F.posexplode("theta").alias("position", "theta")))
 
 
+@register("lstm_train_in_order", lambda: sql_train_in_order(
+    L.FIXED_TEST_WEIGHTS, sql_bars_from_ticks("1 hour"), 4, 0.1, 2) + f"""
+SELECT symbol, CAST(k AS INTEGER) AS position, R6(v) AS theta
+FROM (SELECT symbol, unnest(range(16)) AS k, unnest([{", ".join(f"th{k}" for k in range(16))}]) AS v FROM trained)""")
+def q_in_order(spark, sf_dir):
+    """M5: the fixed weights after two epochs over every window of 4 hourly
+    bars of the symbol, with an update of rate 0.1 after each; chunks of 256
+    bars, so that a symbol's parameters pass through several waves."""
+    rows = TR.scaled_series(hourly(spark, sf_dir), ["close", "volume"])
+    init = rows.select("symbol").distinct().withColumn("theta", F.array(*[F.lit(v) for v in FIXED.tolist()]))
+    out = LT.train_in_order(rows, ["close_s", "volume_s"], "target_s", 4, 2, 0.1, init=init, chunk_rows=256)
+    return rounded(out.where("windows > 0").select("symbol", F.posexplode("theta").alias("position", "theta")))
+
+
 @register("lstm_train_per_symbol")
 def q_train(spark, sf_dir):
     """M5 + K5 layout: window 72, 4 epochs, lr 1 on all hourly bars."""

@@ -34,9 +34,10 @@ def scaled_series(bars: DataFrame, features, bucket: str = "day") -> DataFrame:
 
 def train_symbols(bars: DataFrame, b: int = MAIN_WINDOW, epochs: int = MAIN_EPOCHS, lr: float = MAIN_LR,
                   seed: int = 0, init: DataFrame | None = None, version: int = 1, grid=None) -> DataFrame:
-    """One parameter set per symbol over all its bars."""
+    """One parameter set per symbol over all its bars, updated after
+    every window in order."""
     rows = scaled_series(bars, BAR_FEATURES)
-    return LT.train_per_symbol(rows, [f"{c}_s" for c in BAR_FEATURES], "target_s", b, epochs, lr,
+    return LT.train_in_order(rows, [f"{c}_s" for c in BAR_FEATURES], "target_s", b, epochs, lr,
                                seed=seed, init=init, version=version, grid=grid)
 
 

@@ -187,9 +187,73 @@ def test_train_per_symbol_equals_numpy(spark):
                 assert np.allclose(r.theta, th, atol=1e-12) and r.windows == n and r.loss == pytest.approx(loss)
 
 
+def _in_order(theta, v, y, b, epochs, lr):
+    """A window after the other, each by the vectorised kernel."""
+    X, Y = L.windows_of(v, y, b)
+    loss = None
+    for _ in range(epochs):
+        total, steps, n = 0.0, 0, 0
+        for x, t in zip(X, Y):
+            if np.isnan(x).any():
+                continue
+            g, l, s = L.backward(theta, x[None], t[None])
+            theta, total, steps, n = theta - lr * g, total + l, steps + s, n + 1
+        loss = total / steps if steps else None
+    return theta, loss, n
+
+
+@pytest.mark.parametrize("chunk", [9, 16, 4096])
+def test_training_in_order_equals_a_loop(spark, chunk):
+    """Relay over several waves, symbols of different lengths, stored and fresh
+    parameters, grid points with their own windows and epochs."""
+    df, series = _series(spark, {"A": 60, "B": 12, "C": 3}, 3)
+    fresh = {r.symbol: np.array(r.t) for r in df.select("symbol", LT.init_theta_column("symbol", 2, 9).alias("t"))
+             .distinct().collect()}
+    grid = [dict(b=5, epochs=2, lr=0.3), dict(b=3, epochs=1, lr=0.1), dict(b=8, epochs=3, lr=1.0)]
+    init = spark.createDataFrame([("A", THETA.tolist())], "symbol string, theta array<double>")
+    for start in (None, init):
+        got = {(r.symbol, r.grid_id): r for r in LT.train_in_order(
+            df, ["x0", "x1"], "y", 5, seed=9, grid=grid, init=start, chunk_rows=chunk).collect()}
+        assert len(got) == 9
+        for s, (v, y) in series.items():
+            for i, p in enumerate(grid):
+                th0 = THETA if start is not None and s == "A" else fresh[s]
+                r = got[s, i]
+                if len(v) <= p["b"]:
+                    assert r.loss is None and r.windows == 0 and np.allclose(r.theta, th0)
+                    continue
+                th, loss, n = _in_order(th0, v, y, **p)
+                assert np.allclose(r.theta, th, atol=1e-10) and r.windows == n and r.loss == pytest.approx(loss)
+
+
+def test_update_in_order_on_the_golden_series():
+    """Window 72 over the recorded bars, and gaps in inputs and targets."""
+    import pandas as pd
+    from conftest import fixture_path
+    bars = pd.read_csv(fixture_path("bars_5min.csv"))
+    v = bars[["Open", "High", "Low", "Close", "Volume", "Trade_count", "vwap"]].to_numpy(float)
+    v = (v - v.min(0)) / (v.max(0) - v.min(0))
+    y = np.append(v[1:, 3], v[1:, 3].mean())
+    th0 = L.init_theta(7, 3)
+    got = LT.update_in_order(th0, v, y, 72, len(v) - 72, 0.5)
+    th, loss, n = _in_order(th0, v, y, 72, 1, 0.5)
+    assert got[3] == n == 216 and np.allclose(got[0], th, atol=1e-9) and got[1] / got[2] == pytest.approx(loss)
+    v[40, 2], y[100:120] = np.nan, np.nan
+    got = LT.update_in_order(th0, v, y, 24, len(v) - 24, 0.5)
+    th, loss, n = _in_order(th0, v, y, 24, 1, 0.5)
+    assert got[3] == n and np.allclose(got[0], th, atol=1e-9) and got[1] / got[2] == pytest.approx(loss)
+
+
+def test_one_update_matches_worked_example():
+    th, loss, steps, windows = LT.update_in_order(THETA, X2[0], Y2[0], 2, 1, 0.1)
+    g, l, s = L.backward(THETA, X2, Y2)
+    assert np.allclose(th, L.sgd_step(THETA, g, 0.1), atol=1e-12) and loss == pytest.approx(l) and (steps, windows) == (s, 1)
+
+
 def test_training_of_empty_rows(spark):
     df, _ = _series(spark, {"A": 4}, 1)
     none = df.where("false")
+    assert LT.train_in_order(none, ["x0", "x1"], "y", 3).count() == 0
     assert LT.train_per_symbol(none, ["x0", "x1"], "y", 3).count() == 0
     th, hist = LT.train_distributed(LT.pack_series(none, ["x0", "x1"], "y", 3), 2, 3, epochs=1, theta=THETA)
     assert np.allclose(th, THETA) and hist == [0.0]
