@@ -70,13 +70,14 @@ def q_stream_ingest(spark, sf_dir):
 @register("stream_rolling", f"""SELECT {BAR_R6} FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM ({H})) WHERE rn <= 288""")
 def q_stream_rolling(spark, sf_dir):
-    """ST2: append each batch to the rolling store, keep the newest 288 bars."""
+    """ST2: a micro-batch a day appended to the rolling store, which keeps the
+    newest 288 bars and is compacted on the way."""
     bus = _published(spark, sf_dir)
-    stream = S.decode_stream(S.message_stream(spark, bus, max_files_per_trigger=10))
-    store = scratch_path(spark, "rolling")
+    stream = S.decode_stream(S.message_stream(spark, bus, max_files_per_trigger=1))
+    store = S.bar_store(spark, scratch_path(spark, "rolling"), TR.ROLLING_CAPACITY)
     q, _ = S.start(stream, "rolling", spark, foreach_batch=S.rolling_dataset_writer(store))
     S.run_to_completion(q)
-    return rounded(_ntz(S.rolling_view(spark, store, 288)))
+    return rounded(_ntz(store.view()))
 
 
 @register("stream_dedup", f"SELECT {BAR_R6} FROM ({H})")
@@ -140,21 +141,20 @@ def q_stream_pairs(spark, sf_dir):
 
 @register("stream_retrain")
 def q_stream_retrain(spark, sf_dir):
-    """ST6: each micro-batch of bars retrains the symbols it touches (warm
-    start from the stored parameters) and stores a new version."""
+    """ST6: each micro-batch of bars retrains the symbols it touches on their
+    newest 288 bars (M5, warm start from the parameters of the batch before)
+    and stores a new version; the newest one of every symbol."""
     bus = _published(spark, sf_dir)
     stream = S.decode_stream(S.message_stream(spark, bus, max_files_per_trigger=15))
-    store, models = scratch_path(spark, "rolling"), scratch_path(spark, "models")
+    bars = S.bar_store(spark, scratch_path(spark, "rolling"), TR.ROLLING_CAPACITY)
+    models = ST.theta_store(spark, scratch_path(spark, "models"))
 
-    def train(bars, init, version):
-        t = TR.train_symbols(bars, b=24, epochs=1, lr=0.5, init=init, version=version)
-        return L.thetas_to_params(t, len(TR.BAR_FEATURES))
+    def train(rows, init, version):
+        return TR.train_symbols(rows, b=24, epochs=1, lr=0.5, init=init, version=version)
 
-    q, _ = S.start(stream, "retrain", spark, foreach_batch=ST.retrain_writer(spark, store, models, train))
+    q, _ = S.start(stream, "retrain", spark, foreach_batch=ST.retrain_writer(bars, models, train))
     S.run_to_completion(q)
-    p = L.load_params(spark, models)
-    newest = p.groupBy("symbol").agg(F.max("version").alias("version"))
-    return p.join(newest, ["symbol", "version"])
+    return L.thetas_to_params(models.view(), len(TR.BAR_FEATURES))
 
 
 @register("stream_refresh_scores")

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import bars as B
-from ..schema import BAR_COLUMNS
+from ..schema import BAR
 from ..session import scratch_path
 from ..sources import codec
+from .store import VersionedStore
 
 
 # ---------------------------------------------------------------- sources
@@ -181,12 +182,15 @@ class ProgressLog:
         spark.streams.removeListener(self.listener)
 
 
-def rolling_dataset_writer(path: str):
-    """ST2: append each micro-batch of bars to the rolling store (idempotent
-    per batch); the retention view is ``rolling_view``."""
-    return idempotent_batch_writer(path, transform=lambda b, _i: b.select(*BAR_COLUMNS))
+def bar_store(spark: SparkSession, path: str, capacity: int, **options) -> VersionedStore:
+    """ST2: the store of the newest ``capacity`` bars of every symbol."""
+    return VersionedStore(spark, path, BAR, capacity, day=F.to_date("ts"), **options)
 
 
-def rolling_view(spark: SparkSession, path: str, capacity: int) -> DataFrame:
-    """ST2 retention: newest ``capacity`` bars per symbol of the store."""
-    return B.rolling_retention(spark.read.parquet(path).select(*BAR_COLUMNS), capacity)
+def rolling_dataset_writer(store: VersionedStore):
+    """ST2: a ``foreachBatch`` function that appends each micro-batch of bars to
+    the store, once however often it is replayed."""
+    def write(batch: DataFrame, batch_id: int):
+        if not batch.isEmpty():                       # P4
+            store.append(batch, batch_id)
+    return write

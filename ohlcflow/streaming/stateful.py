@@ -25,7 +25,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.scalar import minmax_scale
 from ..operators import lstm as L
-from ..session import path_exists
+from .store import VersionedStore
 
 
 def _micros(ts: pd.Series) -> np.ndarray:
@@ -146,26 +146,33 @@ def emit_pairs(scored: DataFrame, actual: str = "close", predicted: str = "predi
     return _keyed(s, step, state_schema, delay)
 
 
-def retrain_writer(spark: SparkSession, store_path: str, model_path: str, train_fn):
-    """ST6: ``foreachBatch`` function that appends the batch to the rolling
-    store and retrains only the symbols present in the batch (M7), storing
-    the new parameters as version ``batch_id + 1``.
+def theta_store(spark: SparkSession, path: str, **options) -> VersionedStore:
+    """K5 / ST6: the newest parameters of every symbol, a version a batch."""
+    schema = T.StructType.fromDDL("symbol string, version long, theta array<double>")
+    return VersionedStore(spark, path, schema, 1, order="version", **options)
 
-    ``train_fn(bars, init, version)`` returns PARAMS rows.
-    """
-    from ..operators.lstm import load_params, save_params, theta_column
 
+def retrain_writer(bars: VersionedStore, models: VersionedStore, train_fn):
+    """ST6: ``foreachBatch`` function that appends the batch to the rolling
+    store and retrains the symbols of the batch on what the store holds of them
+    (M7), storing their parameters as version ``batch_id + 1``.
+
+    ``train_fn(bars, init, version)`` returns (symbol, version, theta). Its
+    input is the store as of this batch and the parameters as of the batch
+    before, found by batch id, so a replay, after a crash between any two
+    steps, trains from the same state; a batch whose parameters are stored is
+    not trained again."""
     def run(batch: DataFrame, batch_id: int):
         if batch.isEmpty():
             return
-        batch.write.mode("overwrite").parquet(f"{store_path}/batch_id={int(batch_id)}")
+        stored = bars.append(batch, batch_id)
+        if models.committed(batch_id):
+            return
         touched = batch.select("symbol").distinct()
-        store = spark.read.parquet(store_path).join(touched, "symbol", "left_semi")
-        init = None                             # no model before the first batch
-        if path_exists(spark, model_path):
-            init = theta_column(load_params(spark, model_path)).select("symbol", "theta")
-        params = train_fn(store, init, int(batch_id) + 1)
-        save_params(params, model_path)
+        rows = bars.view(stored).join(touched, "symbol", "left_semi")
+        before = models.at_batch(int(batch_id) - 1)
+        init = models.view(before).select("symbol", "theta") if before["version"] else None
+        models.append(train_fn(rows, init, int(batch_id) + 1), batch_id)
     return run
 
 

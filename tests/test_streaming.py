@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import random
 import time
 
 import pytest
@@ -9,9 +10,11 @@ from pyspark.sql import functions as F
 
 from ohlcflow.operators import lstm as L
 from ohlcflow.plans import forecast
+from ohlcflow.schema import BAR_COLUMNS
 from ohlcflow.session import scratch_path
 from ohlcflow.streaming import ingest as S
 from ohlcflow.streaming import stateful as ST
+from ohlcflow.streaming.store import VersionedStore
 
 
 def _bars(spark, n=12, syms=("A", "B")):
@@ -94,12 +97,162 @@ def test_dedup_and_late_bars(spark):
 
 def test_rolling_store_idempotent(spark):
     bars = _bars(spark, 12)
-    store = scratch_path(spark, "roll")
+    store = S.bar_store(spark, scratch_path(spark, "roll"), 5)
     w = S.rolling_dataset_writer(store)
     w(bars, 0)
-    w(bars, 0)                                     # a replayed batch replaces itself
-    assert spark.read.parquet(store).count() == bars.count()
-    assert S.rolling_view(spark, store, 5).groupBy("symbol").count().where("count != 5").count() == 0
+    w(bars, 0)                                     # a replayed batch is not written again
+    assert store.read().count() == bars.count()
+    assert store.view().groupBy("symbol").count().where("count != 5").count() == 0
+
+
+def _batches(spark, n, seed=5):
+    """Batches of bars, out of order, some empty of a symbol, one late."""
+    rng = random.Random(seed)
+    ts = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=h) for h in range(8 * n)]
+    late = ts[:3]
+    out = []
+    for i in range(n):
+        times = ts[8 * i + 3:8 * i + 11][:8] + (late if i == n // 2 else [])
+        rows = [(s, t, rng.random(), 1.0, 1.0, 1.0, 1, 1, 1.0) for t in times for s in ("A", "B") if rng.random() < 0.7]
+        out.append(rows)
+    return out
+
+
+BAR_DDL = "symbol string, ts timestamp, open double, high double, low double, close double, volume long, trade_count long, vwap double"
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, BAR_DDL).select(*BAR_COLUMNS)
+
+
+def _newest(rows, capacity):
+    out = []
+    for s in {r[0] for r in rows}:
+        out += sorted((r[1], round(r[2], 9), s) for r in rows if r[0] == s)[-capacity:]
+    return sorted(out)
+
+
+def _held(df):
+    return sorted((r.ts, round(r.open, 9), r.symbol) for r in df.collect())
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", [None, "before commit", "after commit", "before compaction commit", "after compaction", "in clean"])
+def test_store_survives_a_crash_at_every_step(spark, monkeypatch, step):
+    """A crash in one batch, then its replay by a new writer: the view is the
+    newest rows of all batches so far, after every batch."""
+    root = scratch_path(spark, "crash")
+    seen, batches, crashes = [], _batches(spark, 7), 0
+
+    def store():
+        return S.bar_store(spark, root, 9, max_deltas=3, keep_versions=2)
+
+    def crash_at(kind):
+        commit, clean, compact = VersionedStore._commit, VersionedStore.clean, VersionedStore.compact
+
+        def broken_commit(self, old, **changes):
+            before = kind == "before compaction commit" if "base" in changes else kind == "before commit"
+            if before:
+                raise Crash
+            new = commit(self, old, **changes)
+            if kind == "after commit" and "base" not in changes:
+                raise Crash
+            return new
+
+        def broken_compact(self, old):
+            new = compact(self, old)
+            if kind == "after compaction":
+                raise Crash
+            return new
+
+        def broken_clean(self):
+            if kind == "in clean":
+                raise Crash
+            clean(self)
+        monkeypatch.setattr(VersionedStore, "_commit", broken_commit)
+        monkeypatch.setattr(VersionedStore, "compact", broken_compact)
+        monkeypatch.setattr(VersionedStore, "clean", broken_clean)
+
+    for i, rows in enumerate(batches):
+        if step and i in (2, 5):                  # where deltas are due to be compacted
+            crash_at(step)
+            try:
+                store().append(_frame(spark, rows), i)
+            except Crash:
+                crashes += 1
+            monkeypatch.undo()
+        version = store().append(_frame(spark, rows), i)
+        seen += rows
+        assert _held(store().view()) == _held(store().view(version)) == _newest(seen, 9), (step, i)
+    assert len(store().versions()) <= 2 and (crashes > 0) == (step is not None)
+    live = store()._list("data")
+    again = store().append(_frame(spark, batches[-1]), 6)
+    assert store()._list("data") == live and again["batch"] == 6
+
+
+def test_store_reads_do_not_grow_with_its_age(spark):
+    store = S.bar_store(spark, scratch_path(spark, "age"), 9, max_deltas=4)
+    sizes = []
+    for i, rows in enumerate(_batches(spark, 24)):
+        store.append(_frame(spark, rows), i)
+        sizes.append((store.size(), len(store.latest()["deltas"])))
+    assert max(n for _, n in sizes) < 4 and max(s for s, _ in sizes[16:]) <= 1.2 * max(s for s, _ in sizes[4:12])
+    bound = store.at_batch(22)
+    before = _held(store.view(bound))
+    store.append(_frame(spark, _batches(spark, 1, 9)[0]), 24)
+    assert _held(store.view(bound)) == before     # a reader stays at its version
+    other = S.bar_store(spark, store.root, 9)
+    with pytest.raises(Exception, match="exists"):
+        other._commit(store.manifest(store.latest()["version"] - 1), batch=99)
+    with pytest.raises(LookupError):
+        store.at_batch(3)
+
+
+def test_retraining_is_the_same_after_a_replay(spark):
+    """Every batch run again at every point leaves the same parameters, equal
+    to a loop of warm starts over the newest bars."""
+    from ohlcflow.plans import training as TR
+
+    def train(rows, init, version):
+        return TR.train_symbols(rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")), b=4, epochs=1, lr=0.3,
+                                init=init, version=version)
+
+    def run(name, replay):
+        bars = S.bar_store(spark, scratch_path(spark, name), 12, max_deltas=2)
+        models = ST.theta_store(spark, scratch_path(spark, name), max_deltas=2)
+        calls = []
+
+        def counted(rows, init, version):
+            calls.append(version)
+            if replay and version == 2 and calls.count(2) == 1:
+                raise Crash                       # bars are stored, parameters are not
+            return train(rows, init, version)
+        write = ST.retrain_writer(bars, models, counted)
+        for i, rows in enumerate(_batches(spark, 3)):
+            try:
+                write(_frame(spark, rows), i)
+            except Crash:
+                pass
+            if replay:
+                write(_frame(spark, rows), i)
+                write(_frame(spark, rows), i)
+        return {r.symbol: (r.version, r.theta) for r in models.view().collect()}, calls
+
+    once, _ = run("once", False)
+    again, calls = run("again", True)
+    assert once == again and calls == [1, 2, 2, 3]
+
+    init = None
+    seen = []
+    for i, rows in enumerate(_batches(spark, 3)):
+        seen += rows
+        newest = [r for s in ("A", "B") for r in sorted((r for r in seen if r[0] == s), key=lambda r: r[1])[-12:]]
+        out = train(_frame(spark, newest), init, i + 1).collect()
+        init = spark.createDataFrame([(r.symbol, r.theta) for r in out], "symbol string, theta array<double>")
+    assert {r.symbol: r.theta for r in out} == {s: t for s, (_, t) in once.items()}
 
 
 def test_progress_listener(spark):
