@@ -1,14 +1,19 @@
-"""Keyed streaming state (ST4-ST6) with ``applyInPandasWithState``.
-
-State per symbol is small and bounded: the last ``b`` scaled bars and the
-time of the newest processed bar (ST5), or the previous prediction (ST4).
-
-With a ``delay``, bars are taken in event time: each is held in the state until
-the watermark (newest bar time seen minus ``delay``) has passed it, by a later
-batch or by the event-time timeout, so bars that arrive out of order within the
+"""Keyed streaming state (ST4, ST5) with ``transformWithStateInPandas``, and
+the writers that retrain and score between micro-batches (ST5, ST6).
+
+State per symbol: the last ``b`` scaled bars (ST5) or the previous prediction
+(ST4), the time of the newest processed bar, and, with a ``delay``, the bars
+held back, one entry of a map state each, with a timer at its time. A batch
+writes its own bars and what the watermark released, not the rest of the held
+bars.
+
+With a ``delay``, bars are taken in event time: each is held until the watermark
+(newest bar time seen minus ``delay``) has passed it and its timer fires; timers
+fire in the order of their times, so bars that arrive out of order within the
 delay are processed in their order; older ones are late. The newest bars of a
 stream come out once a bar more than ``delay`` newer has been seen. Without a
-``delay`` the source must deliver bars in time order across micro-batches.
+``delay`` the source must deliver bars in time order across micro-batches. Of
+bars of equal times the first counts.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.scalar import minmax_scale
 from ..operators import lstm as L
@@ -37,25 +42,68 @@ def _micros(ts: pd.Series) -> np.ndarray:
 
 PAIR_SCHEMA = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("ts", T.TimestampType()),
                             T.StructField("actual", T.DoubleType()), T.StructField("predicted", T.DoubleType())])
-_ROWS = T.ArrayType(T.ArrayType(T.DoubleType()))
-
-
-def _take(pdfs: Iterator[pd.DataFrame], cols: Sequence[str], held, last_us, watermark_us):
-    """(rows to process now, rows to hold back), both in bar-time order: rows
-    are [bar time in microseconds, values]; of equal times the first counts,
-    times up to the last processed one are late."""
-    parts = [np.asarray(held or [], dtype=np.float64).reshape(-1, len(cols) + 1)]
-    for pdf in pdfs:
-        if len(pdf):
-            parts.append(np.column_stack([_micros(pdf["ts"]).astype(np.float64),
-                                          pdf[list(cols)].to_numpy(np.float64)]))
-    rows = np.vstack(parts)
-    _, first = np.unique(rows[:, 0], return_index=True)
-    rows = rows[first]
-    if last_us is not None:
-        rows = rows[rows[:, 0] > last_us]
-    n = len(rows) if watermark_us is None else int(np.searchsorted(rows[:, 0], watermark_us, side="right"))
-    return rows[:n], rows[n:]
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class InOrder(StatefulProcessor):
+    """Hands the rows of a key to ``step`` in the order of their times: rows
+    are [bar time in microseconds, values of ``cols``], whose names must not
+    start with an underscore (they pass through named tuples)."""
+
+    def __init__(self, cols: Sequence[str], delayed: bool):
+        self.cols, self.delayed = list(cols), delayed
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.done = handle.getValueState("done", "us long")
+        if self.delayed:
+            self.held = handle.getMapState("held", "ms long", "rows array<array<double>>")
+        self.open(handle)
+
+    def open(self, handle) -> None:
+        """Create the states of ``step``."""
+
+    def step(self, key, rows: np.ndarray) -> pd.DataFrame:
+        raise NotImplementedError
+
+    def _process(self, key, rows: np.ndarray):
+        last = self.done.get()
+        if last is not None:
+            rows = rows[rows[:, 0] > last[0]]
+        if len(rows):
+            yield self.step(key, rows)
+            self.done.update((int(rows[-1, 0]),))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        parts = [np.column_stack([_micros(pdf["ts"]).astype(np.float64), pdf[self.cols].to_numpy(np.float64)])
+                 for pdf in rows if len(pdf)]
+        new = np.vstack(parts) if parts else np.zeros((0, len(self.cols) + 1))
+        new = new[np.unique(new[:, 0], return_index=True)[1]]
+        if not self.delayed:
+            yield from self._process(key, new)
+            return
+        last = self.done.get()
+        if last is not None:
+            new = new[new[:, 0] > last[0]]
+        times = (new[:, 0] // 1000).astype(np.int64)
+        for ms in np.unique(times).tolist():
+            part = new[times == ms].tolist()
+            if self.held.containsKey((ms,)):
+                old = [list(r) for r in self.held.getValue((ms,))[0]]
+                known = {r[0] for r in old}
+                part = old + [r for r in part if r[0] not in known]
+            else:
+                self.handle.registerTimer(ms + 1)
+            self.held.updateValue((ms,), (part,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        ms = (expiredTimerInfo.getExpiryTimeInMs() - 1,)
+        rows = np.array([list(r) for r in self.held.getValue(ms)[0]], dtype=np.float64)
+        self.held.removeKey(ms)
+        yield from self._process(key, rows[np.argsort(rows[:, 0])])
+
+    def close(self) -> None:
+        pass
 
 
 def _pairs(key, rows: np.ndarray, actual, predicted) -> pd.DataFrame:
@@ -71,16 +119,53 @@ def _event_time(rows: DataFrame, delay: str | None) -> DataFrame:
     return rows if delay is None else rows.withWatermark("ts", delay)
 
 
-def _keyed(s: DataFrame, step, state_schema: T.StructType, delay: str | None) -> DataFrame:
-    timeout = GroupStateTimeout.NoTimeout if delay is None else GroupStateTimeout.EventTimeTimeout
-    return s.groupBy("symbol").applyInPandasWithState(step, PAIR_SCHEMA, state_schema, "append", timeout)
+def _keyed(s: DataFrame, processor: InOrder) -> DataFrame:
+    """Map states and timers need the RocksDB state store."""
+    s.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return s.groupBy("symbol").transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=PAIR_SCHEMA, outputMode="Append",
+        timeMode="EventTime" if processor.delayed else "None")
+
+
+class Scores(InOrder):
+    """ST5: the last ``b`` inputs of a key score the next bar."""
+
+    def __init__(self, theta: np.ndarray, b: int, n_features: int, delayed: bool):
+        super().__init__([*[f"x{j}" for j in range(n_features)], "close", "target_min", "target_max"], delayed)
+        self.theta, self.b, self.n_features = theta, b, n_features
+
+    def open(self, handle) -> None:
+        self.hist = handle.getValueState("hist", "xs array<array<double>>")
+
+    def step(self, key, rows: np.ndarray) -> pd.DataFrame:
+        b, nf, hist = self.b, self.n_features, self.hist.get()
+        old = np.array([list(x) for x in hist[0]] if hist else [], dtype=np.float64).reshape(-1, nf)
+        allx = np.vstack([old, rows[:, 1:1 + nf]])
+        idx = np.arange(len(rows)) + len(old)                  # position of each new bar
+        ok = idx >= b
+        out, pred = rows[ok], np.array([], dtype=np.float64)
+        if ok.any():
+            win = np.lib.stride_tricks.sliding_window_view(allx, b, axis=0).transpose(0, 2, 1)
+            pred = L.forward(self.theta, win[idx[ok] - b]) * (out[:, -1] - out[:, -2]) + out[:, -2]
+        self.hist.update((allx[-b:].tolist(),))
+        return _pairs(key, out, out[:, 1 + nf], pred)
 
 
-def _keep(state, values: tuple, later: np.ndarray) -> None:
-    """Store the state; wake the key when the watermark passes its next bar."""
-    state.update(values)
-    if len(later):
-        state.setTimeoutTimestamp(int(later[0, 0]) // 1000 + 1)
+class Pairs(InOrder):
+    """ST4: the previous prediction of a key beside the next bar."""
+
+    def __init__(self, delayed: bool):
+        super().__init__(["value_a", "value_p"], delayed)
+
+    def open(self, handle) -> None:
+        self.prev = handle.getValueState("prev", "predicted double")
+
+    def step(self, key, rows: np.ndarray) -> pd.DataFrame:
+        prev = self.prev.get()
+        before = np.concatenate([[np.nan if prev is None or prev[0] is None else prev[0]], rows[:, 2]])
+        keep = ~np.isnan(before[:-1])
+        self.prev.update((None if np.isnan(before[-1]) else float(before[-1]),))
+        return _pairs(key, rows[keep], rows[keep, 1], before[:-1][keep])
 
 
 def score_stream(bars: DataFrame, scaler: DataFrame, theta, b: int = 4,
@@ -96,30 +181,10 @@ def score_stream(bars: DataFrame, scaler: DataFrame, theta, b: int = 4,
     th = np.asarray(theta, dtype=np.float64)
     feats = list(features)
     s = _event_time(bars, delay).join(scaler, "symbol", "inner")
-    xs = [minmax_scale(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")).alias(f"_x{j}") for j, c in enumerate(feats)]
+    xs = [minmax_scale(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")).alias(f"x{j}") for j, c in enumerate(feats)]
     s = s.select("symbol", "ts", F.col("close").cast("double").alias("close"),
                  *xs, "target_min", "target_max")
-    state_schema = T.StructType([T.StructField("hist", _ROWS), T.StructField("held", _ROWS),
-                                 T.StructField("last_us", T.LongType())])
-    nf = len(feats)
-    cols = [*[f"_x{j}" for j in range(nf)], "close", "target_min", "target_max"]
-
-    def step(key, pdfs: Iterator[pd.DataFrame], state):
-        hist, held, last_us = state.get if state.exists else ([], [], None)
-        passed = None if delay is None else state.getCurrentWatermarkMs() * 1000
-        rows, later = _take(pdfs, cols, held, last_us, passed)
-        old = np.asarray([list(h) for h in hist or []], dtype=np.float64).reshape(-1, nf)
-        allx = np.vstack([old, rows[:, 1:1 + nf]])
-        idx = np.arange(len(rows)) + len(old)                  # position of each new bar
-        ok = idx >= b
-        out, pred = rows[ok], np.array([], dtype=np.float64)
-        if ok.any():
-            win = np.lib.stride_tricks.sliding_window_view(allx, b, axis=0).transpose(0, 2, 1)
-            pred = L.forward(th, win[idx[ok] - b]) * (out[:, -1] - out[:, -2]) + out[:, -2]
-        _keep(state, (allx[-b:].tolist(), later.tolist(), int(rows[-1, 0]) if len(rows) else last_us), later)
-        yield _pairs(key, out, out[:, 1 + nf], pred)
-
-    return _keyed(s, step, state_schema, delay)
+    return _keyed(s, Scores(th, b, len(feats), delay is not None))
 
 
 def emit_pairs(scored: DataFrame, actual: str = "close", predicted: str = "predicted",
@@ -128,22 +193,8 @@ def emit_pairs(scored: DataFrame, actual: str = "close", predicted: str = "predi
     (actual of this bar, prediction made on the previous bar). The first bar
     of a symbol emits nothing."""
     s = _event_time(scored, delay).select("symbol", "ts",
-                      F.col(actual).cast("double").alias("_a"), F.col(predicted).cast("double").alias("_p"))
-    state_schema = T.StructType([T.StructField("prev", T.DoubleType()), T.StructField("held", _ROWS),
-                                 T.StructField("last_us", T.LongType())])
-
-    def step(key, pdfs, state):
-        prev, held, last_us = state.get if state.exists else (None, [], None)
-        passed = None if delay is None else state.getCurrentWatermarkMs() * 1000
-        rows, later = _take(pdfs, ["_a", "_p"], held, last_us, passed)
-        before = np.concatenate([[np.nan if prev is None else prev], rows[:, 2]])
-        keep = ~np.isnan(before[:-1])
-        newest = float(before[-1])
-        _keep(state, (None if np.isnan(newest) else newest, later.tolist(), int(rows[-1, 0]) if len(rows) else last_us),
-              later)
-        yield _pairs(key, rows[keep], rows[keep, 1], before[:-1][keep])
-
-    return _keyed(s, step, state_schema, delay)
+                      F.col(actual).cast("double").alias("value_a"), F.col(predicted).cast("double").alias("value_p"))
+    return _keyed(s, Pairs(delay is not None))
 
 
 def theta_store(spark: SparkSession, path: str, **options) -> VersionedStore:
