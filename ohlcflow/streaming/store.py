@@ -29,18 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-NOTHING = {"version": 0, "batch": -1, "base": None, "deltas": []}
 
+class CommitLog:
+    """Versions as JSON manifests below ``root``/_log."""
 
-class VersionedStore:
-    """Rows of ``schema``; ``order`` says which rows of a key are newest."""
+    nothing: dict = {"version": 0}
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, capacity: int,
-                 keys: Sequence[str] = ("symbol",), order: str = "ts", day: Column | None = None,
-                 max_deltas: int = 8, keep_versions: int = 4):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.capacity, self.keys, self.order, self.day = int(capacity), list(keys), order, day
-        self.max_deltas, self.keep_versions = int(max_deltas), int(keep_versions)
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
         self._jvm = spark._jvm
         self._conf = spark._jsc.hadoopConfiguration()
         self._fs = self._path("").getFileSystem(self._conf)
@@ -65,24 +61,11 @@ class VersionedStore:
         return [int(n[:-5]) for n in self._list("_log") if re.fullmatch(r"\d{20}\.json", n)]
 
     def manifest(self, version: int) -> dict:
-        return self._read_json(f"_log/{version:020d}.json") if version else dict(NOTHING)
+        return self._read_json(f"_log/{version:020d}.json") if version else dict(self.nothing)
 
     def latest(self) -> dict:
         return self.manifest(max(self.versions(), default=0))
 
-    def at_batch(self, batch_id: int) -> dict:
-        """The newest kept version that holds no batch after ``batch_id``."""
-        for v in sorted(self.versions(), reverse=True):
-            m = self.manifest(v)
-            if m["batch"] <= batch_id:
-                return m
-        if self.versions() and min(self.versions()) > 1:
-            raise LookupError(f"the version of batch {batch_id} is no longer kept")
-        return dict(NOTHING)
-
-    def committed(self, batch_id: int) -> bool:
-        return self.latest()["batch"] >= int(batch_id)
-
     def _commit(self, old: dict, **changes) -> dict:
         """Make ``old`` with ``changes`` the next version."""
         new = {**old, **changes, "version": old["version"] + 1}
@@ -98,6 +81,33 @@ class VersionedStore:
         files.rename(self._path(name), self._path(f"_log/{new['version']:020d}.json"), plain)
         return new
 
+
+class VersionedStore(CommitLog):
+    """Rows of ``schema``; ``order`` says which rows of a key are newest."""
+
+    nothing = {"version": 0, "batch": -1, "base": None, "deltas": []}
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, capacity: int,
+                 keys: Sequence[str] = ("symbol",), order: str = "ts", day: Column | None = None,
+                 max_deltas: int = 8, keep_versions: int = 4):
+        super().__init__(spark, root)
+        self.schema = schema
+        self.capacity, self.keys, self.order, self.day = int(capacity), list(keys), order, day
+        self.max_deltas, self.keep_versions = int(max_deltas), int(keep_versions)
+
+    def at_batch(self, batch_id: int) -> dict:
+        """The newest kept version that holds no batch after ``batch_id``."""
+        for v in sorted(self.versions(), reverse=True):
+            m = self.manifest(v)
+            if m["batch"] <= batch_id:
+                return m
+        if self.versions() and min(self.versions()) > 1:
+            raise LookupError(f"the version of batch {batch_id} is no longer kept")
+        return dict(self.nothing)
+
+    def committed(self, batch_id: int) -> bool:
+        return self.latest()["batch"] >= int(batch_id)
+
     # ------------------------------------------------------------ rows
     def _folder(self, name: str) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/data/{name}")
