@@ -6,8 +6,11 @@ tokenizer version) has both. ``signed_deltas`` turns images into additive
 rows (-1 / +1 documents, -n / +n tokens), pre-aggregated per key, so a batch
 of any size becomes one row per (source, lang, tokenizer_version) and task.
 ``RollupStore`` keeps each batch's aggregated deltas in a folder of its own
-below one root; committing a batch id again replaces its folder, so replays
-and retries change nothing. Totals are sums over the committed batches.
+below one root, and in a commit log which folders count. Committing a batch id
+again puts its new folder in place of the old one; the log moves last, in one
+step, so replays and retries change nothing, and a crash leaves the batch as it
+was before. A store opened anew goes on from its log. Totals are sums over the
+committed batches; the log names every batch, a line of text each.
 
 Defined cases: null text counts 0 tokens; null source or language is a key of
 its own; a change whose before and after are both null adds nothing; empty
@@ -17,9 +20,13 @@ whose documents sum to 0 stay out of ``totals``; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..streaming.store import CommitLog
+
 KEYS = ["source", "lang", "tokenizer_version"]
 
 # Tokenizer versions countable by built-in functions: name -> pattern counted.
@@ -48,25 +55,31 @@ def signed_deltas(changes: DataFrame, before: str = "before", after: str = "afte
     return rows.groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
 
 
-class RollupStore:
-    """Committed delta batches below ``root`` (a folder all executors share)."""
+class RollupStore(CommitLog):
+    """Committed delta batches below ``root`` (a folder all executors share);
+    one writer at a time, a second one fails at its commit."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.batches: set[str] = set()
+    nothing = {"version": 0, "batches": {}}
 
     def commit(self, batch_id: str, deltas: DataFrame) -> None:
-        """Write the batch's deltas in place of any earlier commit of it."""
+        """Add the batch's deltas, in place of any earlier commit of it."""
         if not batch_id or not all(c.isalnum() or c in "-_" for c in batch_id):
             raise ValueError(f"batch id {batch_id!r}: letters, digits, - and _ only")
-        deltas.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
-        self.batches.add(batch_id)
+        old, folder = self.latest(), f"{batch_id}.{uuid.uuid4().hex}"
+        deltas.write.parquet(f"{self.root}/data/{folder}")
+        new = self._commit(old, batches={**old["batches"], batch_id: folder})
+        for v in self.versions():
+            if v < new["version"]:
+                self._fs.delete(self._path(f"_log/{v:020d}.json"), False)
+        for name in set(self._list("data")) - set(new["batches"].values()):
+            self._fs.delete(self._path(f"data/{name}"), True)
 
     def deltas(self) -> DataFrame:
-        schema = ", ".join(f"{k} string" for k in KEYS) + ", d_docs bigint, d_tokens bigint, batch string"
-        if not self.batches:
+        schema = ", ".join(f"{k} string" for k in KEYS) + ", d_docs bigint, d_tokens bigint"
+        folders = sorted(self.latest()["batches"].values())
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.root)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/data/{f}" for f in folders])
 
     def totals(self) -> DataFrame:
         """KEYS, n_docs, n_tokens over all committed batches."""

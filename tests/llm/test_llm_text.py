@@ -195,6 +195,20 @@ def test_rollup_commits_are_idempotent(spark, tmp_path):
     store.commit("b3", token_counts.signed_deltas(df.where("doc_id = 2").select(img.alias("before"), none.alias("after"))))
     store.commit("b2", rev)
     store.commit("b4", token_counts.signed_deltas(df.select(none.alias("before"), none.alias("after"))))
+    reopened = token_counts.RollupStore(spark, str(tmp_path / "roll"))       # as after a restart
+    assert sorted(map(str, reopened.totals().collect())) == sorted(map(str, store.totals().collect()))
+    commit = token_counts.RollupStore._commit
+
+    def crash(*args, **kw):
+        raise OSError("lost")
+    token_counts.RollupStore._commit = crash
+    try:                                       # the batch stays as it was committed
+        with pytest.raises(OSError):
+            store.commit("b2", ins)
+    finally:
+        token_counts.RollupStore._commit = commit
+    reopened.commit("b2", rev)
+    assert len(reopened._list("data")) == 4
     got = sorted((r.source or "", r.lang, r.tokenizer_version, r.n_docs, r.n_tokens) for r in store.totals().collect())
     assert got == [("", "de", "v1", 1, None), ("s1", "fr", "v2", 1, 6)] or got == [("", "de", "v1", 1, 0), ("s1", "fr", "v2", 1, 6)]
 
