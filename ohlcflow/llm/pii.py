@@ -8,10 +8,10 @@ behind a key word. It is trained from a small labelled table (``training_rows``,
 by rule from templates) by maximum likelihood and decoded by Viterbi, both in
 numpy over padded batches of lines.
 
-A span can only start at a word with a digit, an "@" or a bracketed "at", as the
-transition scores of the labels are fixed to that end; a line without such a
-word therefore decodes to "outside" throughout and needs no decoding, and other
-lines are decoded in stretches around such words. Spans of the field that touch
+A span may start at any word and covers the whole of an address, its local part
+included. Lines are decoded in stretches around words that can belong to a span
+(a digit, an "@", a spelt-out "at" or "dot", a key word with a colon or equals
+sign), which grow while a span reaches their end. Spans of the field that touch
 a base span are dropped; base spans always stay.
 
 Defined cases: null text is empty and has no spans; repeated rows give repeated
@@ -89,11 +89,13 @@ LABELS = ["O"] + [f"{p}-{k}" for k in ADDED for p in "BI"]
 N = len(LABELS)
 _WORD = re.compile(r"\S+")
 _TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]", re.I)
+# What makes a stretch of a line worth decoding; spans may start at any word.
+_SIGN = re.compile(_TRIGGER.pattern + r"|\bdot\b|\b(?:password|passwd|passphrase|secret|token|key)\b\W{0,2}[:=]", re.I)
 LOW = -1e4
 # Which labels may follow and start: I-x only after B-x or I-x.
 ALLOWED = np.array([[not b.startswith("I") or a[2:] == b[2:] for b in LABELS] for a in LABELS])
 CUES = ("call", "phone", "tel", "fax", "mail", "email", "contact", "at", "dot", "ssn", "passport", "id", "no",
-        "iban", "account", "token", "password", "secret", "key", "api", "write", "reach")
+        "iban", "account", "token", "password", "secret", "key", "api", "write", "reach", "passwd", "passphrase")
 FEATURES = 1 << 12
 PLACES = 1 << 13         # padded words in one batch of lines
 
@@ -124,9 +126,19 @@ def features(words: list[str]) -> list[list[int]]:
     out = []
     for i, (s, d, cue, trig) in enumerate(own):
         names = [f"s:{s}", f"d:{d}", f"c:{cue}", f"t:{trig}"]
-        for o in (-2, -1, 1):
+        for o in (-3, -2, -1, 1, 2, 3):
             if 0 <= i + o < len(own):
                 names += [f"{o}c:{own[i + o][2]}", f"{o}t:{own[i + o][3]}"]
+        # Where "at" and "dot" stand around the word.
+        around = [own[k][2] if 0 <= k < len(own) else "-" for k in range(i - 3, i + 4)]
+        spelt = "".join({"at": "A", "dot": "D"}.get(c, "-") for c in around)
+        if "A" in spelt and "D" in spelt:
+            names += [f"ad:{spelt}", f"ad:{spelt[2:5]}", f"ad:{spelt[3:]}", f"ad:{spelt[:4]}"]
+        for o in (-2, -1, 0):
+            if 0 <= i + o:
+                names.append(f"{o}e:{words[i + o][-1] if words[i + o][-1] in ':=' else '-'}")
+        if i:
+            names.append(f"ce:{own[i - 1][2]}{words[i - 1][-1] if words[i - 1][-1] in ':=' else '-'}")
         for o in (-1, 1):
             if 0 <= i + o < len(own):
                 names.append(f"{o}d:{own[i + o][1]}")
@@ -139,7 +151,7 @@ def features(words: list[str]) -> list[list[int]]:
     return out
 
 
-def training_rows(seed: int = 11, n: int = 600) -> list[list[tuple[str, str]]]:
+def training_rows(seed: int = 11, n: int = 1500) -> list[list[tuple[str, str]]]:
     """The small labelled table: lines of (word, label), made from templates."""
     r = np.random.RandomState(seed)
 
@@ -157,16 +169,23 @@ def training_rows(seed: int = 11, n: int = 600) -> list[list[tuple[str, str]]]:
 
     forms = {
         "email": lambda: pick([f"{word()} [at] {word()} [dot] com", f"{word()}{digits(2)} (at) {word()} (dot) org",
-                               f"{word()} @ {word()} . net", f"{word()}(at){word()}.com"]),
+                               f"{word()} @ {word()} . net", f"{word()}(at){word()}.com",
+                               f"{word()}.{word()} [at] {word()} [dot] com", f"{word()} at {word()} dot org",
+                               f"{word()}.{word()} at {word()} dot com", f"{word()}_{word()} (at) {word()}.net",
+                               f"{word()} at {word()} dot {pick(['com', 'org', 'net', 'de', 'io'])}"]),
         "phone": lambda: pick([f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}",
                                f"{digits(3)}.{digits(3)}.{digits(4)}", f"0{digits(3)}/{digits(6)}"]),
         "id": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
         "account": lambda: pick([f"DE{digits(20)}", f"FR{digits(2)} {digits(4)} {digits(4)} {digits(4)} {digits(4)}"]),
-        "secret": lambda: pick([hexa(18), f'"{hexa(40)}"', hexa(32)]),
+        "secret": lambda: pick([hexa(18), f'"{hexa(40)}"', hexa(32), word().title() + "!", word() + digits(2), word(),
+                                f"{word()}-{word()}-{digits(2)}", word().title() + digits(4) + "#"]),
     }
-    lead = {"email": ["email", "mail", "contact", "write", ""], "phone": ["call", "tel", "phone", "fax", ""],
+    lead = {"email": ["email", "mail", "contact", "write", "write to", "reach", "reach me:", "mail to", ""], "phone": ["call", "tel", "phone", "fax", ""],
             "id": ["ssn", "passport", "id", ""], "account": ["iban", "account", ""],
-            "secret": ["token =", "password:", "api key", "secret ="]}
+            "secret": ["token =", "password:", "api key =", "secret =", "key:", "passwd =", "passphrase:", "Password:"]}
+    prose = ["met at noon", "look at the dot on it", "a password is needed", "your token expired", "the key to it", "call me",
+             "no secret at all", "the account of it", "at last", "mail came late", "write soon", "key: see below the map",
+             "contact us at the office", "polka dot dress", "id no longer needed"]
     plain = [lambda: word(), lambda: word().title(), lambda: word() + ",", lambda: digits(r.randint(1, 5)),
              lambda: f"{digits(1)}.{digits(2)}", lambda: f"{digits(4)}-{digits(2)}-{digits(2)}", lambda: f"{digits(2)}:{digits(2)}",
              lambda: f"A{digits(2)}", lambda: f"{digits(3)},{digits(3)}", lambda: digits(16), lambda: f"{digits(2)}.{digits(3)}.{digits(2)}.{digits(2)}",
@@ -179,16 +198,13 @@ def training_rows(seed: int = 11, n: int = 600) -> list[list[tuple[str, str]]]:
         def filler(k):
             for _ in range(k):
                 p = plain[0] if r.rand() < 0.6 else pick(plain)
-                line.extend((w, "O") for w in p().split())
+                line.extend((w, "O") for w in (pick(prose) if r.rand() < 0.12 else p()).split())
 
         filler(r.randint(0, 8))
         if r.rand() < 0.6:
             kind = ADDED[r.randint(0, len(ADDED))]
             line.extend((w, "O") for w in pick(lead[kind]).split())
             words = forms[kind]().split()
-            if kind == "email" and len(words) > 1 and not _TRIGGER.search(words[0]):
-                line.append((words[0], "O"))     # a span starts at its first marked word
-                words = words[1:]
             line.extend((w, ("I-" if i else "B-") + kind) for i, w in enumerate(words))
         filler(r.randint(0, 8))
         if line:
@@ -201,11 +217,9 @@ def _emissions(lines: list[list[str]], weights: np.ndarray):
     feats = [features(w) for w in lines]
     size = np.array([len(w) for w in lines])
     e = np.zeros((len(lines), size.max(), N))
-    for i, (f, w) in enumerate(zip(feats, lines)):
+    for i, f in enumerate(feats):
         for j, row in enumerate(f):
             e[i, j] = weights[row].sum(0)
-            if not _TRIGGER.search(w[j]):
-                e[i, j, [k for k, name in enumerate(LABELS) if name[0] == "B"]] = LOW
     return e, size, feats
 
 
@@ -280,54 +294,77 @@ def viterbi(model: dict, lines: list[list[str]]) -> list[list[str]]:
     return out
 
 
+_REACH = 8
+
+
+def _parts(words, reach: int = _REACH):
+    """(from, to) of the stretches of a line around words with a sign: four
+    words on the left, ``reach`` on the right."""
+    line = " ".join(w for _, w in words)
+    ends = np.cumsum([len(w) + 1 for _, w in words])
+    hot = sorted({int(np.searchsorted(ends, m.start(), side="right")) for m in _SIGN.finditer(line)})
+    parts, a = [], None
+    for j in hot:
+        if a is None or j - 4 > b:
+            if a is not None:
+                parts.append((a, b))
+            a = max(0, j - 4)
+        b = min(len(words), j + reach + 1)
+    return parts + ([(a, b)] if a is not None else [])
+
+
 def field_spans(model: dict, texts: list[str]) -> list[list[tuple[str, int, int]]]:
-    """Spans the field finds in whole texts, line by line. A line whose words
-    hold no trigger is "outside" by construction and skipped."""
-    todo, out = [], [[] for _ in texts]
+    """Spans the field finds in whole texts, in stretches of lines around words
+    that can belong to one. A stretch whose last word is in a span is decoded
+    again, twice as long, until the span ends or the line does."""
+    lines, todo, found = [], [], []
     for i, text in enumerate(texts):
         at = -1
-        for m in _TRIGGER.finditer(text):
+        for m in _SIGN.finditer(text):
             if m.start() < at:
                 continue
             a = text.rfind("\n", 0, m.start()) + 1
-            at = text.find("\n", m.start())
+            at = text.find("\n", m.end())
             at = len(text) if at < 0 else at
             words = [(w.start() + a, w[0]) for w in _WORD.finditer(text[a:at])]
-            todo += [(i, part) for part in _parts(words)]
-    todo.sort(key=lambda x: len(x[1]))
-    a = 0
-    while a < len(todo):
-        b = a + 1                                # lines of like length, padded, fill a batch
-        while b < len(todo) and (b + 1 - a) * len(todo[b][1]) <= PLACES:
-            b += 1
-        some, a = todo[a:b], b
-        for (i, words), path in zip(some, viterbi(model, [[w for _, w in ws] for _, ws in some])):
-            for j, label in enumerate(path):
-                if label[0] == "B":
-                    k = j + 1
-                    while k < len(path) and path[k] == "I" + label[1:]:
-                        k += 1
-                    end = words[k - 1][0] + len(words[k - 1][1].rstrip(".,;:!?"))
-                    out[i].append((label[2:], words[j][0], end))
-    return [sorted(x, key=lambda s: (KINDS.index(s[0]), s[1])) for x in out]
-
-
-_REACH = 8
-
-
-def _parts(words):
-    """The stretches of a line that can hold a span: words within ``_REACH``
-    of a trigger on the left, two of context on the right. A span has no gap
-    of that many words, so what lies between is outside."""
-    hot = [j for j, (_, w) in enumerate(words) if _TRIGGER.search(w)]
-    parts, a = [], None
-    for j in hot:
-        if a is None or j - 3 > b:
-            if a is not None:
-                parts.append(words[a:b])
-            a = max(0, j - 3)
-        b = min(len(words), j + _REACH + 1)
-    return parts + ([words[a:b]] if a is not None else [])
+            todo += [(len(lines), *part) for part in _parts(words)]
+            lines.append((i, words))
+    while todo:
+        todo.sort(key=lambda x: x[2] - x[1])
+        a, again = 0, []
+        while a < len(todo):
+            b = a + 1                            # stretches of like length, padded, fill a batch
+            while b < len(todo) and (b + 1 - a) * (todo[b][2] - todo[b][1]) <= PLACES:
+                b += 1
+            some, a = todo[a:b], b
+            paths = viterbi(model, [[w for _, w in lines[n][1][x:z]] for n, x, z in some])
+            for (n, x, z), path in zip(some, paths):
+                if path[-1] != "O" and z < len(lines[n][1]):
+                    again.append((n, x, min(len(lines[n][1]), z + (z - x))))
+                else:
+                    found.append((n, x, path))
+        todo = again
+    out: list[set] = [set() for _ in texts]
+    for n, x, path in found:
+        i, words = lines[n]
+        for j, label in enumerate(path):
+            if label[0] == "B":
+                k = j + 1
+                while k < len(path) and path[k] == "I" + label[1:]:
+                    k += 1
+                end = words[x + k - 1][0] + len(words[x + k - 1][1].rstrip(".,;:!?"))
+                out[i].add((label[2:], words[x + j][0], max(end, words[x + j][0] + 1)))
+    return [_apart(sorted(s, key=lambda s: (s[1], -s[2]))) for s in out]
+
+
+def _apart(spans):
+    """Of overlapping spans (of stretches that grew into each other) the first
+    and longest, by kind, then start."""
+    out = []
+    for s in spans:
+        if not out or s[1] >= out[-1][2]:
+            out.append(s)
+    return sorted(out, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
 def all_spans(model: dict, texts: list) -> list[tuple[list, list]]:
