@@ -20,7 +20,9 @@ entries takes no part; where lengths differ, the most frequent length does
 vec_id is a row like others; components are those whose eigenvalue is above
 rounding level (d * 2^-52 of the largest), so a table without variance, or
 without rows, gives none; entries beyond 2^52 after scaling are cut to it;
-deviations that pass 64 bits are null; eigenvectors of equal eigenvalues are
+deviations that pass 64 bits (some 10^6
+rows do it) are null in ``deviation`` and whole in ``deviation_exact``, null
+there beyond 38 digits; eigenvectors of equal eigenvalues are
 any orthonormal ones, their largest entry positive; other columns are ignored.
 """
 
@@ -39,6 +41,7 @@ NODES = 16                 # quadrature points on the half circle
 ROUNDS = 40                # of one block size
 EPS = np.finfo(float).eps
 LARGE = 2.0 ** 52
+EXACT = "decimal(38,0)"
 
 
 # ------------------------------------------------------------------ eigenpairs
@@ -174,7 +177,7 @@ def _centred(x: np.ndarray, n: int, total: list[int]) -> np.ndarray:
 
 
 def _deviation(x: np.ndarray, n: int, total: list[int]) -> list:
-    """Sums of (n * x - total)^2, exact; None beyond 64 bits."""
+    """Sums of (n * x - total)^2, exact, of any size."""
     whole = np.array([s // n for s in total], np.int64)
     near = x - whole
     if not len(x):
@@ -184,7 +187,7 @@ def _deviation(x: np.ndarray, n: int, total: list[int]) -> list:
         d = near * n - np.array([s % n for s in total], np.int64)
         return (d * d).sum(1).tolist()
     d = near.astype(object) * n - np.array([s % n for s in total], object)
-    return [int(v) if v < 2 ** 63 else None for v in (d * d).sum(1)]
+    return [int(v) for v in (d * d).sum(1)]
 
 
 def sums(rows: DataFrame, scale: int, shift: int) -> tuple[int, int, list[int]]:
@@ -241,14 +244,15 @@ def covariance(products: np.ndarray, n: int) -> np.ndarray:
 
 def whiten(df: DataFrame, components: int = COMPONENTS, scale: int = SCALE, shift: int = SHIFT,
            id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id, component, n, deviation, whitened, explained, identity_error of
-    every usable row and component."""
+    """vec_id, component, n, deviation, whitened, explained, identity_error and
+    deviation_exact (decimal) of every usable row and component."""
     rows = df.select(F.col(id_col).cast("bigint").alias("_id"), F.col(vector_col).alias("_vec"))
     n, dim, total = sums(rows, scale, shift)
     schema = ("vec_id long, component int, n long, deviation long, whitened double, explained double, "
-              "identity_error double")
+              "identity_error double, deviation_exact string")
+    none = df.sparkSession.createDataFrame([], schema).withColumn("deviation_exact", F.col("deviation_exact").cast(EXACT))
     if not n:
-        return df.sparkSession.createDataFrame([], schema)
+        return none
 
     def centred(batch):
         for _, _, x in _vectors(batch, scale, shift, dim):
@@ -257,7 +261,7 @@ def whiten(df: DataFrame, components: int = COMPONENTS, scale: int = SCALE, shif
     v = covariance(_products(rows, dim, centred), n)
     value, vector = leading(v, components)
     if not len(value):
-        return df.sparkSession.createDataFrame([], schema)
+        return none
     turn = vector / np.sqrt(value)
     check = covariance(_products(rows, len(value), lambda b: (c @ turn for c in centred(b))), n)
     error = float(np.abs(check - np.eye(len(value))).max())
@@ -272,12 +276,15 @@ def whiten(df: DataFrame, components: int = COMPONENTS, scale: int = SCALE, shif
                 if not m:
                     continue
                 each = np.repeat(np.arange(m), k)
-                deviation = pa.array(_deviation(x, n, total), pa.int64())
+                exact = _deviation(x, n, total)
+                deviation = pa.array([v if v < 2 ** 63 else None for v in exact], pa.int64())
+                exact = pa.array([str(v) for v in exact], pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(at[each])), pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), m)),
                      pa.array(np.full(m * k, n, np.int64)), deviation.take(pa.array(each)),
                      pa.array((_centred(x, n, total) @ turn).ravel()), pa.array(np.tile(explained, m)),
-                     pa.array(np.full(m * k, error))],
-                    names=["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"])
+                     pa.array(np.full(m * k, error)), exact.take(pa.array(each))],
+                    names=["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error",
+                           "deviation_exact"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).withColumn("deviation_exact", F.expr(f"try_cast(deviation_exact AS {EXACT})"))

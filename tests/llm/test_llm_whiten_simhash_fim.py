@@ -251,6 +251,7 @@ def check_whitened(got, rows):
     k = len(e)
     assert len(got) == n * k and {r.n for r in got} == {n} and {r.component for r in got} == set(range(1, k + 1))
     assert sorted((str(r.vec_id), r.deviation) for r in got if r.component == 1) == sorted((str(i), v) for i, v in dev)
+    assert all(r.deviation_exact == r.deviation for r in got)
     assert all(abs(r.explained - e[r.component - 1] / trace) < 1e-9 for r in got)
     assert max(r.identity_error for r in got) < 1e-8 and len({r.identity_error for r in got}) == 1
     for c in range(1, k + 1):
@@ -270,7 +271,7 @@ def test_whitening_matches_brute_force(spark):
              (205, [float("inf")] * 12), (None, rows[3][1]), (7, rows[7][1])]
     df = spark.createDataFrame([(i, v, "x", "y") for i, v in rows], VEC).repartition(5)
     out = whitening.whiten(df)
-    assert out.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    assert out.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error", "deviation_exact"]
     check_whitened(out.collect(), rows)
 
 
@@ -287,6 +288,14 @@ def test_whitening_odd_tables(spark):
     assert len(got) == 6
     far = [[1e6 * i, -5e5 * i * i] for i in range(40)]                               # beyond 32 bits
     assert {r.component for r in whitening.whiten(rows(far)).collect()} == {1, 2}
+    wide = [[1.5e5 * i, 1.0 * (i % 3)] for i in range(30)]                             # deviations of 20 digits
+    got = {r.vec_id: r for r in whitening.whiten(rows(wide)).collect()}
+    x = [[int(1024 * c) + 100000 for c in v] for v in wide]
+    s = [sum(c) for c in zip(*x)]
+    for i, v in enumerate(x):
+        want = sum((30 * c - t) ** 2 for c, t in zip(v, s))
+        assert int(got[i].deviation_exact) == want and got[i].deviation == (want if want < 2 ** 63 else None)
+    assert any(r.deviation is None for r in got.values()) and any(r.deviation is not None for r in got.values())
     ends = whitening.whiten(rows([[1e300, 1.0], [-1e300, 0.0], [0.0, 0.0]])).collect()
     assert ends and ends[0].deviation is None
 
