@@ -657,6 +657,63 @@ def test_html_text_odd_pages(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+def of_host(pages, tokens=lambda rows: rows):
+    """The main texts of the pages of one host, their template counted in plain Python."""
+    found = {}
+    for p in set(pages):
+        for key, parent, tag, n, *sizes in html_text.token_counts(p):
+            r = found.setdefault(key, [key, parent, tag, 0, 0, [], 0, 0, 0, 0])
+            r[3], r[4] = r[3] + 1, max(r[4], n)
+            r[5].append((p, n))
+            r[6:] = [x + y for x, y in zip(r[6:], sizes)]
+    n = len(set(pages))
+    rows = [[*r[:5], tuple(sorted(r[5])), *r[6:]] for r in found.values()
+            if r[3] * (2 if r[2] is None else html_text.LAYOUTS) >= n and (r[3] >= 2 or n == 1 and r[2] is not None)]
+    template = html_text.Template(n, tokens(rows))
+    return [html_text.article(p, template) for p in pages]
+
+
+def by_host(rows):
+    hosts = {}
+    for i, r in enumerate(rows):
+        hosts.setdefault(re.match(r"https?://([^/?#]*)", r.url)[1].lower(), []).append(i)
+    return hosts.values()
+
+
+def test_html_text_equals_brute_force(spark):
+    """Fingerprints and shuffled sums against vectors held whole."""
+    rng = random.Random(8)
+    layouts = ['<body><div class="a"><h1>{0}</h1><p>{1}</p><p>{2}</p></div><div class="z"><a href="/">{3}</a></div><p>One line</p></body>',
+               '<body><p>One line</p><div class="b">{0}<ul class="l"><li><a>{1}</a></li></ul><p>{2}<p>{3}</div></body>', "<p>{0}<br>{1}", "{2}"]
+    rows = [(i, f"http://{rng.choice('abc')}.example/{i}", rng.choice(layouts).format(*[words(rng, rng.randrange(30), 500) for _ in range(4)]))
+            for i in range(60)]
+    rows += [(100 + i, r[1], r[2]) for i, r in enumerate(rows[:20])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    data = df.collect()
+    for some in by_host(data):
+        for i, text in zip(some, of_host([data[i].html for i in some])):
+            assert got[data[i].page_id] == text
+
+
+def test_template_decides_not_the_lists(spark, monkeypatch):
+    """Without the fixed names the articles are found all the same; without
+    the template, on pages whose boilerplate bears no such name, they are not."""
+    data = spark.read.parquet(f"{SF}/pages.parquet").collect()
+
+    def right(pages, tokens=lambda rows: rows):
+        return sum(t == article_of(data[i].html) for some in by_host(data)
+                   for i, t in zip(some, of_host([pages[i] for i in some], tokens)))
+
+    pages = [r.html for r in data]
+    plain = [re.sub(r"<(/?)(?:nav|footer)>", r"<\1div>", p).replace('<div class="ad">', '<div class="x">') for p in pages]
+    assert right(plain) >= 0.95 * len(data)
+    assert right(plain, lambda rows: [r for r in rows if r[0] == html_text.ROOT]) == 0
+    monkeypatch.setattr(html_text, "MARKS", set())
+    monkeypatch.setattr(html_text, "NOT_ARTICLE", set())
+    assert right(pages) >= 0.95 * len(data)
+
+
 @pytest.mark.parametrize("box, kind", [('<div class="comments">', "comment"), ("<div>", "comment"), ("<div>", "teaser")])
 def test_articles_that_are_none(box, kind):
     """The story in a div, comments or teasers as article elements."""
@@ -666,30 +723,58 @@ def test_articles_that_are_none(box, kind):
     pages = [f'<html><body><div class="story"><p>{s}</p></div>{box}'
              + "".join(f'<article class="{kind}"><p>{x}</p></article>' for x in m) + "</div></body></html>"
              for s, m in zip(story, more)]
-    for got in (html_text.extract(pages), [html_text.extract([p])[0] for p in pages]):
+    for got in (of_host(pages), [of_host([p])[0] for p in pages]):
         assert all(t.startswith(s) for t, s in zip(got, story))
         assert kind != "comment" or got == story
 
 
-def test_boilerplate_inside_articles(spark):
-    """Lines that all pages of a host share are no article text, also in the
-    pages that a chunk of 64 would leave over; copies of one page keep theirs."""
+@pytest.mark.parametrize("pages", [1, 2, 3, 9])
+@pytest.mark.parametrize("start, end", [
+    ('<div id="social-security"><article><h1>{0}</h1>', "</article></div>"),
+    ('<article class="related-story-card main-article"><h1>{0}</h1>', "</article>"),
+    ("<article><header><h1>{0}</h1></header>", "</article>"),
+    ('<div class="post"><header><h1>{0}</h1></header><p class="by">by <a href="/u">u{0}</a></p><div class="body">', "</div></div>")])
+def test_articles_in_marked_elements(pages, start, end):
+    rng = random.Random(5)
+    story = [words(rng, 60, 9999) for _ in range(pages)]
+    html = [f'<body><nav><a href="/">Home</a></nav>{start.format(f"Head {i}")}<p>{s[:150]}</p><p>{s[150:]}</p>{end}'
+            f"<footer>&copy; {i} us</footer></body>" for i, s in enumerate(story)]
+    assert of_host(html) == [f"Head {i} {s[:150].strip()} {s[150:].strip()}" for i, s in enumerate(story)]
+
+
+@pytest.mark.parametrize("pages", [2, 3, 6, 66])
+def test_boilerplate_inside_articles(spark, pages):
+    """Lines that all pages of a host share are no article text, whatever their
+    number; copies of one page keep theirs."""
     rng = random.Random(4)
-    story = [words(rng, 40, 9999) for _ in range(html_text.CHUNK + 2)]
-    rows = [(i, "http://a.example/p", f"<html><body><article><p>{s}</p><p>Read more on our site</p></article></body></html>")
+    story = [words(rng, 40, 9999) for _ in range(pages)]
+    rows = [(i, f"http://a.example/p{i}", f"<html><body><article><p>{s}</p><p>All rates are in euro.</p></article></body></html>")
             for i, s in enumerate(story)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = {r.page_id: r.text for r in html_text.main_text(df.withColumn("url", F.concat("url", "page_id"))).collect()}
-    assert got == dict(enumerate(story))
-    assert html_text.extract([rows[0][2]] * 6) == [f"{story[0]} Read more on our site"] * 6
+    assert {r.page_id: r.text for r in html_text.main_text(df).collect()} == dict(enumerate(story))
+    assert of_host([rows[0][2]] * 6) == [f"{story[0]} All rates are in euro."] * 6
 
 
 def test_equivalence_classes_nest():
-    pages = [html_text.tokens("<div><ul>" + "<li>x</li>" * n + "</ul><p>t</p></div>") for n in (1, 3, 2, 5)]
-    skeleton, nested = html_text.template_of(pages)
-    names = [n for _, n in skeleton]
-    assert names.index("<div >") < names.index("<ul >") < names.index("<p >") < names.index("</div>")
-    assert ("/div/ul", "<li >") in nested and ("/div/ul", "<li >") not in skeleton
+    pages = ["<div><ul>" + "<li>x</li>" * n + f"</ul><p>t {n}</p><p class='s'>s</p></div>" for n in (1, 3, 2, 5)]
+    seen = []
+
+    def keep(rows):
+        seen.extend(rows)
+        return rows
+
+    of_host(pages, keep)
+    t = html_text.Template(4, seen)
+    names = {k: t.roles[k][2] for k in t.skeleton}
+    assert sorted(names.values()) == ["", "div", "p", "p", "ul"]       # li is repeated
+    assert {names[p] for k, p in t.above.items() if names[k] in ("p", "ul")} == {"div"}
+    assert len(t.texts) == 2                                           # "x", of the class of li, and "s"
+
+
+def test_html_deep_and_long_pages():
+    deep = "<div>" * 20000 + "core text" + "</div>" * 20000
+    assert of_host([deep]) == ["core text"]
+    assert len(of_host(["<p>" + "word " * 300000])[0]) == 5 * 300000 - 1
 
 
 def test_json_vocabulary_is_used():
