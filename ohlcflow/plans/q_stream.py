@@ -11,6 +11,7 @@ from ..operators import lstm as L
 from ..schema import BAR_COLUMNS
 from ..operators.series import index_series
 from ..session import materialize, scratch_path
+from ..sources import codec
 from ..streaming import ingest as S
 from ..streaming import stateful as ST
 from . import forecast
@@ -67,6 +68,47 @@ def q_stream_ingest(spark, sf_dir):
     return rounded(_ntz(spark.read.parquet(out).select(*BAR_COLUMNS)))
 
 
+def _messages(bars):
+    """Bars as bus messages (symbol, value)."""
+    return codec.encode_bars_wire(bars, keep=["symbol"])
+
+
+@register("stream_bus", f"SELECT {BAR_R6} FROM ({H})")
+def q_stream_bus(spark, sf_dir):
+    """S4 + S7: a consumer of the message log, paced by a limit a micro-batch,
+    is stopped half-way, more is published, and it goes on from its checkpoint:
+    every message comes once."""
+    bars = stored_hourly(spark, sf_dir)
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "bus-out")
+    day = F.dayofmonth("ts") % 2
+    limit = max(1, bars.count() // 8)
+    for k in range(2):
+        S.publish_bus(_messages(bars.where(day == k)), topic)
+        stream = S.decode_stream(S.bus_stream(spark, topic, limit, "replay"))
+        q, _ = S.start(stream, f"bus-{k}", spark, foreach_batch=S.idempotent_batch_writer(out), processing_time="0 seconds",
+                       available_now=False, out_path=topic + "-query")
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    return rounded(_ntz(spark.read.parquet(out).select(*BAR_COLUMNS)))
+
+
+@register("stream_publish_bus", f"""SELECT b.*, count(*) OVER () AS messages, count(*) OVER () - 1 AS last_offset
+  FROM (SELECT {BAR_R6} FROM ({H})) b""")
+def q_stream_publish_bus(spark, sf_dir):
+    """K2: a stream of bars published to the message log and read back whole,
+    with the number of different offsets and the last of them."""
+    path, topic = scratch_path(spark, "bars"), scratch_path(spark, "topic")
+    hourly(spark, sf_dir).write.parquet(path)
+    stream = S.table_stream(spark, path, max_files_per_trigger=2)
+    S.run_to_completion(S.publish_bus_stream(_messages(stream), topic, "bars", scratch_path(spark, "publish")))
+    got = S.bus_table(spark, topic)
+    n, last = got.agg(F.countDistinct("offset"), F.max("offset")).first()
+    bars = S.decode_stream(got.select("symbol", "value")).withColumns({"messages": F.lit(n), "last_offset": F.lit(last)})
+    return rounded(_ntz(bars.select(*BAR_COLUMNS, "messages", "last_offset")))
+
+
 @register("stream_rolling", f"""SELECT {BAR_R6} FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM ({H})) WHERE rn <= 288""")
 def q_stream_rolling(spark, sf_dir):

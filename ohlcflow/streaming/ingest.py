@@ -19,6 +19,7 @@ from ..operators import bars as B
 from ..schema import BAR
 from ..session import scratch_path
 from ..sources import codec
+from ..sources.bus import register_bus
 from .store import VersionedStore
 
 
@@ -79,6 +80,41 @@ def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
                         F.get_json_object("value", "$.value").alias("value"))
 
 
+def bus_stream(spark: SparkSession, topic: str, limit: int | None = None, group: str | None = None,
+               starting: int = 0) -> DataFrame:
+    """S4 + S7: (symbol, value, offset) messages of a topic of the message log,
+    ``limit`` a micro-batch (then with the name of the reading ``group``)."""
+    register_bus(spark)
+    r = spark.readStream.format("bus").option("startingOffset", int(starting))
+    if limit:
+        r = r.option("maxMessagesPerTrigger", int(limit)).option("group", group)
+    return r.load(topic)
+
+
+def bus_table(spark: SparkSession, topic: str, start: int = 0, end: int | None = None) -> DataFrame:
+    """The messages of a topic from offset ``start`` up to ``end``."""
+    register_bus(spark)
+    r = spark.read.format("bus").option("startingOffset", int(start))
+    return (r if end is None else r.option("endingOffset", int(end))).load(topic)
+
+
+def publish_bus(messages: DataFrame, topic: str) -> None:
+    """K2: append (symbol, value) messages to a topic in one commit."""
+    register_bus(messages.sparkSession)
+    messages.select("symbol", "value").write.format("bus").mode("append").save(topic)
+
+
+def publish_bus_stream(messages: DataFrame, topic: str, writer: str, checkpoint: str,
+                       processing_time: str | None = None) -> StreamingQuery:
+    """K2: append a stream of messages; every micro-batch is committed once
+    however often it is replayed under the same ``writer``."""
+    register_bus(messages.sparkSession)
+    w = (messages.select("symbol", "value").writeStream.format("bus").option("writer", writer)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    return w.start(topic)
+
+
 # ---------------------------------------------------------------- operators
 
 def with_event_time(stream: DataFrame, delay: str, col: str = "ts") -> DataFrame:
