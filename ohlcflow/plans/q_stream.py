@@ -105,7 +105,7 @@ def q_stream_publish_bus(spark, sf_dir):
     S.run_to_completion(S.publish_bus_stream(_messages(stream), topic, "bars", scratch_path(spark, "publish")))
     got = S.bus_table(spark, topic)
     n, last = got.agg(F.countDistinct("offset"), F.max("offset")).first()
-    bars = S.decode_stream(got.select("symbol", "value")).withColumns({"messages": F.lit(n), "last_offset": F.lit(last)})
+    bars = S.decode_stream(got.select("symbol", "value")).withColumns({"messages": F.lit(n).cast("bigint"), "last_offset": F.lit(last).cast("bigint")})
     return rounded(_ntz(bars.select(*BAR_COLUMNS, "messages", "last_offset")))
 
 

@@ -1,6 +1,7 @@
 """Text operators against brute force on small document sets."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from ohlcflow.functions.text import add_terms, english_stop_words
 from ohlcflow.operators import classify as CL
 from ohlcflow.operators import text as TX
+from ohlcflow.session import scratch_path
 
 DOCS = [
     (1, "a", "The cat sat on the mat. The cat ran!", "train"),
@@ -161,3 +163,59 @@ def test_hashed_learners_separate_labels_and_score_unlabelled(spark):
     for m in models:
         got = {r.doc_id: r.predicted for r in CL.predict(m, test).collect()}
         assert (got[1], got[2], got[3]) == ("x", "y", "x") and got[4] in ("x", "y")
+
+
+def test_fold_fits_see_their_own_rows_only(spark, monkeypatch):
+    """Document frequencies, class weights and regParam of every fold's fit
+    equal those of a separate fit; the tuned model stores and loads."""
+    rng = random.Random(2)
+    rows = [(i, lab, " ".join(rng.choice(f"{lab}a {lab}b c d e".split()) for _ in range(8))) for i in range(60)
+            for lab in ("x", "y", "x")[:1 + i % 3]]
+    train = spark.createDataFrame([(k, lab, t) for k, (_, lab, t) in enumerate(rows)], "doc_id long, label string, text string")
+    seen = []
+    plain = CL.logistic
+
+    class Spy:
+        def __init__(self, C, n, lr):
+            self.C, self.n, self.lr = C, n, lr
+
+        def fit(self, df):
+            seen.append((self.C, self.n, df.select("label_index", "weight", "features").collect()))
+            return self.lr.fit(df)
+
+    def logistic(C, n, max_iter=100):
+        calls.append(1)
+        lr = plain(C, n, max_iter)
+        return lr if len(calls) == 1 else Spy(C, n, lr)                # the first is the grid's
+
+    calls = []
+    monkeypatch.setattr(CL, "logistic", logistic)
+    model = CL.tune_logistic(train, (1.0, 2.0), 3, hashed=64, max_iter=20)
+    folds = train.withColumn("fold", CL.fold_of("doc_id", 3))
+    want = []
+    for part in [folds.where(F.col("fold") != f) for f in range(3)] + [folds]:
+        prep = CL.Pipeline(stages=[CL.label_stage(), *CL.feature_stages(hashed=64)]).fit(part)
+        rows_ = prep.transform(CL.balanced_weights(part)).select("label_index", "weight", "features").collect()
+        want.append((float(part.count()), rows_))
+
+    def shown(rows_):
+        return sorted((r.label_index, round(r.weight, 9), [round(x, 9) for x in r.features.toArray()]) for r in rows_)
+
+    assert len(seen) == 7
+    expected = {(n, str(shown(r))) for n, r in want}
+    assert {(n, str(shown(r))) for _, n, r in seen} == expected
+    path = scratch_path(spark, "tuned")
+    CL.save_model(model, path)
+    back = CL.load_tuned(path)
+    assert back.avgMetrics == model.avgMetrics and len(CL.tuning_report(back)) == 2
+    assert sum(r[-1] for r in CL.tuning_report(back)) == 1 and CL.tuning_report(back) == CL.tuning_report(model)
+    a, b = (CL.predict(m.bestModel, train).select("doc_id", "predicted").orderBy("doc_id").collect() for m in (model, back))
+    assert a == b and sum(r.predicted == lab for r, (_, lab, _t) in zip(a, rows)) > 0.9 * len(rows)
+
+
+def test_too_many_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(CL, "MAX_LABELS", 2)
+    df = spark.createDataFrame([(i, str(i), "a") for i in range(3)], "doc_id long, label string, text string")
+    for fit in (CL.balanced_weights, CL.tune_logistic):
+        with pytest.raises(ValueError, match="labels"):
+            fit(df)
