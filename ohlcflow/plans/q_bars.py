@@ -474,17 +474,21 @@ def q_projected(spark, sf_dir):
     return rounded(B.project(kept, {"symbol": "symbol", "ts": "ts", "last": "close", "shares": "volume"}))
 
 
-@register("batches_written", f"SELECT {BAR_R6} FROM ({H}) WHERE ts < TIMESTAMP '2024-01-08 00:00:00'")
+@register("batches_written", f"""SELECT {BAR_R6}, CAST(1 + (CAST(ts AS DATE) - (SELECT min(CAST(ts AS DATE)) FROM ({H}))) // 7 AS BIGINT)
+  AS batch FROM ({H})""")
 def q_batches(spark, sf_dir):
-    """Batches of bars go to a sink that an empty batch leaves alone: of
-    the weeks before and after New Year 2024, only one has rows."""
+    """Batches of a week, from the week before the first bar to the last
+    one, go to a sink that an empty batch leaves alone."""
     path = scratch_path(spark, "batches")
     write = idempotent_batch_writer(path)
-    bars = hourly(spark, sf_dir)
-    for k, (start, end) in enumerate([("2023-12-25", "2024-01-01"), ("2024-01-01", "2024-01-08")]):
-        write(bars.where((F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
-                         & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))), k)
-    return rounded(spark.read.parquet(path).drop("batch_id"))
+    bars = stored_hourly(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    first, last = bars.agg(F.min("day"), F.max("day")).first()
+    weeks = (last - first).days // 7 + 1 if first else 0
+    week = F.date_diff("day", F.lit(first)) / 7
+    for k in range(weeks + 1):
+        write(bars.where((week >= k - 1) & (week < k)).drop("day"), k)
+    out = spark.read.parquet(path) if weeks else bars.drop("day").withColumn("batch_id", F.lit(0))
+    return rounded(out.withColumn("batch", F.col("batch_id").cast("bigint")).drop("batch_id"))
 
 
 @register("stored_params_beside_bars", f"""WITH sp AS ({SPLIT_SQL})

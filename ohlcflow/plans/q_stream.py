@@ -8,12 +8,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import lstm as L
-from ..schema import BAR_COLUMNS
+from ..schema import BAR, BAR_COLUMNS
 from ..operators.series import index_series
 from ..session import materialize, scratch_path
 from ..sources import codec
 from ..streaming import ingest as S
 from ..streaming import stateful as ST
+from ..streaming.supervise import Supervisor
 from . import forecast
 from . import training as TR
 from .oracle import sql_bars_from_ticks, sql_forecast_pairs
@@ -109,6 +110,43 @@ def q_stream_publish_bus(spark, sf_dir):
     return rounded(_ntz(bars.select(*BAR_COLUMNS, "messages", "last_offset")))
 
 
+@register("stream_supervised", f"""SELECT {BAR_R6}, runs, outcomes FROM ({H}),
+  (VALUES ('bars', 2, 'started,failed,started,finished'), ('closes', 1, 'started,finished')) AS q(query, runs, outcomes)
+  WHERE query = 'bars' UNION ALL
+  SELECT symbol, ts, NULL, NULL, NULL, R6(close), NULL, NULL, NULL, 1, 'started,finished' FROM ({H})""")
+def q_stream_supervised(spark, sf_dir):
+    """ST7: two consumers under a supervisor. The first loses its second
+    micro-batch once and is restarted from its checkpoint, the other runs on;
+    both results whole, with what the supervisor's table says of their runs."""
+    bus = _published(spark, sf_dir)
+    outs = {name: scratch_path(spark, name) for name in ("bars", "closes")}
+    lost = []
+
+    def failing(path):
+        write = S.idempotent_batch_writer(path)
+
+        def once(batch, batch_id):
+            if batch_id == 1 and not lost:
+                lost.append(batch_id)
+                raise RuntimeError("lost micro-batch")
+            write(batch, batch_id)
+        return once
+
+    def begin(name, sink):
+        stream = S.decode_stream(S.message_stream(spark, bus, max_files_per_trigger=10))
+        return S.start(stream, name, spark, foreach_batch=sink, out_path=outs[name] + "-query")[0]
+
+    sup = Supervisor(spark, scratch_path(spark, "events"))
+    only = [F.col(c) if c in ("symbol", "ts", "close") else F.lit(None).cast(BAR[c].dataType).alias(c) for c in BAR_COLUMNS]
+    sup.run({"bars": lambda: begin("bars", failing(outs["bars"])),
+             "closes": lambda: begin("closes", S.idempotent_batch_writer(outs["closes"], transform=lambda b, _: b.select(*only)))})
+    told = (sup.events().groupBy("query").agg((F.max("run") + 1).alias("runs"),
+                                              F.sort_array(F.collect_list(F.struct("at", "event"))).alias("e"))
+            .select("query", "runs", F.array_join("e.event", ",").alias("outcomes")))
+    rows = [spark.read.parquet(path).select(*BAR_COLUMNS).withColumn("query", F.lit(name)) for name, path in outs.items()]
+    return rounded(_ntz(rows[0].unionByName(rows[1]).join(F.broadcast(told), "query").drop("query")))     # a row a query
+
+
 @register("stream_rolling", f"""SELECT {BAR_R6} FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM ({H})) WHERE rn <= 288""")
 def q_stream_rolling(spark, sf_dir):
