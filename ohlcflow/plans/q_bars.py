@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import tables
-from ..functions.scalar import minmax_inverse, sigmoid, dot
+from ..functions.scalar import minmax_inverse, reshape_steps, sigmoid, dot
 from ..operators import bars as B
 from ..operators import features as X
 from ..operators.lstm import FIXED_TEST_WEIGHTS, load_params, lstm_fold, save_params
+from ..schema import BAR, BAR_COLUMNS
 from ..session import materialize, scratch_path
 from ..sources import codec, files
 from ..streaming.ingest import idempotent_batch_writer
@@ -474,6 +475,28 @@ def q_projected(spark, sf_dir):
     return rounded(B.project(kept, {"symbol": "symbol", "ts": "ts", "last": "close", "shares": "volume"}))
 
 
+@register("bar_schema", "\nUNION ALL ".join(
+    f"SELECT {i} AS position, '{f.name}' AS name, '{f.dataType.simpleString() if f.name != 'ts' else 'timestamp_ntz'}' AS type, "
+    f"count({f.name}) AS filled FROM ({H})" for i, f in enumerate(BAR.fields)))
+def q_schema(spark, sf_dir):
+    """The columns of the hourly bars, their types and how many are filled."""
+    bars = hourly(spark, sf_dir).select(*BAR_COLUMNS)
+    listed = [F.struct(F.lit(i).alias("position"), F.lit(name).alias("name"), F.lit(kind).alias("type"),
+                       F.count(name).alias("filled")) for i, (name, kind) in enumerate(B.schema_listing(bars))]
+    return bars.agg(F.array(*listed).alias("c")).select(F.inline("c"))
+
+
+@register("lag_steps", f"""SELECT symbol, ts, CAST(k - 1 AS BIGINT) AS step, R6(list_extract(xs, k)) AS close FROM (
+  SELECT symbol, ts, unnest(range(1, 61)) AS k, xs FROM (
+    SELECT symbol, ts, list(close) OVER (w ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS xs, row_number() OVER w - 1 AS g
+    FROM ({D}) WINDOW w AS (PARTITION BY symbol ORDER BY ts)) WHERE g >= 60)""")
+def q_lag_steps(spark, sf_dir):
+    """60 lags as 60 steps of one feature each."""
+    lf = X.lag_features(stored_daily(spark, sf_dir), "close", 60, bucket="year")
+    steps = lf.select("symbol", "ts", F.posexplode(reshape_steps(F.col("xs"))).alias("step", "x"))
+    return rounded(steps.select("symbol", "ts", F.col("step").cast("bigint").alias("step"), F.col("x")[0].alias("close")))
+
+
 @register("batches_written", f"""SELECT {BAR_R6}, CAST(1 + (CAST(ts AS DATE) - (SELECT min(CAST(ts AS DATE)) FROM ({H}))) // 7 AS BIGINT)
   AS batch FROM ({H})""")
 def q_batches(spark, sf_dir):
