@@ -14,6 +14,7 @@ from ..schema import BAR, BAR_COLUMNS
 from ..session import materialize, scratch_path
 from ..sources import codec, files
 from ..streaming.ingest import idempotent_batch_writer
+from ..streaming.series_index import SeriesIndex
 from . import forecast
 from .oracle import sql_bars_from_ticks, sql_lstm_step, sql_resample
 from .registry import register, rounded
@@ -167,6 +168,34 @@ def q_chrono(spark, sf_dir):
     return B.chronological_split(stored_hourly(spark, sf_dir)).select("symbol", "ts", "split")
 
 
+def _stored_index(spark, sf_dir):
+    """Hourly bars as a growing series: a batch a week with the weeks out of
+    order, a tenth of all bars late in a last batch over all weeks."""
+    bars = stored_hourly(spark, sf_dir).withColumn("_week", F.date_trunc("week", "ts"))
+    late = F.pmod(F.xxhash64("symbol", "ts"), F.lit(10)) == 0
+    weeks = [r[0] for r in bars.select("_week").distinct().orderBy("_week").collect()]
+    index = SeriesIndex(spark, scratch_path(spark, "series-index"), BAR)
+    for k, week in enumerate([*weeks[::2], *weeks[1::2]]):
+        index.append(bars.where((F.col("_week") == F.lit(week)) & ~late), k)
+    index.append(bars.where(late), len(weeks))
+    return index
+
+
+@register("series_index", f"""SELECT {BAR_R6}, row_number() OVER (PARTITION BY symbol ORDER BY ts) - 1 AS position,
+  count(*) OVER (PARTITION BY symbol) AS bars FROM ({H})""")
+def q_series_index(spark, sf_dir):
+    """Positions of all bars from the index kept by deltas."""
+    rows = _stored_index(spark, sf_dir).read()
+    return rounded(ntz(rows.withColumnsRenamed({"_g": "position", "_n": "bars"})))
+
+
+@register("series_index_newest", f"""SELECT {BAR_R6} FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM ({H})) WHERE rn <= 288""")
+def q_series_newest(spark, sf_dir):
+    """L2 from the stored index: only the last days are read."""
+    return rounded(ntz(_stored_index(spark, sf_dir).newest(288).drop("_g", "_n")))
+
+
 @register("random_split", """SELECT doc_id, bucket, CASE WHEN bucket < 80 THEN 'train' ELSE 'test' END AS split
   FROM (SELECT doc_id, CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '1234'), 1, 8))::BIGINT % 100 AS INTEGER)
         AS bucket FROM documents)""")
