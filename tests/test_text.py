@@ -80,6 +80,31 @@ def test_tfidf_matches_brute_force(docs):
     assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
 
 
+def test_tokenising_tasks_do_not_grow_with_the_corpus(spark, monkeypatch):
+    """Partitions go by the whole text, not by compressed bytes that AQE merges;
+    rows that share an id are still counted together."""
+    rows = [(i % 50, "a", f"word{i % 7} word{i % 3} tail{i}", "train") for i in range(200)] + [(None, "a", "word0 word1", "train")]
+    df = spark.createDataFrame(rows, "doc_id long, label string, text string, split string")
+    monkeypatch.setattr(TX, "PART_BYTES", 100)
+    size = sum(len(r[2]) for r in rows)
+    tf = TX.term_frequencies(df, True, 2)
+    got = {(r.doc_id, r.term): r.tf for r in tf.collect()}
+    assert tf.rdd.getNumPartitions() == size // 100 + 1 > 30
+    want = Counter((r[0], t) for r in rows for t in brute_terms(r[2], True, 2))
+    assert got == want
+
+
+def test_bounded_vocabulary_never_writes_other_terms(spark, docs):
+    """Texts are tokenised again for the vocabulary's terms; the weights are the same."""
+    from ohlcflow.plans import authorship as AU
+    v = AU.vectorize(docs, True, 2, 5)
+    vocab, exp = brute_tfidf(5)
+    assert {r.term for r in v.tf.select("term").distinct().collect()} == set(vocab)
+    got = {(r.doc_id, r.term): r.weight for r in v.weights.collect()}
+    assert got.keys() == exp.keys() and all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
+    assert AU.naive_bayes(v).count() == 3
+
+
 def test_bernoulli_nb_matches_brute_force(docs):
     tf = TX.term_frequencies(docs, True, 1)
     vocab = TX.vocabulary(tf.where("split = 'train'"))
