@@ -169,6 +169,21 @@ def test_ml_pipeline_smooth_idf_and_save(spark, docs, tmp_path):
     assert any(p[1] == "pattern" for p in CL.describe(fm))                  # T11
 
 
+def test_top_terms_break_ties_by_term(spark):
+    """Twenty terms of the same count: the smallest are kept, however rows lie;
+    the model has the parameters and counts of a fitted CountVectorizer."""
+    from pyspark.ml.feature import CountVectorizer
+    rows = [([f"t{i:02d}", "often", "often"],) for i in range(19, -1, -1)] + [([],)]
+    df = spark.createDataFrame(rows, "terms array<string>")
+    for parts in (1, 7):
+        model = CL.TopTerms(inputCol="terms", outputCol="v", vocab_size=6, binary=True).fit(df.repartition(parts))
+        assert model.vocabulary == ["often", "t00", "t01", "t02", "t03", "t04"]
+    theirs = CountVectorizer(inputCol="terms", outputCol="v", vocabSize=6, minDF=1.0, binary=True).fit(df)
+    assert sorted(CL.describe(type("P", (), {"stages": [theirs]}))) == \
+        sorted(CL.describe(type("P", (), {"stages": [model]})))
+    assert [r.v.toArray().tolist() for r in model.transform(df).collect()][-2:] == [[1, 1, 0, 0, 0, 0], [0] * 6]
+
+
 def test_logistic_weights(spark, docs):
     w = CL.balanced_weights(docs.where("split = 'train'"))
     got = {r.label: r.weight for r in w.select("label", "weight").distinct().collect()}
